@@ -15,37 +15,49 @@ def _as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string") for c in df.columns])
 
 
-def append_raw(logs: EventLogs, base: str) -> None:
-    """Add events to the raw CSV folders; nothing is rewritten or deduplicated."""
-    for name, df in logs.items():
-        path = f"{base}/{BRONZE_FOLDERS[name]}"
-        _as_text(df).write.mode("append").option("header", True).csv(path)
+def append_raw(events: DataFrame, path: str) -> None:
+    """Add events to a raw CSV folder; nothing is rewritten or deduplicated."""
+    _as_text(events).write.mode("append").option("header", True).csv(path)
 
 
-def append_typed(logs: EventLogs, base: str) -> None:
+def append_typed(events: DataFrame, path: str) -> None:
     """Add events to Parquet partitioned by day.
 
     Rebalancing groups each day's events into few files and splits a day that holds much of the
     batch over several tasks.
     """
-    for name, df in logs.items():
-        path = f"{base}/{BRONZE_FOLDERS[name]}"
-        df.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
+    events.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
+
+
+def append_logs(logs: EventLogs, base: str, fmt: str = "csv") -> None:
+    append = append_raw if fmt == "csv" else append_typed
+    for name, events in logs.items():
+        append(events, f"{base}/{BRONZE_FOLDERS[name]}")
+
+
+def write_snapshot(latest: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace a snapshot in full, one file per task."""
+    cells = _as_text(latest) if fmt == "csv" else latest
+    cells.write.mode("overwrite").option("header", True).format(fmt).save(path)
+
+
+def read_snapshot(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    schema = LOG_SCHEMAS[name]
+    if fmt == "csv":
+        return conform(scan_raw(spark, path, schema), schema)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def write_silver(latest: EventLogs, base: str, fmt: str = "parquet") -> None:
-    """Replace the three snapshots by the given latest events, one file per task."""
+    """The latest event per purchase of each log."""
     for name, df in latest.items():
-        cells = _as_text(df) if fmt == "csv" else df
-        writer = cells.write.mode("overwrite").option("header", True).format(fmt)
-        writer.save(f"{base}/{SILVER_FOLDERS[name]}")
+        write_snapshot(df, f"{base}/{SILVER_FOLDERS[name]}", fmt)
 
 
 def read_silver(spark: SparkSession, base: str, fmt: str = "parquet") -> EventLogs:
-    def read(name: str) -> DataFrame:
-        schema, path = LOG_SCHEMAS[name], f"{base}/{SILVER_FOLDERS[name]}"
-        if fmt == "csv":
-            return conform(scan_raw(spark, path, schema), schema)
-        return spark.read.schema(schema).format(fmt).load(path)
-
-    return EventLogs(**{name: read(name) for name in SILVER_FOLDERS})
+    return EventLogs(
+        **{
+            name: read_snapshot(spark, f"{base}/{folder}", name, fmt)
+            for name, folder in SILVER_FOLDERS.items()
+        }
+    )

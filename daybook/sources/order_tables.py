@@ -71,14 +71,15 @@ def purchase_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def item_events(spark: SparkSession, folder: str) -> DataFrame:
+def item_events(spark: SparkSession, folder: str, value: str = "l_extendedprice") -> DataFrame:
+    """``value`` is the SQL expression of the item's value."""
     return _table(spark, folder, "lineitem").select(
         F.col("l_shipdate").alias("transaction_datetime"),
         F.to_date("l_shipdate").alias("transaction_date"),
         F.col("l_orderkey").cast("string").alias("purchase_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("int").alias("item_quantity"),
-        F.col("l_extendedprice").alias("purchase_value"),
+        F.expr(value).alias("purchase_value"),
     )
 
 
