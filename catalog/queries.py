@@ -6,6 +6,7 @@ they read back.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -23,7 +24,7 @@ from daybook.schemas import LOG_SCHEMAS
 from daybook.session import scratch_folder
 from daybook.sinks import files
 from daybook.sinks import gold as gold_sink
-from daybook.sources.bronze import conform, conform_logs, read_parquet_logs, scan_raw
+from daybook.sources.bronze import conform, conform_logs, read_typed, scan_raw
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
 from daybook.sources.order_tables import as_raw_text, item_events, order_logs
 
@@ -59,10 +60,12 @@ def bronze_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_typed_window(spark: SparkSession, folder: str) -> DataFrame:
-    """A window over typed logs stored by day reads that window's folders only."""
-    base = scratch_folder(spark, "bronze-typed")
-    files.append_logs(order_logs(spark, folder), base, "parquet")
-    return metric.windowed_gmv(read_parquet_logs(spark, base), WINDOW)
+    """A window over typed events stored by day reads that window's folders only."""
+    path = scratch_folder(spark, "bronze-typed")
+    logs = order_logs(spark, folder)
+    files.append_typed(logs.product_item, path)
+    items = read_typed(spark, path, LOG_SCHEMAS["product_item"])
+    return metric.windowed_gmv(replace(logs, product_item=items), WINDOW)
 
 
 def _malformed(spark: SparkSession, folder: str) -> EventLogs:

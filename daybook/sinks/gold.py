@@ -17,12 +17,15 @@ from daybook.sources.gold import read_gold
 def overwrite_days(gold: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the days present in ``gold``; other days stay as they are.
 
-    The overwrite mode is set on this write alone, not on the session. Rows are grouped by day
-    for one file each instead of sorted globally.
+    The overwrite mode is set on this write alone, not on the session. Rows are grouped by day,
+    one small file each, instead of sorted globally. The cost is opening files, not moving bytes,
+    so the number of tasks is fixed: merging partitions by size would leave one task to write
+    every day.
     """
+    tasks = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         gold.select(*GOLD.names)
-        .hint("rebalance", DAY)
+        .repartition(tasks, DAY)
         .sortWithinPartitions(DAY, "subsidiary")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -67,13 +67,15 @@ def read_csv_logs(spark: SparkSession, base: str) -> EventLogs:
     return conform_logs(read_raw_logs(spark, base))
 
 
+def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Typed events as stored by day; a window prunes whole folders."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def read_parquet_logs(spark: SparkSession, base: str) -> EventLogs:
-    """Typed logs as written by ``append_typed``; a window on the day prunes whole folders."""
     return EventLogs(
         **{
-            name: spark.read.schema(LOG_SCHEMAS[name])
-            .parquet(f"{base}/{folder}")
-            .select(*LOG_SCHEMAS[name].names)
+            name: read_typed(spark, f"{base}/{folder}", LOG_SCHEMAS[name])
             for name, folder in BRONZE_FOLDERS.items()
         }
     )
