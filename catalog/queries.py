@@ -26,7 +26,7 @@ from daybook.sinks import files
 from daybook.sinks import gold as gold_sink
 from daybook.sources.bronze import conform, conform_logs, read_typed, scan_raw
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
-from daybook.sources.order_tables import as_raw_text, item_events, order_logs
+from daybook.sources.order_tables import as_raw_text, item_events, order_logs, read_table
 
 WINDOW = DateWindow(date(1997, 3, 1), date(1997, 9, 30))
 EARLY_END = DateWindow(date(1995, 1, 1), date(1998, 6, 30))
@@ -169,7 +169,7 @@ def silver_roundtrip(name: str, fmt: str):
 
 
 def latest_event_per_user(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_by(spark.read.parquet(f"{folder}/events.parquet"), ["user_id"], ["ts"], ["event_id"])
+    return latest_by(read_table(spark, folder, "events"), ["user_id"], ["ts"], ["event_id"])
 
 
 def purchase_state(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,5 +26,6 @@ def latest_by(
     """
     ranked = list(dict.fromkeys([*order, *(tiebreak or []), *df.columns]))
     ranked = [c for c in ranked if c not in set(keys)]
-    newest = F.max(F.struct(*ranked)).alias("newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*df.columns)
+    newest = F.max(F.struct(ranked)).alias("newest")
+    columns = [c if c in keys else f"newest.`{c}`" for c in df.columns]
+    return df.groupBy(*keys).agg(newest).select(columns)

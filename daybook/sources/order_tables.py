@@ -19,100 +19,82 @@ from pyspark.sql import functions as F
 from daybook.logs import EventLogs
 from daybook.schemas import EXTRA_INFO, PURCHASE
 
-RESEND_DAYS = 25
-RELEASE_BEFORE_RESEND_DAYS = 2
+# Columns in use. With the schema given, no job reads file footers ahead of the query.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, "
+    "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
 
 
-def _days(n):
-    return F.make_dt_interval(days=n if not isinstance(n, int) else F.lit(n))
-
-
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def purchase_events(spark: SparkSession, folder: str) -> DataFrame:
-    created = F.col("o_orderdate")
-    pay_days = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", 5)
-        .when(F.col("o_orderpriority") == "2-HIGH", 10)
-        .otherwise(15)
-    )
-    paid_at = created + _days(pay_days)
-    resent_at = created + _days(RESEND_DAYS)
-    resent_release = F.when(
-        F.col("o_orderpriority") != "5-LOW",
-        F.to_date(created + _days(RESEND_DAYS - RELEASE_BEFORE_RESEND_DAYS)),
-    )
-
-    def event(at, release):
-        return F.struct(at.alias("transaction_datetime"), release.alias("release_date"))
-
     # One scan of orders: each row carries its one to three events.
-    events = F.array_compact(
-        F.array(
-            event(created, F.lit(None).cast("date")),
-            F.when(F.col("o_orderstatus") != "O", event(paid_at, F.to_date(paid_at))),
-            F.when(F.col("o_orderstatus") == "P", event(resent_at, resent_release)),
-        )
-    )
+    paid_at = """o_orderdate + make_dt_interval(
+        CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 10 ELSE 15 END)"""
+    events = f"""inline(array_compact(array(
+        named_struct('transaction_datetime', o_orderdate, 'release_date', CAST(NULL AS DATE)),
+        IF(o_orderstatus <> 'O', named_struct(
+            'transaction_datetime', {paid_at}, 'release_date', to_date({paid_at})), NULL),
+        IF(o_orderstatus = 'P', named_struct(
+            'transaction_datetime', o_orderdate + make_dt_interval(25),
+            'release_date', IF(o_orderpriority <> '5-LOW',
+                               to_date(o_orderdate + make_dt_interval(23)), NULL)), NULL))))"""
     return (
-        _table(spark, folder, "orders")
-        .select(
-            F.col("o_orderkey").cast("string").alias("purchase_id"),
-            F.col("o_custkey").cast("string").alias("buyer_id"),
-            F.col("o_orderpriority").alias("prod_item_id"),
-            F.col("o_orderstatus").alias("producer_id"),
-            F.to_date(created).alias("order_date"),
-            F.inline(events),
+        read_table(spark, folder, "orders")
+        .selectExpr(
+            "CAST(o_orderkey AS STRING) AS purchase_id",
+            "CAST(o_custkey AS STRING) AS buyer_id",
+            "o_orderpriority AS prod_item_id",
+            "o_orderstatus AS producer_id",
+            "to_date(o_orderdate) AS order_date",
+            events,
         )
         .withColumn("transaction_date", F.to_date("transaction_datetime"))
-        .select(*PURCHASE.names)
+        .select(PURCHASE.names)
     )
 
 
 def item_events(spark: SparkSession, folder: str, value: str = "l_extendedprice") -> DataFrame:
     """``value`` is the SQL expression of the item's value."""
-    return _table(spark, folder, "lineitem").select(
-        F.col("l_shipdate").alias("transaction_datetime"),
-        F.to_date("l_shipdate").alias("transaction_date"),
-        F.col("l_orderkey").cast("string").alias("purchase_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("item_quantity"),
-        F.expr(value).alias("purchase_value"),
+    return read_table(spark, folder, "lineitem").selectExpr(
+        "l_shipdate AS transaction_datetime",
+        "to_date(l_shipdate) AS transaction_date",
+        "CAST(l_orderkey AS STRING) AS purchase_id",
+        "CAST(l_partkey AS STRING) AS product_id",
+        "CAST(l_quantity AS INT) AS item_quantity",
+        f"{value} AS purchase_value",
     )
 
 
 def extra_events(spark: SparkSession, folder: str) -> DataFrame:
-    places = (
-        _table(spark, folder, "nation")
-        .join(_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_name", "r_name")
+    places = read_table(spark, folder, "nation").join(
+        read_table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey")
     )
-    customers = (
-        _table(spark, folder, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "n_name", "r_name")
-    )
-    first = F.col("o_orderdate") + F.make_dt_interval(hours=F.lit(1))
-    events = F.array_compact(
-        F.array(
-            F.struct(first.alias("transaction_datetime"), F.col("r_name").alias("subsidiary")),
-            F.when(
-                F.col("o_orderstatus") == "P",
-                F.struct(
-                    (first + _days(RESEND_DAYS)).alias("transaction_datetime"),
-                    F.col("n_name").alias("subsidiary"),
-                ),
-            ),
-        )
+    customers = read_table(spark, folder, "customer").join(
+        places, F.expr("c_nationkey = n_nationkey")
     )
+    events = """inline(array_compact(array(
+        named_struct('transaction_datetime', o_orderdate + make_dt_interval(0, 1),
+                     'subsidiary', r_name),
+        IF(o_orderstatus = 'P', named_struct(
+            'transaction_datetime', o_orderdate + make_dt_interval(25, 1),
+            'subsidiary', n_name), NULL))))"""
     return (
-        _table(spark, folder, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .select(F.col("o_orderkey").cast("string").alias("purchase_id"), F.inline(events))
+        read_table(spark, folder, "orders")
+        .join(customers, F.expr("o_custkey = c_custkey"))
+        .selectExpr("CAST(o_orderkey AS STRING) AS purchase_id", events)
         .withColumn("transaction_date", F.to_date("transaction_datetime"))
-        .select(*EXTRA_INFO.names)
+        .select(EXTRA_INFO.names)
     )
 
 

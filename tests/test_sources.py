@@ -1,0 +1,129 @@
+"""Raw files, casts, and typed logs."""
+
+from datetime import date, datetime
+
+import pytest
+from fixture import FULL, ITEMS, logs, raw_logs, rows
+from pyspark.sql import functions as F
+
+from daybook import DateWindow, full_history_gmv, latest_by, windowed_gmv
+from daybook.functions.casts import to_event_time, to_int
+from daybook.schemas import PRODUCT_ITEM, PURCHASE
+from daybook.sinks.files import append_logs, read_silver, write_silver
+from daybook.sources.bronze import HeaderMismatch, bad_cells, conform, read_logs, scan_raw
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("7", 7), (" 7 ", 7), ("+3", 3), ("-2", -2), ("2.7", 2), ("-2.7", -2), ("5.", 5),
+        (".5", 0), ("1e3", None), ("2.x", None), ("x", None), ("NaN", None), ("", None),
+        ("99999999999", None), ("7d", None), (None, None), ("007", 7),
+    ],
+)
+def test_integers(spark, text, value):
+    cell = spark.createDataFrame([(text,)], "c string").select(to_int(F.col("c"))).first()[0]
+    assert cell == value
+
+
+def test_times(spark):
+    texts = ["2023-02-03 01:02:03", "2023-02-03T01:02:03.000-03:00", "2023-02-03", "soon", None]
+    cells = spark.createDataFrame([(t,) for t in texts], "c string").select(
+        to_event_time(F.col("c"))
+    )
+    assert [r[0] for r in cells.collect()] == [
+        datetime(2023, 2, 3, 1, 2, 3),
+        datetime(2023, 2, 3, 4, 2, 3),
+        datetime(2023, 2, 3),
+        None,
+        None,
+    ]
+
+
+def test_bad_cells_become_null_and_are_reported(spark):
+    bad = [("2023-02-03 00:00:00", "0056", "1", "2.7", "x"), ("never", "57", "1", "y", "1.5")]
+    raw = raw_logs(spark, items=bad).product_item
+    typed = {r.purchase_id: r for r in conform(raw, PRODUCT_ITEM).collect()}
+    assert typed["0056"].item_quantity == 2 and typed["0056"].purchase_value is None
+    assert typed["57"].transaction_datetime is None and typed["57"].item_quantity is None
+    found = {r.purchase_id: r.bad_columns for r in bad_cells(raw, PRODUCT_ITEM).collect()}
+    assert found == {
+        "0056": ["purchase_value"],
+        "57": ["transaction_datetime", "transaction_date", "item_quantity"],
+    }
+
+
+def test_bad_release_date_means_unpaid(spark):
+    raw = raw_logs(spark).purchase.withColumn("release_date", F.lit("2023-13-03"))
+    assert conform(raw, PURCHASE).filter("release_date IS NOT NULL").isEmpty()
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_appended_logs_read_back(spark, tmp_path, fmt):
+    events = logs(spark)
+    append_logs(events.before(date(2023, 2, 14)), str(tmp_path), fmt)
+    append_logs(events.where(F.col("transaction_date") >= "2023-02-14"), str(tmp_path), fmt)
+    stored = read_logs(spark, str(tmp_path), fmt)
+    for (_, a), (_, b) in zip(events.items(), stored.items(), strict=True):
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert rows(full_history_gmv(stored)) == FULL
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    raw = raw_logs(spark).product_item.withColumn("note", F.lit("extra"))
+    other_order = raw.select("note", *reversed(PRODUCT_ITEM.names))
+    other_order.write.option("header", True).csv(str(tmp_path / "items"))
+    read = scan_raw(spark, str(tmp_path / "items"), PRODUCT_ITEM)
+    assert read.columns == PRODUCT_ITEM.names
+    assert sorted(r.purchase_value for r in read.collect()) == sorted(i[4] for i in ITEMS)
+
+
+def test_missing_column_is_refused(spark, tmp_path):
+    raw = raw_logs(spark).product_item.drop("item_quantity")
+    raw.write.option("header", True).csv(str(tmp_path / "items"))
+    with pytest.raises(HeaderMismatch, match="item_quantity"):
+        scan_raw(spark, str(tmp_path / "items"), PRODUCT_ITEM)
+
+
+def test_file_with_another_order_is_refused(spark, tmp_path):
+    raw, path = raw_logs(spark).product_item, str(tmp_path / "items")
+    raw.write.option("header", True).csv(path)
+    shifted = raw.select(*reversed(raw.columns))
+    shifted.write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_raw(spark, path, PRODUCT_ITEM).collect()
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_silver_reads_back(spark, tmp_path, fmt):
+    latest = logs(spark).latest()
+    write_silver(latest, str(tmp_path), fmt)
+    write_silver(latest, str(tmp_path), fmt)
+    for (_, a), (_, b) in zip(
+        latest.items(), read_silver(spark, str(tmp_path), fmt).items(), strict=True
+    ):
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+        assert b.count() == 6
+
+
+def test_window_reads_its_day_folders_only(spark, tmp_path):
+    append_logs(logs(spark), str(tmp_path), "parquet")
+    stored = read_logs(spark, str(tmp_path), "parquet")
+    window = DateWindow(date(2023, 2, 8), date(2023, 2, 10))
+    plan = windowed_gmv(stored, window)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("transaction_date") and "PartitionFilters: [isnotnull(transaction_date" in plan
+
+
+def test_latest_by_on_other_tables(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "y"), ("b", None, "z"), ("b", 0, "w"), (None, 5, "n")],
+        "k string, t int, v string",
+    )
+    newest = latest_by(df, ["k"], ["t"])
+    assert newest.columns == df.columns
+    assert {r.k: (r.t, r.v) for r in newest.collect()} == {
+        "a": (2, "y"),
+        "b": (0, "w"),
+        None: (5, "n"),
+    }
