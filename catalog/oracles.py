@@ -307,6 +307,7 @@ _SQL = {
     "gold_incremental_overwrite": OVERWRITTEN,
     "gold_late_correction": FULL,
     "gold_idempotent": FULL,
+    "gold_from_snapshots": FULL,
     "gold_decimal": (
         "SELECT transaction_date, subsidiary, CAST(gmv AS DECIMAL(18,2)) AS gmv "
         f"FROM ({gmv(DEFAULT)}) WHERE transaction_date IS NOT NULL AND subsidiary IS NOT NULL "

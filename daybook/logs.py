@@ -31,6 +31,9 @@ class EventLogs:
     def where(self, condition) -> EventLogs:
         return self.map(lambda _, df: df.filter(condition))
 
+    def union(self, other: EventLogs) -> EventLogs:
+        return self.map(lambda name, df: df.unionByName(getattr(other, name)))
+
     def within(self, window) -> EventLogs:
         """Events of the window; each log by its own date. Undated events fall in no window."""
         return self.where(window.covers(DAY))

@@ -42,9 +42,17 @@ def impacted_dates(logs: EventLogs, window: DateWindow) -> DataFrame:
     )
 
 
-def rebuild_days(logs: EventLogs, days: DataFrame) -> DataFrame:
-    """Totals of the given days from all dated events, with no upper bound on the state."""
-    latest = logs.dated().latest_for_gold()
+def carried_history(snapshots: EventLogs, logs: EventLogs, window: DateWindow) -> EventLogs:
+    """Stand-in for all history: the latest events known before, and those of the window.
+
+    The latest of both is the latest of all, because events are in total order. Only the days of
+    the window are read from the logs; older events are in the snapshots, one row per purchase.
+    """
+    return snapshots.dated().union(logs.within(window))
+
+
+def rebuild_days(latest: EventLogs, days: DataFrame) -> DataFrame:
+    """Totals of the given days from the current state of every purchase."""
     # Distinct calendar days: at most one row per day there is, a few kilobytes per decade.
     on_days = paid(latest.purchase).join(F.broadcast(days), DAY, "left_semi")
     return daily_total(purchase_state(EventLogs(on_days, latest.product_item, latest.extra_info)))
@@ -56,4 +64,4 @@ def state_complete_gmv(logs: EventLogs, window: DateWindow) -> DataFrame:
     Every event that arrived since the last run must be dated in the window. An impacted day
     that no longer has paid purchases is absent here; the writer has to clear it.
     """
-    return rebuild_days(logs, impacted_dates(logs, window))
+    return rebuild_days(logs.dated().latest_for_gold(), impacted_dates(logs, window))

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.logs import EventLogs
+from daybook.operators.state import daily_total, purchase_state
 from daybook.operators.window import DAYS_BACK, DateWindow, resolve_window
-from daybook.plans.incremental import impacted_dates, rebuild_days
-from daybook.plans.metric import gmv
+from daybook.plans.incremental import carried_history, impacted_dates, rebuild_days
 from daybook.schemas import EVENT_TIME
-from daybook.sinks.files import write_silver
+from daybook.sinks.files import read_silver, write_silver
 from daybook.sinks.gold import clear_days, days_of, overwrite_days
 
 LITERAL = "literal"
@@ -49,51 +49,65 @@ def run_daily_gmv(
     today: date | None = None,
     mode: str = STATE_COMPLETE,
     silver_path: str | None = None,
+    previous_silver: str | None = None,
     gold_format: str = "parquet",
     silver_format: str = "parquet",
 ) -> RunReport:
     """Compute daily GMV for a window and write it to day partitions.
 
     ``state_complete`` rebuilds every day the window's events change, from all history, and
-    clears days left without paid purchases. ``literal`` sees the events of the window only and
-    replaces the days it has rows for; days that lost their rows stay as they were.
+    clears days left without paid purchases. With ``previous_silver``, the snapshots of an
+    earlier run stand for all events before the window, so only the window is read from the
+    logs. ``literal`` sees the events of the window only and replaces the days it has rows for;
+    days that lost their rows stay as they were.
     Running again with the same input gives the same table.
     """
     if mode not in (LITERAL, STATE_COMPLETE):
         raise ValueError(f"unknown mode {mode!r}")
+    if previous_silver is not None and (mode == LITERAL or previous_silver == silver_path):
+        raise ValueError("earlier snapshots serve state-complete runs that write elsewhere")
     started = time.monotonic()
     spark = logs.purchase.sparkSession
     window = resolve_window(logs.purchase, start, end, days_back, today)
     if window is None:
         return RunReport(NO_DATES)
 
-    in_window = logs.within(window)
-    if mode == LITERAL and in_window.purchase.isEmpty():
-        return RunReport(NO_PURCHASES, window)
+    if mode == LITERAL:
+        scope = logs.within(window)
+        if scope.purchase.isEmpty():
+            return RunReport(NO_PURCHASES, window)
+    elif previous_silver is not None:
+        snapshots = read_silver(spark, previous_silver, silver_format)
+        scope = carried_history(snapshots, logs, window)
+    else:
+        scope = logs.dated()
 
     seen = Observation("purchase events")
-    scope = in_window if mode == LITERAL else logs.dated()
-    if silver_path is not None:
-        write_silver(scope.latest(), silver_path, silver_format)
-    scope = EventLogs(
-        scope.purchase.observe(
-            seen, F.count(F.lit(1)).alias("events"), F.max(EVENT_TIME).alias("newest_event")
-        ),
-        scope.product_item,
-        scope.extra_info,
+    counted = scope.purchase.observe(
+        seen, F.count(F.lit(1)).alias("events"), F.max(EVENT_TIME).alias("newest_event")
     )
+    observed = EventLogs(counted, scope.product_item, scope.extra_info)
+    if silver_path is None:
+        latest = observed.latest_for_gold()
+    else:
+        # Gold goes on from the stored snapshots; the logs are not resolved a second time.
+        write_silver(observed.latest(), silver_path, silver_format)
+        latest = read_silver(spark, silver_path, silver_format)
 
     impacted: list[date] = []
+    kept = []
     if mode == LITERAL:
-        gold = gmv(scope)
+        gold = daily_total(purchase_state(latest))
     else:
-        days = impacted_dates(logs, window).persist()
+        days = impacted_dates(scope, window).persist()
+        kept.append(days)
         impacted = days_of(days)
-        gold = rebuild_days(scope, days)
+        gold = rebuild_days(latest, days)
 
     # Gold is one row per day and subsidiary. Kept for the guard, the write and the day list,
     # so the logs are read once; a lost block is computed again.
     gold = gold.persist()
+    kept.append(gold)
     try:
         written = days_of(gold)
         if written:
@@ -102,9 +116,7 @@ def run_daily_gmv(
         cleared = clear_days(spark, gold_path, gone, gold_format)
         metrics = {"seconds": round(time.monotonic() - started, 3)}
         if written:
-            totals = gold.agg(
-                F.count(F.lit(1)).alias("rows"), F.sum("gmv").alias("gmv")
-            ).first()
+            totals = gold.agg(F.count(F.lit(1)).alias("rows"), F.sum("gmv").alias("gmv")).first()
             metrics |= {
                 "purchase_events": seen.get["events"],
                 "newest_event": seen.get["newest_event"],
@@ -114,8 +126,7 @@ def run_daily_gmv(
                 "days_cleared": len(cleared),
             }
     finally:
-        gold.unpersist()
-        if mode == STATE_COMPLETE:
-            days.unpersist()
+        for frame in kept:
+            frame.unpersist()
     status = WRITTEN if written or cleared else NO_PAID
     return RunReport(status, window, written, cleared, metrics)

@@ -62,6 +62,26 @@ def test_late_run_equals_full_rebuild(spark, tmp_path, seed):
     assert rebuilt == [r for r in whole if r[0] in {b[0] for b in rebuilt}]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_building_on_snapshots_equal_full_rebuild(spark, tmp_path, seed):
+    events = logs(spark, *_events(300 + seed))
+    gold = str(tmp_path / "gold")
+    cuts = [date(2022, 12, 31), date(2023, 1, 12), date(2023, 1, 22), date(2023, 2, 28)]
+    previous = None
+    for number, (before, last) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        silver = str(tmp_path / f"silver-{number}")
+        run_daily_gmv(
+            events.up_to(last),
+            gold,
+            start=before + timedelta(days=1),
+            end=last,
+            silver_path=silver,
+            previous_silver=previous,
+        )
+        assert rows(read_gold(spark, gold)) == rows(full_history_gmv(events.up_to(last)))
+        previous = silver
+
+
 def _by_hand(purchases, items, extras):
     """The metric with plain loops."""
 

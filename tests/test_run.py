@@ -105,6 +105,13 @@ def test_unknown_mode(spark, gold):
         run_daily_gmv(logs(spark), gold, mode="other")
 
 
+def test_snapshots_are_not_overwritten_while_read(spark, gold):
+    with pytest.raises(ValueError, match="write elsewhere"):
+        run_daily_gmv(logs(spark), gold, silver_path="/x", previous_silver="/x", **LATE)
+    with pytest.raises(ValueError, match="state-complete"):
+        run_daily_gmv(logs(spark), gold, mode=job.LITERAL, previous_silver="/x", **LATE)
+
+
 @pytest.mark.parametrize("mode", [job.LITERAL, job.STATE_COMPLETE])
 def test_silver_of_a_run(spark, gold, tmp_path, mode):
     silver = str(tmp_path / "silver")
