@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
