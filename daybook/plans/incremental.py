@@ -10,6 +10,10 @@ from daybook.operators.state import daily_total, paid, purchase_state
 from daybook.operators.window import DateWindow
 from daybook.schemas import DAY, KEY
 
+# Measured size up to which purchase keys are broadcast, and what a row takes beside its key.
+BROADCAST_BYTES = 128 * 1024 * 1024
+ROW_OVERHEAD = 64
+
 
 def impacted_dates(logs: EventLogs, window: DateWindow) -> DataFrame:
     """Days whose total may change because of events dated in the window.
@@ -51,13 +55,31 @@ def carried_history(snapshots: EventLogs, logs: EventLogs, window: DateWindow) -
     return snapshots.dated().union(logs.within(window))
 
 
+def purchases_on(purchases: DataFrame, days: DataFrame) -> DataFrame:
+    """Paid purchases whose current day is one of the given ones."""
+    # Distinct calendar days: at most one row per day there is, a few kilobytes per decade.
+    return paid(purchases).join(F.broadcast(days), DAY, "left_semi")
+
+
 def rebuild_days(latest: EventLogs, days: DataFrame) -> DataFrame:
     """Totals of the given days from the current state of every purchase."""
-    # Distinct calendar days: at most one row per day there is, a few kilobytes per decade.
-    on_days = paid(latest.purchase).join(F.broadcast(days), DAY, "left_semi")
+    on_days = purchases_on(latest.purchase, days)
     return daily_total(purchase_state(EventLogs(on_days, latest.product_item, latest.extra_info)))
 
 
+def fits_broadcast(purchases: DataFrame, limit: int | None = None) -> bool:
+    """Whether the keys, measured now, take at most ``limit`` bytes as a broadcast table."""
+    size = purchases.agg(
+        F.sum(F.octet_length(KEY) + F.lit(ROW_OVERHEAD)).alias("bytes")
+    ).first()
+    return (size.bytes or 0) <= (BROADCAST_BYTES if limit is None else limit)
+
+
+def only_of(events: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Events of the given purchases, picked while scanning. Only behind ``fits_broadcast``."""
+    return events.join(F.broadcast(purchases.select(KEY)), KEY, "left_semi")
+
+
 def state_complete_gmv(logs: EventLogs, window: DateWindow) -> DataFrame:
     """The impacted days of a window, each exactly as a full rebuild would give it.
 

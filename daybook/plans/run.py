@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from contextlib import ExitStack
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +13,13 @@ from pyspark.sql import functions as F
 from daybook.logs import EventLogs
 from daybook.operators.state import daily_total, purchase_state
 from daybook.operators.window import DAYS_BACK, DateWindow, resolve_window
-from daybook.plans.incremental import carried_history, impacted_dates, rebuild_days
+from daybook.plans.incremental import (
+    carried_history,
+    fits_broadcast,
+    impacted_dates,
+    only_of,
+    purchases_on,
+)
 from daybook.schemas import EVENT_TIME
 from daybook.sinks.files import read_silver, write_silver
 from daybook.sinks.gold import clear_days, days_of, overwrite_days
@@ -39,6 +46,10 @@ class RunReport:
         return spark.createDataFrame(rows, "metric string, value string")
 
 
+def _as_they_are(snapshots: EventLogs) -> EventLogs:
+    return snapshots
+
+
 def run_daily_gmv(
     logs: EventLogs,
     gold_path: str,
@@ -86,29 +97,36 @@ def run_daily_gmv(
     counted = scope.purchase.observe(
         seen, F.count(F.lit(1)).alias("events"), F.max(EVENT_TIME).alias("newest_event")
     )
-    observed = EventLogs(counted, scope.product_item, scope.extra_info)
-    if silver_path is None:
-        latest = observed.latest_for_gold()
-    else:
+    events = EventLogs(counted, scope.product_item, scope.extra_info)
+    resolve = EventLogs.latest_for_gold
+    if silver_path is not None:
         # Gold goes on from the stored snapshots; the logs are not resolved a second time.
-        write_silver(observed.latest(), silver_path, silver_format)
-        latest = read_silver(spark, silver_path, silver_format)
+        write_silver(events.latest(), silver_path, silver_format)
+        events = read_silver(spark, silver_path, silver_format)
+        resolve = _as_they_are
 
     impacted: list[date] = []
-    kept = []
-    if mode == LITERAL:
-        gold = daily_total(purchase_state(latest))
-    else:
-        days = impacted_dates(scope, window).persist()
-        kept.append(days)
-        impacted = days_of(days)
-        gold = rebuild_days(latest, days)
-
-    # Gold is one row per day and subsidiary. Kept for the guard, the write and the day list,
-    # so the logs are read once; a lost block is computed again.
-    gold = gold.persist()
-    kept.append(gold)
-    try:
+    with ExitStack() as kept:
+        if mode == LITERAL:
+            latest = resolve(events)
+        else:
+            days = impacted_dates(scope, window).persist()
+            kept.callback(days.unpersist)
+            impacted = days_of(days)
+            purchases = purchases_on(resolve(events).purchase, days).persist()
+            kept.callback(purchases.unpersist)
+            if fits_broadcast(purchases):
+                # Few purchases: all other items and subsidiaries fall out before any shuffle.
+                items, extras = (
+                    only_of(df, purchases) for df in (events.product_item, events.extra_info)
+                )
+                events = EventLogs(events.purchase, items, extras)
+            latest = replace(resolve(events), purchase=purchases)
+
+        # Gold is one row per day and subsidiary. Kept for the guard, the write and the day
+        # list, so the logs are read once; a lost block is computed again.
+        gold = daily_total(purchase_state(latest)).persist()
+        kept.callback(gold.unpersist)
         written = days_of(gold)
         if written:
             overwrite_days(gold, gold_path, gold_format)
@@ -125,8 +143,5 @@ def run_daily_gmv(
                 "days_written": len(written),
                 "days_cleared": len(cleared),
             }
-    finally:
-        for frame in kept:
-            frame.unpersist()
     status = WRITTEN if written or cleared else NO_PAID
     return RunReport(status, window, written, cleared, metrics)

@@ -9,6 +9,7 @@ from fixture import logs
 from daybook import DateWindow, full_history_gmv, impacted_dates, state_complete_gmv, windowed_gmv
 from daybook.checks.monitor import gmv_drops
 from daybook.operators.latest import latest_by
+from daybook.plans.incremental import ROW_OVERHEAD, fits_broadcast, only_of
 from daybook.sinks.files import append_logs
 from daybook.sources.bronze import read_logs
 
@@ -79,3 +80,13 @@ def test_no_global_sort_join_explosion_or_python(stored):
         text = plan(df)
         for bad in ("rangepartitioning", "SinglePartition", "NestedLoop", "Cartesian", "Python"):
             assert bad not in text
+
+
+def test_keys_are_measured_before_they_are_broadcast(stored):
+    purchases = stored.purchase
+    size = sum(len(r.purchase_id) + ROW_OVERHEAD for r in purchases.collect())
+    assert fits_broadcast(purchases) and fits_broadcast(purchases, size)
+    assert not fits_broadcast(purchases, size - 1)
+    assert fits_broadcast(purchases.limit(0), 0)
+    text = plan(only_of(stored.product_item, purchases))
+    assert "LeftSemi" in text and "hashpartitioning" not in text

@@ -7,6 +7,7 @@ import pytest
 from fixture import logs, rows
 
 from daybook import DateWindow, full_history_gmv, run_daily_gmv, state_complete_gmv
+from daybook.plans import incremental
 from daybook.sources.gold import read_gold
 
 FIRST = datetime(2023, 1, 1)
@@ -48,8 +49,11 @@ def test_input_order_does_not_matter(spark, seed):
     assert rows(full_history_gmv(again)) == first
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_late_run_equals_full_rebuild(spark, tmp_path, seed):
+@pytest.mark.parametrize("limit", [incremental.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("seed", range(3))
+def test_late_run_equals_full_rebuild(spark, tmp_path, monkeypatch, seed, limit):
+    """With the keys of the rebuilt days broadcast, and with the way taken when they are many."""
+    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
     events = logs(spark, *_events(100 + seed))
     cut = (FIRST + timedelta(days=LATE_FROM)).date()
     window = DateWindow(cut, date(2023, 2, 28))
