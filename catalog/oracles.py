@@ -37,7 +37,8 @@ product_item AS (
   FROM lineitem
 ),
 extra_info AS (
-  SELECT happened AS transaction_datetime, CAST(happened AS DATE) AS transaction_date, purchase_id, subsidiary
+  SELECT happened AS transaction_datetime, CAST(happened AS DATE) AS transaction_date,
+         purchase_id, subsidiary
   FROM (
     SELECT o_orderdate + to_hours(1) AS happened, CAST(o_orderkey AS VARCHAR) AS purchase_id,
            r_name AS subsidiary

@@ -9,10 +9,14 @@ from pyspark.sql import types as T
 # Plain decimal notation. Text such as 1e3 is a double but not an integer.
 PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
 
+# A time of day followed by an offset or a zone.
+ZONED = r":.*[-+A-Za-z]"
+
 
 def to_event_time(cell: Column) -> Column:
-    """Wall-clock time in the session zone; an explicit offset is converted first."""
-    return cell.try_cast("timestamp").cast("timestamp_ntz")
+    """Wall-clock time as written; one with an offset is turned into the session's zone."""
+    zoned = cell.try_cast("timestamp").cast("timestamp_ntz")
+    return F.when(cell.rlike(ZONED), zoned).otherwise(cell.try_cast("timestamp_ntz"))
 
 
 def to_int(cell: Column) -> Column:

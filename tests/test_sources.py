@@ -27,19 +27,40 @@ def test_integers(spark, text, value):
 
 
 def test_times(spark):
-    texts = ["2023-02-03 01:02:03", "2023-02-03T01:02:03.000-03:00", "2023-02-03", "soon", None]
+    texts = [
+        "2023-02-03 01:02:03",
+        "2023-02-03T01:02:03.000-03:00",
+        "2023-02-03T01:02:03Z",
+        "2023-02-03",
+        "soon",
+        "1:x",
+        None,
+    ]
     cells = spark.createDataFrame([(t,) for t in texts], "c string").select(
         to_event_time(F.col("c"))
     )
     assert [r[0] for r in cells.collect()] == [
         datetime(2023, 2, 3, 1, 2, 3),
         datetime(2023, 2, 3, 4, 2, 3),
+        datetime(2023, 2, 3, 1, 2, 3),
         datetime(2023, 2, 3),
         None,
         None,
+        None,
     ]
 
 
+def test_times_without_offset_do_not_depend_on_the_zone(spark):
+    """Midnight of that day does not exist in the zone set here."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        cell = spark.createDataFrame([("1998-10-11 00:00:00",)], "c string")
+        assert cell.select(to_event_time(F.col("c"))).first()[0] == datetime(1998, 10, 11)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_bad_cells_become_null_and_are_reported(spark):
     bad = [("2023-02-03 00:00:00", "0056", "1", "2.7", "x"), ("never", "57", "1", "y", "1.5")]
     raw = raw_logs(spark, items=bad).product_item
