@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 
 FOLDER = os.environ.get("DAYBOOK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -37,7 +39,7 @@ def _rows(columns, rows):
 EMPTY = {"dq_gold_grain"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     result = queries()[name](spark, FOLDER)
     expected = duck.sql(oracle_sql()[name])
@@ -48,7 +50,9 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
