@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import exact_tree
+from daybook.llm import exact_tree, mil, pivotal
 from daybook.llm.stage import ROW, table
 
 
+def op2_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_tree.exact_dedup(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotal.mix_sources(table(spark, sf_dir, "documents")).drop(ROW, "copies")
+
+
 QUERIES = {
+    "op2_mil": op2_mil,
     "op3_exact_tree": op3_exact_tree,
+    "op10_pivotal": op10_pivotal,
 }
 
 ORACLES = {

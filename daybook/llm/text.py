@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes that part words: 0x20 and 0x09 to 0x0D.
 SPACE = np.zeros(256, dtype=bool)
@@ -49,6 +50,22 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def pieces(batches, column: str | int, limit: int = 4 << 20):
+    """Cut record batches so that the texts of each piece have at most ``limit`` bytes, or are one
+    row. It bounds the memory that numpy needs beside a text."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+        total = np.cumsum(sizes)
+        begin = 0
+        while begin < batch.num_rows:
+            done = total[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(total, done + limit, side="right")))
+            yield batch.slice(begin, stop - begin)
+            begin = stop
+
+
 class Words:
     """All words of a batch: ``start`` and ``end`` bytes, the ``row`` each is in, and ``first``,
     the number of the first word of each row (``n + 1`` entries)."""
