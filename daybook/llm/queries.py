@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import exact_tree, mil, pivotal
+from daybook.llm import exact_tree, mil, partenum, pivotal, spaced_seed
 from daybook.llm.stage import ROW, table
 
 
+def op1_spaced_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, tests = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return spaced_seed.decontaminate(docs, tests).drop(ROW)
+
+
 def op2_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -16,13 +21,19 @@ def op3_exact_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_tree.exact_dedup(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op6_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_classes(table(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal.mix_sources(table(spark, sf_dir, "documents")).drop(ROW, "copies")
 
 
 QUERIES = {
+    "op1_spaced_seed": op1_spaced_seed,
     "op2_mil": op2_mil,
     "op3_exact_tree": op3_exact_tree,
+    "op6_partenum": op6_partenum,
     "op10_pivotal": op10_pivotal,
 }
 
