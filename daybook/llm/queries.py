@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import exact_tree, mil, partenum, pivotal, spaced_seed
+from daybook.llm import (
+    difference_cover,
+    exact_tree,
+    fm_index,
+    mil,
+    partenum,
+    pivotal,
+    spaced_seed,
+)
 from daybook.llm.stage import ROW, table
 
 
@@ -21,10 +29,18 @@ def op3_exact_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_tree.exact_dedup(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_index.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_classes(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op7_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return difference_cover.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal.mix_sources(table(spark, sf_dir, "documents")).drop(ROW, "copies")
 
@@ -33,7 +49,9 @@ QUERIES = {
     "op1_spaced_seed": op1_spaced_seed,
     "op2_mil": op2_mil,
     "op3_exact_tree": op3_exact_tree,
+    "op4_fm_index": op4_fm_index,
     "op6_partenum": op6_partenum,
+    "op7_difference_cover": op7_difference_cover,
     "op10_pivotal": op10_pivotal,
 }
 
