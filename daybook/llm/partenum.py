@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.stage import ROW, cut, numbered, parallelism
-from daybook.llm.text import GOLDEN, Words, mix, pieces, rolling, stream
+from daybook.llm.text import GOLDEN, Words, buffer_of, mix, pieces, rolling, stream
 
 SHINGLE = 4
 #: Least similarity, in hundredths: intersection * 100 >= PERCENT * union.
@@ -23,6 +23,10 @@ PERCENT = 85
 BAND = 1.4
 #: So many parts beyond what the pigeonhole principle asks for, plus one for each so many differences.
 SPARE_EVERY = 20
+#: Bits of a set's sketch.
+SKETCH = 1024
+#: Members of one signature that a task compares with as many others.
+BLOCK = 2048
 
 
 def shingle_sets(column: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
@@ -70,6 +74,23 @@ def _sums(of: np.ndarray, features: np.ndarray, n: int, seed: int) -> np.ndarray
         return mix(low.astype(np.uint64) * GOLDEN ^ mix(high.astype(np.uint64)))
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set, which of ``SKETCH`` classes of features have an odd number of members. Where two
+    sketches differ there is a feature that only one set has, so that the number of differing bits
+    never exceeds the number of features in which the sets differ."""
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    bit = np.repeat(np.arange(len(sets)) * SKETCH, size) + (mix(flat ^ GOLDEN) % np.uint64(SKETCH)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=len(sets) * SKETCH) & 1).astype(bool)
+    return np.packbits(odd.reshape(len(sets), SKETCH), axis=1).view(np.uint64).reshape(len(sets), -1)
+
+
+def may_link(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether sets with sketches ``x, y`` and sizes ``m, n`` can be similar; never wrongly no."""
+    apart = np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
+    return (apart <= differences(m + n, percent) // 2) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+
+
 def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of each set, and the number of the set each belongs to.
 
@@ -121,20 +142,20 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
 
 
 def _documents(source: DataFrame) -> DataFrame:
-    """``ROW, doc_id, n_shingles, node``: the node is the hash of the set, so that equal sets are
-    one node."""
+    """``ROW, doc_id, n_shingles, node, sketch``: the node is the hash of the set, so that equal sets
+    are one node."""
 
     def read(batches):
         for batch in pieces(batches, "text"):
             sets = shingle_sets(batch.column("text"))
             size = np.array([len(s) for s in sets], dtype=np.int64)
             node = set_keys(sets, size).view(np.int64)
-            own = [batch.column(ROW), batch.column("doc_id")]
-            yield pa.record_batch([*own, pa.array(size), pa.array(node)], names)
+            own = [batch.column(ROW), batch.column("doc_id"), pa.array(size), pa.array(node)]
+            yield pa.record_batch([*own, pa.array([x.tobytes() for x in sketches(sets)], pa.binary())], names)
 
-    names = [ROW, "doc_id", "n_shingles", "node"]
-    counts = [F.lit(0).cast("long").alias(c) for c in names[2:]]
-    return cut(source.mapInArrow(read, source.select(ROW, "doc_id", *counts).schema), "sets")
+    names = [ROW, "doc_id", "n_shingles", "node", "sketch"]
+    blank = [*(F.lit(0).cast("long").alias(c) for c in names[2:4]), F.lit(b"").alias("sketch")]
+    return cut(source.mapInArrow(read, source.select(ROW, "doc_id", *blank).schema), "sets")
 
 
 def _buckets(source: DataFrame, percent: int) -> DataFrame:
@@ -195,6 +216,81 @@ def _buckets(source: DataFrame, percent: int) -> DataFrame:
     return cut(dealt.mapInArrow(share, "sig long, node long, head long, size long"), "buckets")
 
 
+def _array_of(column: pa.Array) -> np.ndarray:
+    """Sketches of a column, one a row."""
+    return buffer_of(column)[0].view(np.uint64).reshape(len(column), -1)
+
+
+def _promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that their sketches and sizes do not rule out."""
+
+    def sift(batches):
+        for batch in batches:
+            x, y = _array_of(batch.column("x")), _array_of(batch.column("y"))
+            m, n = np.asarray(batch.column("m")), np.asarray(batch.column("n"))
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(x, y, m, n, percent)))
+
+    left, right = nodes.toDF("a", "m", "x"), nodes.toDF("b", "n", "y")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y")
+    return cut(both.mapInArrow(sift, "a long, b long"), "pairs")
+
+
+def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of a signature that have different labels and that sketches do not rule out.
+
+    ``members``: ``sig, node, label, n_shingles, sketch, total``, the last being the number of members
+    of the signature. They are dealt to blocks, and every pair of blocks is a group of its own, so
+    that no task holds more than two blocks or gives out anything but promising pairs.
+    """
+
+    def compare(batches):
+        held, at = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: np.asarray(batch.column(c)) for c in ("sig", "low", "high", "own", "node", "label", "n_shingles")}
+            rows["sketch"] = _array_of(batch.column("sketch"))
+            key = np.stack([rows["sig"], rows["low"], rows["high"]], 1)
+            head = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
+            for begin, end in zip(head, np.append(head[1:], len(key))):
+                now = tuple(key[begin])
+                if now != at and held:
+                    yield within(held)
+                    held = []
+                at = now
+                held.append({c: v[begin:end] for c, v in rows.items()})
+        if held:
+            yield within(held)
+
+    def within(held):
+        rows = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+        first = rows["own"] == rows["low"]
+        x, y = np.flatnonzero(first), np.flatnonzero(rows["own"] == rows["high"])
+        out = [np.zeros((0, 2), np.int64)]
+        step = max(1, (1 << 17) // max(1, len(y)))
+        for begin in range(0, len(x), step):
+            i, j = (v.ravel() for v in np.meshgrid(x[begin : begin + step], y, indexing="ij"))
+            good = rows["label"][i] != rows["label"][j]
+            if rows["low"][0] == rows["high"][0]:
+                good &= i < j
+            i, j = i[good], j[good]
+            m, n = rows["n_shingles"][i], rows["n_shingles"][j]
+            good = may_link(rows["sketch"][i], rows["sketch"][j], m, n, percent)
+            pair = np.stack([rows["node"][i[good]], rows["node"][j[good]]], 1)
+            out.append(np.sort(pair, axis=1))
+        pairs = np.concatenate(out)
+        return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    blocks = F.ceil(F.col("total") / BLOCK)
+    dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    dealt = dealt.select("sig", "low", "high", "own", "node", "label", "n_shingles", "sketch")
+    n = parallelism(members.sparkSession)
+    dealt = dealt.repartition(n, "sig", "low", "high").sortWithinPartitions("sig", "low", "high")
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar, by counting common features."""
 
@@ -254,24 +350,27 @@ def jaccard_links(
 
     Nodes that share a signature are first compared with the least of them. What that leaves in
     different components is then compared pair by pair, so no link between components is lost, and
-    a large group of near copies is not expanded into pairs. ``df`` must be a stored table.
+    a large group of near copies is not expanded into pairs. Either way sketches come first, and
+    only what they cannot rule out is counted on whole sets. ``df`` must be a stored table.
     """
     source = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     docs = _documents(source)
+    nodes = docs.filter("n_shingles > 0").groupBy("node").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     buckets = _buckets(source.select(ROW, "text"), percent)
-    star = buckets.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    star = cut(star.distinct(), "pairs")
+    star = buckets.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    star = _promising(star, nodes, percent)
     links = _verified(star, docs, source, percent)
     labels = components(links)
 
-    named = buckets.filter("size > 2").select("sig", "node").join(labels, "node", "left")
+    named = buckets.filter("size > 2").select("sig", "node").distinct().join(labels, "node", "left")
     named = named.select("sig", "node", F.coalesce("label", "node").alias("label"))
-    mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = cut(named.join(mixed.filter("low != high").select("sig"), "sig"), "open")
-    x, y = mixed.toDF("sig", "a", "la"), mixed.toDF("sig", "b", "lb")
-    rest = x.join(y, "sig").filter("la != lb AND a < b").select("a", "b").distinct()
+    mixed = named.groupBy("sig").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("total"))
+    mixed = mixed.filter("low != high").select("sig", "total")
+    members = named.join(mixed, "sig").join(nodes, "node")
     star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(rest.join(star, ["a", "b"], "left_anti"), "pairs")
+    rest = cut(_cross_pairs(members, percent).join(star, ["a", "b"], "left_anti"), "pairs")
     return docs, links.unionByName(_verified(rest, docs, source, percent))
 
 

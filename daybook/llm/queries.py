@@ -8,6 +8,7 @@ from daybook.llm import (
     difference_cover,
     exact_tree,
     fm_index,
+    katz,
     mil,
     partenum,
     pivotal,
@@ -33,6 +34,10 @@ def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_index.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.log_probabilities(table(spark, sf_dir, "documents"))
+
+
 def op6_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_classes(table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_mil": op2_mil,
     "op3_exact_tree": op3_exact_tree,
     "op4_fm_index": op4_fm_index,
+    "op5_katz": op5_katz,
     "op6_partenum": op6_partenum,
     "op7_difference_cover": op7_difference_cover,
     "op10_pivotal": op10_pivotal,
