@@ -25,6 +25,8 @@ SHARD = 1 << 20
 PIECE = 2 << 20
 
 COVERED, SHARED, CROWDED = 0, 1, 2
+#: Where a null identifier ranks.
+LAST_ID = 2**63 - 1
 FOUND = ["kind", "anchor", "id", ROW, "start", "n", "copies"]
 PLACE_BITS = np.uint64(28)
 
@@ -102,24 +104,48 @@ def segments(symbols: np.ndarray, first: np.ndarray, unit: Unit) -> dict[str, np
     return {"row": row[head], "start": start[head], "n": n, "anchor": grams[at[head]], "content": content}
 
 
+FILED = ["anchor", "content", "id", ROW, "start", "n", "copies"]
+
+
+def _first_copies(content, id, row, start) -> np.ndarray:
+    """For each segment of a piece: how many equal ones the piece has, if it is the first of them in
+    order of identifier, row and place; else 0."""
+    copies = np.ones(len(content), dtype=np.int64)
+    order = np.argsort(content, kind="stable")
+    head = np.flatnonzero(np.append(True, content[order][1:] != content[order][:-1])[: len(order)])
+    size = np.diff(head, append=len(order))
+    among = order[np.repeat(size > 1, size)]
+    if len(among):
+        among = among[np.lexsort([start[among], row[among], id[among], content[among]])]
+        size = size[size > 1]
+        copies[among] = 0
+        copies[among[np.cumsum(size) - size]] = size
+    return copies
+
+
+def _file(found, id, row_no) -> pa.RecordBatch:
+    row = found["row"]
+    copies = _first_copies(found["content"], id[row], row, found["start"])
+    columns = [
+        found["anchor"].view(np.int64),
+        found["content"].view(np.int64),
+        id[row],
+        row_no[row],
+        found["start"],
+        found["n"],
+        copies,
+    ]
+    return pa.record_batch([*map(pa.array, columns)], FILED)
+
+
 def _filed(source: DataFrame, unit: Unit) -> DataFrame:
     def file(batches):
         for batch in pieces(batches, "text", PIECE):
             found = segments(*unit.read(batch.column("text")), unit)
-            row = pa.array(found["row"])
-            yield pa.record_batch(
-                [
-                    pa.array(found["anchor"].view(np.int64)),
-                    pa.array(found["content"].view(np.int64)),
-                    batch.column("id").take(row),
-                    batch.column(ROW).take(row),
-                    pa.array(found["start"]),
-                    pa.array(found["n"]),
-                ],
-                ["anchor", "content", "id", ROW, "start", "n"],
-            )
-
-    return source.mapInArrow(file, f"anchor long, content long, id long, {ROW} long, start long, n long")
+            id = np.asarray(batch.column("id").fill_null(LAST_ID))
+            yield _file(found, id, np.asarray(batch.column(ROW)))
+
+    return source.mapInArrow(file, ", ".join(f"{c} long" for c in FILED))
 
 
 def _collapse(filed: DataFrame, crowd: int, all_copies: bool) -> DataFrame:
@@ -129,7 +155,8 @@ def _collapse(filed: DataFrame, crowd: int, all_copies: bool) -> DataFrame:
     earlier or, with ``all_copies``, in any equal segment. Kind ``SHARED``: one segment of each
     content under an anchor that has several contents, or of the only one if it has copies and
     ``all_copies`` is off. Kind ``CROWDED``: the same, of anchors with more than ``crowd`` contents.
-    A task keeps no more than that of one anchor, and no copies.
+    A task keeps no more than that of one anchor, and no copies. Copies that were found where the
+    segment was made (``copies`` is 0) pass through, and are dealt by row.
     """
 
     def emit(kind, rows, copies):
@@ -137,7 +164,7 @@ def _collapse(filed: DataFrame, crowd: int, all_copies: bool) -> DataFrame:
         return pa.record_batch([pa.array(np.ascontiguousarray(c, dtype=np.int64)) for c in columns], FOUND)
 
     def collapse(batches):
-        rows = np.zeros((0, 6), dtype=np.int64)  # distinct segments of the last anchor
+        rows = np.zeros((0, 7), dtype=np.int64)  # distinct segments of the last anchor
         copies = np.zeros(0, dtype=np.int64)
         crowded = None  # the last anchor, if it has too many
 
@@ -159,9 +186,14 @@ def _collapse(filed: DataFrame, crowd: int, all_copies: bool) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = np.stack([np.asarray(batch.column(i).fill_null(2**63 - 1)) for i in range(6)], 1)
+            new = np.stack([np.asarray(batch.column(c)) for c in FILED], 1)
+            known = new[:, 6] == 0
+            yield emit(COVERED, new[known], new[known, 6])
+            new = new[~known]
             every = np.concatenate([rows, new])
-            weight = np.concatenate([copies, np.ones(len(new), np.int64)])
+            if not len(every):
+                continue
+            weight = np.concatenate([copies, new[:, 6]])
             fresh = np.ones(len(every), dtype=bool)
             fresh[1:] = (every[1:, :2] != every[:-1, :2]).any(1)
             yield emit(COVERED, every[~fresh], weight[~fresh])
@@ -178,8 +210,9 @@ def _collapse(filed: DataFrame, crowd: int, all_copies: bool) -> DataFrame:
             yield from settle(rows, copies)
 
     n = parallelism(filed.sparkSession)
-    order = ["anchor", "content", F.col("id").asc_nulls_last(), ROW, "start"]
-    dealt = filed.repartition(n, "anchor").sortWithinPartitions(*order)
+    order = ["anchor", "content", "id", ROW, "start"]
+    by = F.when(F.col("copies") > 0, F.col("anchor")).otherwise(F.xxhash64(ROW, "start"))
+    dealt = filed.repartition(n, by).sortWithinPartitions(*order).select(FILED)
     return cut(dealt.mapInArrow(collapse, ", ".join(f"{c} long" for c in FOUND)), "segments")
 
 
@@ -233,11 +266,12 @@ def _single_windows(found: DataFrame, source: DataFrame, unit: Unit) -> DataFram
             start = seg["start"][of] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             whole = run_hash(symbols, unit.window)
             key = whole[first[row[of]] + start].view(np.int64)
-            columns = [key, key, seg["id"][of], np.asarray(batch.column(ROW))[row[of]], start, np.ones(len(of), np.int64)]
-            yield pa.record_batch([*map(pa.array, columns)], ["anchor", "content", "id", ROW, "start", "n"])
+            windows = {"row": row[of], "start": start, "n": np.ones(len(of), np.int64), "anchor": key, "content": key}
+            id = np.full(batch.num_rows, LAST_ID)
+            id[row] = seg["id"]
+            yield _file(windows, id, np.asarray(batch.column(ROW)))
 
-    schema = f"anchor long, content long, id long, {ROW} long, start long, n long"
-    return _with_text(found, source).mapInArrow(file, schema)
+    return _with_text(found, source).mapInArrow(file, ", ".join(f"{c} long" for c in FILED))
 
 
 def shards(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str, np.ndarray]]:
