@@ -11,6 +11,7 @@ from daybook.llm import (
     katz,
     mil,
     partenum,
+    pii_weak,
     pivotal,
     spaced_seed,
 )
@@ -46,6 +47,10 @@ def op7_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return difference_cover.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_weak.personal_data(table(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal.mix_sources(table(spark, sf_dir, "documents")).drop(ROW, "copies")
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op5_katz": op5_katz,
     "op6_partenum": op6_partenum,
     "op7_difference_cover": op7_difference_cover,
+    "op8_pii_weak": op8_pii_weak,
     "op10_pivotal": op10_pivotal,
 }
 
