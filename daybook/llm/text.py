@@ -104,7 +104,7 @@ class Words:
         length = self.end - self.start
         places = stream(int(length.max()), 29) | np.uint64(1)
         out = np.empty(len(self.start), dtype=np.uint64)
-        block, begin = 1 << 20, 0  # words at a time, to bound the temporary arrays
+        block, begin = 1 << 16, 0  # words at a time, to bound the temporary arrays
         with np.errstate(over="ignore"):
             while begin < len(self.start):
                 stop = int(np.searchsorted(self.start, self.start[begin] + (block << 2)))
