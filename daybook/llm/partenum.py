@@ -141,13 +141,13 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
     return np.concatenate(out), np.concatenate(owners)
 
 
-def _documents(source: DataFrame) -> DataFrame:
+def _documents(source: DataFrame, shingle: int) -> DataFrame:
     """``ROW, doc_id, n_shingles, node, sketch``: the node is the hash of the set, so that equal sets
     are one node."""
 
     def read(batches):
         for batch in pieces(batches, "text"):
-            sets = shingle_sets(batch.column("text"))
+            sets = shingle_sets(batch.column("text"), shingle)
             size = np.array([len(s) for s in sets], dtype=np.int64)
             node = set_keys(sets, size).view(np.int64)
             own = [batch.column(ROW), batch.column("doc_id"), pa.array(size), pa.array(node)]
@@ -158,13 +158,13 @@ def _documents(source: DataFrame) -> DataFrame:
     return cut(source.mapInArrow(read, source.select(ROW, "doc_id", *blank).schema), "sets")
 
 
-def _buckets(source: DataFrame, percent: int) -> DataFrame:
+def _buckets(source: DataFrame, percent: int, shingle: int) -> DataFrame:
     """``sig, node, head, size``: members of signatures that several nodes share, ``head`` being the
     least of them. Nodes reach a task sorted by signature, and are read in one pass."""
 
     def sign(batches):
         for batch in pieces(batches, "text"):
-            sets = shingle_sets(batch.column("text"))
+            sets = shingle_sets(batch.column("text"), shingle)
             node = set_keys(sets, np.array([len(s) for s in sets], dtype=np.int64))
             _, first = np.unique(node, return_index=True)
             code, owner = signatures([sets[i] for i in first], percent)
@@ -291,12 +291,14 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, docs: DataFrame, source: DataFrame, percent: int, shingle: int
+) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar, by counting common features."""
 
     def sets_of(batches):
         for batch in pieces(batches, "text"):
-            blobs = [s.tobytes() for s in shingle_sets(batch.column("text"))]
+            blobs = [s.tobytes() for s in shingle_sets(batch.column("text"), shingle)]
             yield pa.record_batch([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "features"])
 
     def compare(batches):
@@ -343,7 +345,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_links(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    shingle: int = SHINGLE,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents with the node of their set (``ROW, doc_id, n_shingles, node``), and links ``a, b``
     between nodes, enough to connect all that similar pairs connect.
@@ -354,13 +360,13 @@ def jaccard_links(
     only what they cannot rule out is counted on whole sets. ``df`` must be a stored table.
     """
     source = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    docs = _documents(source)
+    docs = _documents(source, shingle)
     nodes = docs.filter("n_shingles > 0").groupBy("node").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    buckets = _buckets(source.select(ROW, "text"), percent)
+    buckets = _buckets(source.select(ROW, "text"), percent, shingle)
     star = buckets.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     star = _promising(star, nodes, percent)
-    links = _verified(star, docs, source, percent)
+    links = _verified(star, docs, source, percent, shingle)
     labels = components(links)
 
     named = buckets.filter("size > 2").select("sig", "node").distinct().join(labels, "node", "left")
@@ -371,11 +377,15 @@ def jaccard_links(
     members = named.join(mixed, "sig").join(nodes, "node")
     star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = cut(_cross_pairs(members, percent).join(star, ["a", "b"], "left_anti"), "pairs")
-    return docs, links.unionByName(_verified(rest, docs, source, percent))
+    return docs, links.unionByName(_verified(rest, docs, source, percent, shingle))
 
 
 def jaccard_classes(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """One row per row of ``df``: ``doc_id, n_shingles, component_id`` and the row's number
     (``stage.ROW``).
@@ -385,24 +395,32 @@ def jaccard_classes(
     Null and empty texts have no shingles and stay alone, each with its own identifier. Repeated
     rows are separate documents with equal sets. An empty table gives an empty result.
     """
-    docs, links = jaccard_links(df, id_col, text_col, percent)
+    return _classes(df, id_col, text_col, percent, shingle).drop("label")
+
+
+def _classes(df: DataFrame, id_col="doc_id", text_col="text", percent=PERCENT, shingle=SHINGLE) -> DataFrame:
+    """``jaccard_classes`` with a label per component; null for a text without words."""
+    docs, links = jaccard_links(df, id_col, text_col, percent, shingle)
     labels = components(links)
     nodes = docs.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     heads = nodes.groupBy("label").agg(F.min("least").alias("component_id"))
-    nodes = cut(nodes.join(heads, "label").select("node", "component_id"), "components")
-    alone = docs.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), ROW)
-    classed = docs.filter("n_shingles > 0").join(nodes, "node")
-    return classed.select("doc_id", "n_shingles", "component_id", ROW).unionByName(alone)
+    nodes = cut(nodes.join(heads, "label").select("node", "component_id", "label"), "components")
+    columns = ["doc_id", "n_shingles", "component_id", "label", ROW]
+    none = F.lit(None).cast("long").alias("label")
+    alone = docs.filter("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), none, ROW)
+    classed = docs.filter("n_shingles > 0").join(nodes, "node").select(columns)
+    return classed.unionByName(alone)
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` that stay, with all their columns: of each component the one with the
     least identifier, of equal ones the first row; every document without words. ``df`` must be a
-    stored table."""
-    classes = jaccard_classes(df, id_col, text_col)
-    first = classes.filter("n_shingles > 0").groupBy("component_id").agg(
+    stored table. ``options`` are those of ``jaccard_classes``."""
+    classes = _classes(df, **options)
+    first = classes.filter("label IS NOT NULL").groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("best"))
     stay = first.select(F.col(f"best.{ROW}").alias(ROW))
-    stay = cut(stay.union(classes.filter("n_shingles = 0").select(ROW)), "stay")
+    stay = cut(stay.union(classes.filter("label IS NULL").select(ROW)), "stay")
     return numbered(df).join(stay, ROW, "left_semi").drop(ROW)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm import (
+    blocks_lstm,
     difference_cover,
     exact_tree,
     fm_index,
@@ -51,6 +52,10 @@ def op8_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_weak.personal_data(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op9_blocks_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks_lstm.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal.mix_sources(table(spark, sf_dir, "documents")).drop(ROW, "copies")
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op6_partenum": op6_partenum,
     "op7_difference_cover": op7_difference_cover,
     "op8_pii_weak": op8_pii_weak,
+    "op9_blocks_lstm": op9_blocks_lstm,
     "op10_pivotal": op10_pivotal,
 }
 
