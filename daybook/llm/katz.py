@@ -50,7 +50,7 @@ def pack(values: np.ndarray, sort: bool = False) -> bytes:
     """Integers as compressed byte planes; ``sort``: ascending ones, by their differences."""
     if sort:
         values = np.diff(values, prepend=values[:1] * 0)
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
     return pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
@@ -371,7 +371,8 @@ def score_rows(source: DataFrame, model: Model) -> DataFrame:
 
     Each token is scored where the part of the table that its context is in lies: by the discounted
     count if the pair was seen, else by the backoff weight and the unigram of its class; and a rare
-    word, in a part of the unigram table, by its share in the class. Sums per text are added up.
+    word, in a part of the unigram table, by its share in the class. The sums per text of a piece of
+    texts travel together, and are added up.
     """
     classes, offset = model.classes, model.word_parts
     discount, scale, backoff = model.discount, model.scale, model.backoff
@@ -409,10 +410,27 @@ def score_rows(source: DataFrame, model: Model) -> DataFrame:
                 with np.errstate(divide="ignore"):
                     logs = np.log10(p)
                 sums = [np.bincount(text, x.astype(np.float64)[key], len(number)) for x in (n, sure, base, logs)]
-                some = np.bincount(text, minlength=len(number)) > 0
-                whole = [pa.array(np.rint(x[some]).astype(np.int64)) for x in sums[:2]]
-                yield pa.record_batch([pa.array(number[some]), *whole, *(pa.array(x[some]) for x in sums[2:])], names)
+                columns = [[number[0]], [len(number)], [pack(number, sort=True)], [pack(np.concatenate(sums))]]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["piece", "n", "row_nos", "sums"])
 
+    def add(batches):
+        held, sums, at = None, None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["piece"] != at:
+                    if held is not None:
+                        yield rows_of(held, sums)
+                    at, held, sums = row["piece"], unpack(row["row_nos"], row["n"], np.int64, sort=True), 0.0
+                sums = sums + unpack(row["sums"], 4 * row["n"], np.float64)
+        if held is not None:
+            yield rows_of(held, sums)
+
+    def rows_of(number, sums):
+        sums = sums.reshape(4, -1)
+        whole = [pa.array(np.rint(x).astype(np.int64)) for x in sums[:2]]
+        return pa.record_batch([pa.array(number), *whole, *map(pa.array, sums[2:])], names)
+
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     names = [ROW, "n_tokens", "n_known", "base_score", "score"]
     blank = [F.lit(0).cast("long").alias("kind")]
     empty = [F.lit(None).cast("binary").alias("texts"), F.lit(0).cast("long").alias("m"),
@@ -421,9 +439,9 @@ def score_rows(source: DataFrame, model: Model) -> DataFrame:
     tables = model.words.unionByName(model.pairs.withColumn("part", F.col("part") + offset))
     rows = tables.select("*", *blank, *empty).select(order).unionByName(_keys_of_texts(source, model))
     dealt = rows.repartition(parallelism(source.sparkSession), "part").sortWithinPartitions("part", "kind")
-    schema = f"{ROW} long, n_tokens long, n_known long, base_score double, score double"
-    sums = dealt.mapInArrow(look, schema).groupBy(ROW)
-    return sums.agg(*[F.sum(c).alias(c) for c in names[1:]])
+    parts = dealt.mapInArrow(look, "piece long, n long, row_nos binary, sums binary")
+    by_piece = parts.repartition(parallelism(source.sparkSession), "piece").sortWithinPartitions("piece")
+    return by_piece.mapInArrow(add, f"{ROW} long, n_tokens long, n_known long, base_score double, score double")
 
 
 def log_probabilities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
