@@ -73,8 +73,11 @@ QUERIES = {
     "op10_pivotal": op10_pivotal,
 }
 
+# Words, and windows of words, of every text (values fixed by the contract).
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLES = {
-    "op3_exact_tree": r"""
+    "op3_exact_tree": """
         WITH t AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
@@ -83,4 +86,22 @@ ORACLES = {
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM t WINDOW g AS (PARTITION BY text_sha256)
     """,
+    "op4_fm_index": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d),
+        windows AS (
+            SELECT doc_id, s, row_number() OVER (
+                PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) > 1 AS again
+            FROM starts),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM windows WHERE again),
+        lists AS (SELECT doc_id, list(i) AS i FROM gone GROUP BY doc_id),
+        kept AS (
+            SELECT d.doc_id, len(w) AS n_words, coalesce(len(i), 0) AS n_removed,
+                   CASE WHEN i IS NULL THEN w ELSE list_select(w, list_filter(range(1, len(w) + 1),
+                        lambda x: NOT list_contains(i, x))) END AS rest
+            FROM d LEFT JOIN lists USING (doc_id))
+        SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256
+        FROM kept
+    """,
 }
