@@ -235,6 +235,31 @@ def _promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return cut(both.mapInArrow(sift, "a long, b long"), "pairs")
 
 
+def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Of each signature one member, picked by a hash, with every member of another component that
+    the sketches do not rule out."""
+
+    def sift(batches):
+        for batch in batches:
+            x, y = _array_of(batch.column("x")), _array_of(batch.column("sketch"))
+            m, n = np.asarray(batch.column("m")), np.asarray(batch.column("n_shingles"))
+            good = may_link(x, y, m, n, percent)
+            pair = np.stack([np.asarray(batch.column("center")), np.asarray(batch.column("node"))], 1)
+            pair = np.sort(pair[good], axis=1)
+            yield pa.record_batch([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+
+    center = F.min(F.struct(F.xxhash64("sig", "node"), "node", "label", "n_shingles", "sketch")).alias("c")
+    centers = members.groupBy("sig").agg(center).select(
+        "sig",
+        F.col("c.node").alias("center"),
+        F.col("c.label").alias("its"),
+        F.col("c.n_shingles").alias("m"),
+        F.col("c.sketch").alias("x"),
+    )
+    both = members.join(centers, "sig").filter("label != its")
+    return both.select("center", "node", "m", "n_shingles", "x", "sketch").mapInArrow(sift, "a long, b long")
+
+
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of a signature that have different labels and that sketches do not rule out.
 
@@ -354,10 +379,11 @@ def jaccard_links(
     """Documents with the node of their set (``ROW, doc_id, n_shingles, node``), and links ``a, b``
     between nodes, enough to connect all that similar pairs connect.
 
-    Nodes that share a signature are first compared with the least of them. What that leaves in
-    different components is then compared pair by pair, so no link between components is lost, and
-    a large group of near copies is not expanded into pairs. Either way sketches come first, and
-    only what they cannot rule out is counted on whole sets. ``df`` must be a stored table.
+    Nodes that share a signature are first compared with the least of them, and then, where they
+    are in different components, with one that a hash picks for each signature. What that leaves in
+    different components is compared pair by pair, so no link between components is lost, and a
+    large group of near copies is not expanded into pairs. Sketches come first each time, and only
+    what they cannot rule out is counted on whole sets. ``df`` must be a stored table.
     """
     source = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     docs = _documents(source, shingle)
@@ -369,15 +395,23 @@ def jaccard_links(
     links = _verified(star, docs, source, percent, shingle)
     labels = components(links)
 
+    star = cut(_star_pairs(_open(buckets, labels, nodes), percent).distinct(), "pairs")
+    more = _verified(star, docs, source, percent, shingle)
+    links = links.unionByName(more)
+    labels = components(links)
+    rest = cut(_cross_pairs(_open(buckets, labels, nodes), percent), "pairs")
+    return docs, links.unionByName(_verified(rest, docs, source, percent, shingle))
+
+
+def _open(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``sig, node, label, n_shingles, sketch, total``: members of signatures that hold several
+    components. ``total`` counts the members of the signature."""
     named = buckets.filter("size > 2").select("sig", "node").distinct().join(labels, "node", "left")
     named = named.select("sig", "node", F.coalesce("label", "node").alias("label"))
     mixed = named.groupBy("sig").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("total"))
     mixed = mixed.filter("low != high").select("sig", "total")
-    members = named.join(mixed, "sig").join(nodes, "node")
-    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(_cross_pairs(members, percent).join(star, ["a", "b"], "left_anti"), "pairs")
-    return docs, links.unionByName(_verified(rest, docs, source, percent, shingle))
+    return named.join(mixed, "sig").join(nodes, "node")
 
 
 def jaccard_classes(
