@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.stage import sampled
 from daybook.llm.text import Words, pieces
 
 #: The model is fitted on at most so many pages, those of least hash, none longer than so many bytes.
@@ -383,9 +384,9 @@ def train(pages: list[list[Block]], rounds: int = 12, batch: int = 24, rate: flo
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Labeller:
     """Learn from at most ``sample`` pages, the same ones in every run."""
     html = F.col(html_col)
-    some = pages.select(F.xxhash64(F.col(id_col), html).alias("key"), html.alias("html"))
-    some = some.filter(html.isNotNull() & (F.octet_length("html") <= SAMPLE_BYTES))
-    rows = some.orderBy("key", "html").limit(sample).collect()
+    some = pages.select(F.col(id_col).alias("id"), html.alias("html"))
+    some = some.filter(F.col("html").isNotNull() & (F.octet_length("html") <= SAMPLE_BYTES))
+    rows = sampled(some, sample, F.col("id"), F.col("html")).collect()
     return train([leaf_blocks(r["html"]) for r in rows])
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.stage import ROW, crc_rest, cut, numbered, parallelism
-from daybook.llm.text import Words, mix, pieces, stream
+from daybook.llm.text import Words, mix, pack, pieces, stream, unpack
 
 #: A word of its own has at least this share of the training tokens.
 SHARE = 1 << 20
@@ -46,21 +46,6 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, words.first + np.arange(n + 1)
 
 
-def pack(values: np.ndarray, sort: bool = False) -> bytes:
-    """Integers as compressed byte planes; ``sort``: ascending ones, by their differences."""
-    if sort:
-        values = np.diff(values, prepend=values[:1] * 0)
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
-    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
-
-
-def unpack(blob: bytes, n: int, kind, sort: bool = False) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(blob, n * width, "zstd", asbytes=True), np.uint8)
-    values = np.ascontiguousarray(planes.reshape(width, n).T).view(kind).reshape(n)
-    return np.cumsum(values, dtype=kind) if sort else values
-
-
 def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sum of their weights."""
     if weights is None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.stage import crc_rest
+from daybook.llm.stage import crc_rest, sampled
 from daybook.llm.text import Words, pieces
 
 #: Words in a passage; the last passage of a text is shorter, an empty text has one empty passage.
@@ -213,7 +213,7 @@ def fit(
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     known = known.dropna().filter(crc_rest(F.col("id"), 3) != 1)
     known = known.groupBy("id").agg(F.round(F.avg("label")).alias("label"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
+    known = sampled(known, sample, F.col("id"))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.filter(F.octet_length("text") <= SAMPLE_BYTES)
     rows = texts.join(F.broadcast(known), "id")

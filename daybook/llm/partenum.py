@@ -13,18 +13,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.stage import ROW, cut, numbered, parallelism
-from daybook.llm.text import GOLDEN, Words, buffer_of, mix, pieces, rolling, stream
+from daybook.llm.text import GOLDEN, Words, buffer_of, mix, pack, pieces, rolling, stream, unpack
 
 SHINGLE = 4
 #: Least similarity, in hundredths: intersection * 100 >= PERCENT * union.
 PERCENT = 85
 
-#: Sizes of a band span this factor. Each part has two cells and tolerates one difference.
+#: Sizes of a band span this factor.
 BAND = 1.4
+#: Cells of a part, of which one may differ.
+CELLS = 3
 #: So many parts beyond what the pigeonhole principle asks for, plus one for each so many differences.
 SPARE_EVERY = 20
-#: Bits of a set's sketch.
+#: Least bits of a set's sketch.
 SKETCH = 1024
+#: Bits of a feature's hash in the final comparison.
+KEPT_BITS = 56
 #: Members of one signature that a task compares with as many others.
 BLOCK = 2048
 
@@ -62,43 +66,86 @@ def set_keys(sets: list[np.ndarray], size: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each whole set."""
     flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
     of = np.repeat(np.arange(len(sets)), size)
-    return _sums(of, flat, len(sets), 5) ^ mix(size.astype(np.uint64))
+    return _joined(*_halves(of, flat, len(sets), 5)) ^ mix(size.astype(np.uint64))
 
 
-def _sums(of: np.ndarray, features: np.ndarray, n: int, seed: int) -> np.ndarray:
-    """Hash of the features of each of ``n`` cells, in whatever order: exact sums of both halves."""
+def _halves(of: np.ndarray, features: np.ndarray, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``n`` groups of features the sums of both halves of their hashes; exact."""
     with np.errstate(over="ignore"):
         keys = mix(features + stream(1, seed)[0])
-        low = np.bincount(of, (keys & np.uint64(0xFFFFFFFF)).astype(np.float64), n)
-        high = np.bincount(of, (keys >> np.uint64(32)).astype(np.float64), n)
+    low = np.bincount(of, (keys & np.uint64(0xFFFFFFFF)).astype(np.float64), n)
+    return low, np.bincount(of, (keys >> np.uint64(32)).astype(np.float64), n)
+
+
+def _joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
         return mix(low.astype(np.uint64) * GOLDEN ^ mix(high.astype(np.uint64)))
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Per set, which of ``SKETCH`` classes of features have an odd number of members. Where two
-    sketches differ there is a feature that only one set has, so that the number of differing bits
-    never exceeds the number of features in which the sets differ."""
+def sketches(sets: list[np.ndarray]) -> list[bytes]:
+    """Per set, which classes of features have an odd number of members; there are about twice as
+    many classes as features. Where two sketches differ there is a feature that only one set has, so
+    that the number of differing bits never exceeds the number of features in which sets differ."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
+    if not len(size):
+        return []
+    bits = np.maximum(SKETCH, 1 << np.ceil(np.log2(2 * np.maximum(size, 1))).astype(np.int64))
+    base = np.cumsum(bits) - bits
     flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    bit = np.repeat(np.arange(len(sets)) * SKETCH, size) + (mix(flat ^ GOLDEN) % np.uint64(SKETCH)).astype(np.int64)
-    odd = (np.bincount(bit, minlength=len(sets) * SKETCH) & 1).astype(bool)
-    return np.packbits(odd.reshape(len(sets), SKETCH), axis=1).view(np.uint64).reshape(len(sets), -1)
-
-
-def may_link(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether sets with sketches ``x, y`` and sizes ``m, n`` can be similar; never wrongly no."""
-    apart = np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
-    return (apart <= differences(m + n, percent) // 2) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+    of = np.repeat(np.arange(len(sets)), size)
+    place = (mix(flat ^ GOLDEN) & (bits[of] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(base[of] + place, minlength=int(bits.sum())) & 1).astype(bool)
+    packed = np.packbits(odd)
+    return [packed[b : b + n].tobytes() for b, n in zip((base >> 3).tolist(), (bits >> 3).tolist())]
+
+
+class Sketches:
+    """A column of sketches. Their lengths are powers of two, and folding one in half gives the
+    sketch with half the classes."""
+
+    def __init__(self, column: pa.Array):
+        data, offsets = buffer_of(column)
+        self.words, self.start = np.frombuffer(data.tobytes(), np.uint64), offsets[:-1] >> 3
+        self.size = np.diff(offsets) >> 3
+
+    def _folded(self, rows: np.ndarray, size: int, to: int) -> np.ndarray:
+        x = self.words[self.start[rows][:, None] + np.arange(size)]
+        while size > to:
+            size >>= 1
+            x = x[:, :size] ^ x[:, size:]
+        return x
+
+    def apart(self, rows: np.ndarray, other: Sketches, its: np.ndarray) -> np.ndarray:
+        """In how many classes ``rows`` differ from rows ``its`` of the other column."""
+        out = np.zeros(len(rows), dtype=np.int64)
+        m, n = self.size[rows], other.size[its]
+        for both in np.unique(m * (1 << 32) + n):
+            a, b = int(both >> 32), int(both & 0xFFFFFFFF)
+            at = np.flatnonzero((m == a) & (n == b))
+            to = min(a, b)
+            x, y = self._folded(rows[at], a, to), other._folded(its[at], b, to)
+            out[at] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+        return out
+
+
+def may_link(x: Sketches, i, y: Sketches, j, m: np.ndarray, n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether the sets of rows ``i`` and ``j``, of sizes ``m`` and ``n``, can be similar; never
+    wrongly no."""
+    good = (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & (n > 0)
+    at = np.flatnonzero(good)
+    good[at] = x.apart(i[at], y, j[at]) <= differences(m[at] + n[at], percent) // 2
+    return good
 
 
 def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of each set, and the number of the set each belongs to.
 
     A set takes part in the band of its own size and, if a similar set can lie there, in the next
-    one. In a band whose sets may differ in ``k`` features there are ``k // 2 + spare`` parts of two
-    cells; at least ``spare`` parts hold at most one difference and so an equal cell. A cell without
-    features says little: a set with empty cells in fewer than ``spare`` parts leaves them out, which
-    still leaves an equal signature. Sets too small to differ have none; only equal ones are similar.
+    one. In a band whose sets may differ in ``k`` features there are ``k // 2 + spare`` parts of
+    ``CELLS`` cells, and a signature for each choice of all but one cell of a part. At least ``spare``
+    parts hold at most one difference, and so agree on all but one cell. A choice without features
+    says little: a set with such choices in fewer than ``spare`` parts leaves them out, which still
+    leaves an equal signature. Sets too small to differ have none; only equal ones are similar.
     """
     size = np.array([len(s) for s in sets], dtype=np.int64)
     edges = band_edges(int(size.max(initial=0)) * 2 + 2)
@@ -117,7 +164,8 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
             continue
         k, band, many = k[number], band[number], size[number]
         spare = 1 + k // SPARE_EVERY
-        cells = 2 * (k // 2 + spare)
+        parts = k // 2 + spare
+        cells = CELLS * parts
         first = np.cumsum(cells) - cells
         of = np.repeat(np.arange(len(number)), many)
         inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -125,16 +173,19 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
         with np.errstate(over="ignore"):
             place = mix(features + mix(band.astype(np.uint64) + np.uint64(977))[of])
             cell = ((place >> np.uint64(32)) * cells[of].astype(np.uint64)) >> np.uint64(32)
-        total = int(cells.sum())
         at = first[of] + cell.astype(np.int64)
-        filled = np.bincount(at, minlength=total)
+        total = int(cells.sum())
         row = np.repeat(np.arange(len(number)), cells)
         local = np.arange(total) - np.repeat(first, cells)
+        # Of each part, all cells but one: sums over the part less those of the cell.
+        low, high = (x - np.repeat(x.reshape(-1, CELLS).sum(1), CELLS) for x in _halves(at, features, total, 17))
+        filled = np.bincount(at, minlength=total)
+        filled = np.repeat(filled.reshape(-1, CELLS).sum(1), CELLS) - filled
         with np.errstate(over="ignore"):
             name = mix(band[row].astype(np.uint64) * np.uint64(1 << 32) + local.astype(np.uint64))
-            code = mix(_sums(at, features, total, 17) + name)
-        hollow = (filled[0::2] == 0) | (filled[1::2] == 0)
-        drops = np.bincount(row[0::2], hollow, len(number)) < spare
+            code = mix(_joined(-low, -high) + name)
+        hollow = (filled == 0).reshape(-1, CELLS).any(1)
+        drops = np.bincount(row[::CELLS], hollow, len(number)) < spare
         keep = (filled > 0) | ~drops[row]
         out.append(code[keep])
         owners.append(number[row[keep]])
@@ -151,7 +202,7 @@ def _documents(source: DataFrame, shingle: int) -> DataFrame:
             size = np.array([len(s) for s in sets], dtype=np.int64)
             node = set_keys(sets, size).view(np.int64)
             own = [batch.column(ROW), batch.column("doc_id"), pa.array(size), pa.array(node)]
-            yield pa.record_batch([*own, pa.array([x.tobytes() for x in sketches(sets)], pa.binary())], names)
+            yield pa.record_batch([*own, pa.array(sketches(sets), pa.binary())], names)
 
     names = [ROW, "doc_id", "n_shingles", "node", "sketch"]
     blank = [*(F.lit(0).cast("long").alias(c) for c in names[2:4]), F.lit(b"").alias("sketch")]
@@ -216,19 +267,15 @@ def _buckets(source: DataFrame, percent: int, shingle: int) -> DataFrame:
     return cut(dealt.mapInArrow(share, "sig long, node long, head long, size long"), "buckets")
 
 
-def _array_of(column: pa.Array) -> np.ndarray:
-    """Sketches of a column, one a row."""
-    return buffer_of(column)[0].view(np.uint64).reshape(len(column), -1)
-
-
 def _promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that their sketches and sizes do not rule out."""
 
     def sift(batches):
         for batch in batches:
-            x, y = _array_of(batch.column("x")), _array_of(batch.column("y"))
+            x, y = Sketches(batch.column("x")), Sketches(batch.column("y"))
             m, n = np.asarray(batch.column("m")), np.asarray(batch.column("n"))
-            yield batch.select(["a", "b"]).filter(pa.array(may_link(x, y, m, n, percent)))
+            row = np.arange(batch.num_rows)
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(x, row, y, row, m, n, percent)))
 
     left, right = nodes.toDF("a", "m", "x"), nodes.toDF("b", "n", "y")
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y")
@@ -241,9 +288,10 @@ def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     def sift(batches):
         for batch in batches:
-            x, y = _array_of(batch.column("x")), _array_of(batch.column("sketch"))
+            x, y = Sketches(batch.column("x")), Sketches(batch.column("sketch"))
             m, n = np.asarray(batch.column("m")), np.asarray(batch.column("n_shingles"))
-            good = may_link(x, y, m, n, percent)
+            row = np.arange(batch.num_rows)
+            good = may_link(x, row, y, row, m, n, percent)
             pair = np.stack([np.asarray(batch.column("center")), np.asarray(batch.column("node"))], 1)
             pair = np.sort(pair[good], axis=1)
             yield pa.record_batch([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
@@ -274,7 +322,6 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = {c: np.asarray(batch.column(c)) for c in ("sig", "low", "high", "own", "node", "label", "n_shingles")}
-            rows["sketch"] = _array_of(batch.column("sketch"))
             key = np.stack([rows["sig"], rows["low"], rows["high"]], 1)
             head = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
             for begin, end in zip(head, np.append(head[1:], len(key))):
@@ -283,12 +330,16 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
                     yield within(held)
                     held = []
                 at = now
-                held.append({c: v[begin:end] for c, v in rows.items()})
+                held.append(
+                    {c: v[begin:end] for c, v in rows.items()}
+                    | {"sketch": batch.column("sketch").slice(begin, end - begin)}
+                )
         if held:
             yield within(held)
 
     def within(held):
-        rows = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+        rows = {c: np.concatenate([h[c] for h in held]) for c in held[0] if c != "sketch"}
+        sketch = Sketches(pa.concat_arrays([h["sketch"] for h in held]))
         first = rows["own"] == rows["low"]
         x, y = np.flatnonzero(first), np.flatnonzero(rows["own"] == rows["high"])
         out = [np.zeros((0, 2), np.int64)]
@@ -300,7 +351,7 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
                 good &= i < j
             i, j = i[good], j[good]
             m, n = rows["n_shingles"][i], rows["n_shingles"][j]
-            good = may_link(rows["sketch"][i], rows["sketch"][j], m, n, percent)
+            good = may_link(sketch, i, sketch, j, m, n, percent)
             pair = np.stack([rows["node"][i[good]], rows["node"][j[good]]], 1)
             out.append(np.sort(pair, axis=1))
         pairs = np.concatenate(out)
@@ -319,19 +370,22 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
 def _verified(
     pairs: DataFrame, docs: DataFrame, source: DataFrame, percent: int, shingle: int
 ) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar, by counting common features."""
+    """The pairs ``a, b`` whose sets are similar, by counting common features. Of a feature's hash
+    ``KEPT_BITS`` travel, by differences of neighbours: enough to tell the features of two sets
+    apart."""
 
     def sets_of(batches):
         for batch in pieces(batches, "text"):
-            blobs = [s.tobytes() for s in shingle_sets(batch.column("text"), shingle)]
-            yield pa.record_batch([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "features"])
+            sets = shingle_sets(batch.column("text"), shingle)
+            blobs = [pack(s >> np.uint64(64 - KEPT_BITS), sort=True) for s in sets]
+            size = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.record_batch([batch.column("node"), size, pa.array(blobs, pa.binary())], names)
 
     def compare(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
+            for x, m, y, n in zip(*(batch.column(c).to_pylist() for c in ("x", "m", "y", "n"))):
+                x, y = unpack(x, m, np.uint64, sort=True), unpack(y, n, np.uint64, sort=True)
                 both = np.concatenate([x, y])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
@@ -341,9 +395,10 @@ def _verified(
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     one = docs.groupBy("node").agg(F.min(ROW).alias(ROW)).join(wanted, "node")
     texts = source.select(ROW, "text").join(one, ROW).select("node", "text")
-    sets = cut(texts.mapInArrow(sets_of, "node long, features binary"), "features")
-    left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    names = ["node", "size", "features"]
+    sets = cut(texts.mapInArrow(sets_of, "node long, size long, features binary"), "features")
+    left, right = sets.toDF("a", "m", "x"), sets.toDF("b", "n", "y")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "m", "x", "n", "y")
     return cut(both.mapInArrow(compare, "a long, b long"), "links")
 
 

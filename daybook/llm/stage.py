@@ -9,16 +9,37 @@ from daybook.session import scratch_folder
 
 ROW = "__row_no"
 
+#: Spark's own setting for dropping the shuffle files of a query once it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the folder all executors share and read it back: what follows neither
-    repeats the work nor depends on the executors that did it."""
+    repeats the work nor depends on the executors that did it. Its shuffle files are dropped, since
+    nothing can need them again."""
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(df: DataFrame, n: int, *key: Column) -> DataFrame:
+    """``n`` rows of ``df``, those of least hash of ``key``. Tasks send on about four times as many
+    rows in all, however many tasks there are."""
+    total = df.count()
+    bound = -(2**63) + min(2**64 - 1, 4 * n * 2**64 // max(total, 1))
+    hashed = df.withColumn("__hash", F.xxhash64(*key)).filter(F.col("__hash") <= bound)
+    return hashed.orderBy("__hash", *key).limit(n).drop("__hash")
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """``df`` with a number for each row. Rows of a stored table get the same numbers whenever it
     is read, repeated rows different ones."""

@@ -1,4 +1,3 @@
-import numpy as np
 import pytest
 
 import brute
@@ -55,11 +54,3 @@ def test_nothing_to_learn_from(stored):
     identifier = next(i for i in range(100) if brute.rest(i, 7) == 2)
     (row,) = katz.log_probabilities(stored([(identifier, "a b")], "doc_id long, text string")).collect()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (True, 3, 0, 0, 0, 0)
-
-
-def test_packing():
-    rng = np.random.default_rng(0)
-    for values in (rng.integers(0, 2**63, 1000, dtype=np.uint64), np.zeros(0, np.uint64), np.array([2**64 - 1], np.uint64)):
-        keys = np.sort(values)
-        assert (katz.unpack(katz.pack(keys, sort=True), len(keys), np.uint64, sort=True) == keys).all()
-        assert (katz.unpack(katz.pack(values), len(values), np.uint64) == values).all()

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 
 import brute
-from daybook.llm.text import Words, pieces, rolling
+from daybook.llm.text import Words, pack, pieces, rolling, unpack
 
 
 def test_words_and_hashes(odd, documents):
@@ -34,3 +34,11 @@ def test_pieces_cut_by_bytes():
     batch = pa.record_batch([pa.array(["a" * 10, None, "b" * 100, "c", "d" * 30])], ["t"])
     got = [p.num_rows for p in pieces([batch], "t", 50)]
     assert got == [2, 1, 2] and sum(got) == 5
+
+
+def test_packing():
+    rng = np.random.default_rng(0)
+    for values in (rng.integers(0, 2**63, 1000, dtype=np.uint64), np.zeros(0, np.uint64), np.array([2**64 - 1], np.uint64)):
+        keys = np.sort(values)
+        assert (unpack(pack(keys, sort=True), len(keys), np.uint64, sort=True) == keys).all()
+        assert (unpack(pack(values), len(values), np.uint64) == values).all()
