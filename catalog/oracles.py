@@ -79,7 +79,8 @@ def over_logs(sql: str, value: str = "l_extendedprice") -> str:
 
 
 def latest(name: str, where: str = ALL, keys: str = "purchase_id") -> str:
-    newest_first = ", ".join(f"{c} DESC NULLS LAST" for c in ORDER[name])
+    order = ORDER["purchase" if name == "given" else name]
+    newest_first = ", ".join(f"{c} DESC NULLS LAST" for c in order)
     return (
         f"(SELECT * FROM {name} WHERE {where} QUALIFY row_number() OVER "
         f"(PARTITION BY {keys} ORDER BY {newest_first}) = 1)"
@@ -217,12 +218,40 @@ UNION ALL
 SELECT * FROM old WHERE transaction_date NOT IN (SELECT transaction_date FROM fresh)
 """
 
-CONTRACT = f"""
+
+def contract(where: str) -> str:
+    return f"""
 SELECT *, concat_ws(',', CASE WHEN subsidiary IS NULL THEN 'subsidiary_null' END,
                     CASE WHEN gmv IS NULL THEN 'gmv_null' END) AS broken_rules
-FROM ({gmv(WINDOW)}) WHERE subsidiary IS NULL OR gmv IS NULL
+FROM ({gmv(where)}) WHERE subsidiary IS NULL OR gmv IS NULL
+"""
+
+
+QUARANTINED = """
+SELECT table_name, purchase_id, bad_columns, count(*) AS n FROM (
+  SELECT 'purchase' AS table_name, purchase_id, concat_ws(',',
+           CASE WHEN prod_item_id = '5-LOW' THEN 'transaction_datetime' END,
+           CASE WHEN producer_id = 'F' AND release_date IS NOT NULL THEN 'release_date' END
+         ) AS bad_columns FROM purchase
+  UNION ALL
+  SELECT 'product_item', purchase_id, CASE WHEN item_quantity > 40 THEN 'item_quantity'
+                                           WHEN item_quantity <= 10 THEN 'purchase_value' ELSE '' END
+  FROM product_item
+  UNION ALL
+  SELECT 'extra_info', purchase_id, CASE WHEN subsidiary = 'ASIA' THEN 'transaction_date' ELSE '' END
+  FROM extra_info
+) WHERE bad_columns <> '' GROUP BY ALL
 """
 
+
+def scaled_lines(factor: str) -> str:
+    return (
+        f"SELECT purchase_id, round(purchase_value * item_quantity / {factor}, 4) AS gmv_value "
+        f"FROM ({STATE}) WHERE release_date IS NOT NULL"
+    )
+
+
+
 ANOMALY = f"""
 SELECT transaction_date, subsidiary, gmv, z_score FROM (
   SELECT *, round((gmv - avg(gmv) OVER w) / nullif(stddev_samp(gmv) OVER w, 0), 4) AS z_score,
@@ -242,20 +271,37 @@ SELECT *, round(gmv - previous_gmv, 2) AS delta FROM (
 
 DROPS = f"""
 , per_day AS (
-  SELECT transaction_date, sum(CAST(gmv AS DECIMAL(28,2))) AS total FROM ({gmv()})
+  SELECT transaction_date, sum(coalesce(CAST(gmv AS DECIMAL(28,2)), 0)) AS total FROM ({gmv()})
   GROUP BY transaction_date
+),
+calendar AS (
+  SELECT CAST(unnest(generate_series(min(transaction_date), max(transaction_date), INTERVAL 1 DAY))
+              AS DATE) AS transaction_date FROM per_day
+),
+filled AS (
+  SELECT c.transaction_date, coalesce(p.total, 0) AS total
+  FROM calendar c LEFT JOIN per_day p ON c.transaction_date = p.transaction_date
 )
 SELECT d.transaction_date, CAST(d.total AS DOUBLE) AS gmv, CAST(b.total AS DOUBLE) AS previous_gmv
-FROM per_day d JOIN per_day b ON d.transaction_date = b.transaction_date + 1
-WHERE d.total < CAST(0.8 AS DECIMAL(2,1)) * b.total
+FROM filled d JOIN filled b ON d.transaction_date = b.transaction_date + 1
+WHERE b.total > 0 AND d.total < CAST(0.8 AS DECIMAL(2,1)) * b.total
 """
 
+LATE = "transaction_date BETWEEN DATE '2001-07-01' AND DATE '2002-12-31'"
+REVERSED = "transaction_date BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'"
+
+
 METRICS = f"""
-, gold AS ({state_complete(WINDOW)})
+, gold AS ({state_complete(LATE)}), old AS ({gmv("transaction_date < DATE '2001-07-01'")})
 SELECT 'purchase_events' AS metric, count(*) AS value FROM purchase
 UNION ALL SELECT 'gold_rows', count(*) FROM gold
 UNION ALL SELECT 'days_written', count(DISTINCT transaction_date) FROM gold
-UNION ALL SELECT 'days_cleared', 0
+UNION ALL SELECT 'days_cleared', count(DISTINCT transaction_date) FROM old
+  WHERE transaction_date IN ({impacted(LATE)})
+    AND transaction_date NOT IN (SELECT transaction_date FROM gold)
+UNION ALL SELECT 'undated_purchase', count(*) FROM purchase WHERE transaction_date IS NULL
+UNION ALL SELECT 'contract_violations', count(*) FROM gold WHERE subsidiary IS NULL OR gmv IS NULL
+UNION ALL SELECT 'grain_violations', 0
 """
 
 FIRST_ROWS = f"SELECT * FROM ({gmv(DEFAULT)}) ORDER BY transaction_date, subsidiary NULLS FIRST"
@@ -301,14 +347,17 @@ _SQL = {
     "daily_gmv_asof": gmv("transaction_date <= DATE '1998-06-30'"),
     "daily_gmv_multi_item": gmv(item_keys="purchase_id, product_id"),
     "daily_gmv_backfill": state_complete(BACKFILL),
+    "daily_gmv_rebuild_days": (
+        f"SELECT * FROM ({FULL}) WHERE transaction_date IN "
+        "(DATE '1996-05-02', DATE '1998-01-15', DATE '2000-11-30')"
+    ),
     "daily_gmv_state_complete": state_complete(WINDOW),
     "impacted_dates": impacted(WINDOW),
     "gold_roundtrip": FULL,
     "gold_roundtrip_csv": FULL,
     "gold_incremental_overwrite": OVERWRITTEN,
-    "gold_late_correction": FULL,
-    "gold_idempotent": FULL,
     "gold_from_snapshots": FULL,
+    "gold_from_snapshots_gap": FULL,
     "gold_decimal": (
         "SELECT transaction_date, subsidiary, CAST(gmv AS DECIMAL(18,2)) AS gmv "
         f"FROM ({gmv(DEFAULT)}) WHERE transaction_date IS NOT NULL AND subsidiary IS NOT NULL "
@@ -323,11 +372,11 @@ _SQL = {
     "dq_orphan_items": unmatched("product_item", "purchase"),
     "dq_purchases_without_items": unmatched("purchase", "product_item"),
     "dq_bad_casts": BAD_CELLS,
-    "dq_gold_contract": CONTRACT,
-    "dq_gold_grain": (
-        f"SELECT transaction_date, subsidiary, count(*) AS n FROM ({gmv(DEFAULT)}) "
-        "GROUP BY transaction_date, subsidiary HAVING count(*) > 1"
-    ),
+    "dq_gold_contract": contract(WINDOW),
+    "gold_quarantine": contract(DEFAULT),
+    "bronze_quarantine": QUARANTINED,
+    "bronze_ingested": gmv(WINDOW),
+    "dq_gold_grain": f"SELECT transaction_date, subsidiary, 2 AS n FROM ({FULL}) WHERE {REVERSED}",
     "dq_gmv_anomaly": ANOMALY,
     "mon_partition_rows": (
         f"SELECT transaction_date, count(*) AS row_count FROM ({FULL}) GROUP BY transaction_date"
@@ -335,14 +384,52 @@ _SQL = {
     "mon_freshness": freshness(),
     "mon_duplicates": duplicates(),
     "mon_daily_delta": DELTA,
-    "mon_run_metrics": METRICS,
     "alert_gmv_drop": DROPS,
 }
 
 REFUNDS = "CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END"
+WIDE_REFUNDS = "CASE WHEN l_returnflag = 'R' THEN -1e20 ELSE l_extendedprice END"
+
+# Late events that take back the payment of every purchase of one month.
+REVERSALS = f""", purchase AS (
+  SELECT * FROM given
+  UNION ALL
+  SELECT TIMESTAMP '2001-07-11', DATE '2001-07-11', purchase_id, buyer_id, prod_item_id, order_date,
+         NULL, producer_id
+  FROM {latest("given", "transaction_date < DATE '2001-07-01'")}
+  WHERE release_date IS NOT NULL AND {REVERSED}
+)
+"""
+
+
+def over_reversed_logs(sql: str) -> str:
+    given = over_logs("").replace("WITH purchase AS (", "WITH given AS (", 1)
+    return given + REVERSALS + sql
+
+
+WIDE_DAYS = f"""
+SELECT p.transaction_date, e.subsidiary,
+       round(sum(i.purchase_value * i.item_quantity) / 1e14, 2) AS gmv
+FROM {latest("purchase")} p
+LEFT JOIN {latest("product_item")} i ON p.purchase_id = i.purchase_id
+LEFT JOIN {latest("extra_info")} e ON p.purchase_id = e.purchase_id
+WHERE p.release_date IS NOT NULL
+GROUP BY p.transaction_date, e.subsidiary
+"""
 
 ORACLES = {name: over_logs(sql) for name, sql in _SQL.items()} | {
+    "gold_late_correction": over_reversed_logs(FULL),
+    "gold_idempotent": over_reversed_logs(FULL),
+    "mon_run_metrics": over_reversed_logs(METRICS),
+    "gmv_lines_fine": over_logs(scaled_lines("1e-10"), "l_extendedprice * 1e-10"),
+    "gmv_lines_wide": over_logs(scaled_lines("1e14"), "l_extendedprice * 1e14"),
+    "daily_gmv_wide": over_logs(WIDE_DAYS, "l_extendedprice * 1e14"),
     "dq_negative_lines": over_logs(f"SELECT * FROM ({LINES}) WHERE gmv_value < 0", REFUNDS),
+    "dq_negative_lines_wide": over_logs(
+        f"SELECT purchase_id, purchase_value * item_quantity AS gmv_value FROM ({STATE}) "
+        "WHERE release_date IS NOT NULL AND purchase_value < 0",
+        WIDE_REFUNDS,
+    ),
     "dq_negative_gmv": over_logs(f"SELECT * FROM ({FULL}) WHERE gmv < 0", REFUNDS),
     "latest_event_per_user": (
         "SELECT * FROM events QUALIFY row_number() OVER "

@@ -7,7 +7,7 @@ they read back.
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +19,13 @@ from daybook.operators import state
 from daybook.operators.latest import latest_by
 from daybook.operators.window import DateWindow, date_bounds, resolve_window
 from daybook.plans import incremental, metric
-from daybook.plans.run import LITERAL, RunReport, run_daily_gmv
+from daybook.plans.ingest import ingest_logs
+from daybook.plans.run import LITERAL, STATE_COMPLETE, RunReport, run_daily_gmv
 from daybook.schemas import LOG_SCHEMAS
 from daybook.session import scratch_folder
 from daybook.sinks import files
 from daybook.sinks import gold as gold_sink
-from daybook.sources.bronze import conform, conform_logs, read_typed, scan_raw
+from daybook.sources.bronze import conform, conform_logs, read_logs, read_typed, scan_raw
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
 from daybook.sources.order_tables import as_raw_text, item_events, order_logs, read_table
 
@@ -35,6 +36,10 @@ START_ONLY, TODAY = date(2000, 10, 1), date(2001, 1, 1)
 END_ONLY = date(1999, 12, 31)
 AS_OF = date(1998, 6, 30)
 LATE = DateWindow(date(2001, 7, 1), date(2002, 12, 31))
+REVERSED = DateWindow(date(1996, 3, 1), date(1996, 3, 31))
+REVERSED_ON = date(2001, 7, 11)
+REBUILT = [date(1996, 5, 2), date(1998, 1, 15), date(2000, 11, 30)]
+GAP = DateWindow(date(2002, 1, 1), date(2002, 12, 31))
 EMPTY = DateWindow(date(2030, 1, 1), date(2030, 12, 31))
 NOBODY_PAID = DateWindow(date(1995, 1, 1), date(1995, 1, 5))
 
@@ -202,6 +207,25 @@ def gmv_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _lines(order_logs(spark, folder))
 
 
+def scaled_lines(factor: str):
+    """Lines at prices that no decimal of eight places holds."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        logs = order_logs(spark, folder)
+        items = item_events(spark, folder, f"l_extendedprice * {factor}")
+        value = F.round(F.col("gmv_value") / F.expr(factor), 4).alias("gmv_value")
+        return _lines(replace(logs, product_item=items)).select("purchase_id", value)
+
+    return query
+
+
+def daily_gmv_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of prices beyond any decimal."""
+    items = item_events(spark, folder, "l_extendedprice * 1e14")
+    gold = metric.full_history_gmv(replace(order_logs(spark, folder), product_item=items))
+    return gold.withColumn("gmv", F.round(F.col("gmv") / 1e14, 2))
+
+
 # The metric
 
 
@@ -234,6 +258,10 @@ def impacted_dates(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.impacted_dates(order_logs(spark, folder), WINDOW)
 
 
+def daily_gmv_rebuild_days(spark: SparkSession, folder: str) -> DataFrame:
+    return incremental.rebuild_days(order_logs(spark, folder), REBUILT)
+
+
 def daily_gmv_state_complete(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.state_complete_gmv(order_logs(spark, folder), WINDOW)
 
@@ -268,28 +296,53 @@ def gold_incremental_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     return read_gold(spark, path)
 
 
+def _with_reversals(logs: EventLogs) -> EventLogs:
+    """The logs, and late events that take back the payment of every purchase of one month."""
+    known = logs.before(LATE.start).latest().purchase
+    day = F.lit(REVERSED_ON)
+    taken_back = state.paid(known).filter(REVERSED.covers("transaction_date")).withColumns(
+        {
+            "transaction_datetime": day.cast("timestamp_ntz"),
+            "transaction_date": day,
+            "release_date": F.lit(None).cast("date"),
+        }
+    )
+    return replace(logs, purchase=logs.purchase.unionByName(taken_back))
+
+
+def _late_run(spark: SparkSession, folder: str, times: int) -> tuple[str, RunReport]:
+    logs = _with_reversals(order_logs(spark, folder))
+    path = scratch_folder(spark, "gold-late")
+    gold_sink.overwrite_days(metric.gmv(logs.before(LATE.start)), path)
+    reports = [_run(logs, path, LATE) for _ in range(times)]
+    return path, reports[0]
+
+
 def late_run(times: int):
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        """Gold of the events before a day, then the later events: the full rebuild results."""
-        logs, path = order_logs(spark, folder), scratch_folder(spark, "gold-late")
-        gold_sink.overwrite_days(metric.gmv(logs.before(LATE.start)), path)
-        for _ in range(times):
-            _run(logs, path, LATE)
+        """Gold of the events before a day, then the later events, which empty a whole month: the
+        full rebuild results, and the days of that month are gone."""
+        path, _ = _late_run(spark, folder, times)
         return read_gold(spark, path)
 
     return query
 
 
-def gold_from_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """As the late run, with the earlier events read from silver instead of the logs."""
-    logs, path = order_logs(spark, folder), scratch_folder(spark, "gold-carried")
-    silver_path = scratch_folder(spark, "silver-carried")
-    before = logs.before(LATE.start)
-    files.write_silver(before.latest(), silver_path)
-    snapshots = files.read_silver(spark, silver_path)
-    gold_sink.overwrite_days(state.daily_total(state.purchase_state(snapshots)), path)
-    _run(logs, path, LATE, previous_silver=silver_path)
-    return read_gold(spark, path)
+def gold_from_snapshots(window: DateWindow):
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        """As the late run, with the earlier events read from silver instead of the logs. A window that
+        starts later than the snapshots end is widened to the days between."""
+        logs, path = order_logs(spark, folder), scratch_folder(spark, "gold-carried")
+        silver_path = scratch_folder(spark, "silver-carried")
+        before = logs.before(LATE.start)
+        covers = files.Coverage(LATE.start - timedelta(days=1), STATE_COMPLETE)
+        files.write_silver(before.latest(), silver_path, coverage=covers).forget()
+        snapshots = files.read_silver(spark, silver_path)
+        gold_sink.overwrite_days(state.daily_total(state.purchase_state(snapshots)), path)
+        _run(logs, path, window, previous_silver=silver_path)
+        return read_gold(spark, path)
+
+    return query
 
 
 def guarded_run(window: DateWindow):
@@ -307,12 +360,40 @@ def _table_name(path: str) -> str:
     return path.rsplit("/", 1)[1].replace("-", "_")
 
 
-def gold_decimal(spark: SparkSession, folder: str) -> DataFrame:
+def _decimal(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """The filled table, and the rejected rows as stored."""
     path = scratch_folder(spark, "gold-decimal")
     table = _table_name(path)
     gold_sink.create_decimal_table(spark, table, path)
-    gold_sink.fill_decimal_table(daily_gmv(spark, folder), table)
-    return spark.table(table)
+    rejected = scratch_folder(spark, "quarantine")
+    return table, gold_sink.fill_decimal_table(daily_gmv(spark, folder), table, rejected)
+
+
+def gold_decimal(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.table(_decimal(spark, folder)[0])
+
+
+def gold_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    return _decimal(spark, folder)[1].drop("rejected_at")
+
+
+def bronze_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Malformed raw folders are ingested; what could not be read is found in quarantine."""
+    raw, typed = scratch_folder(spark, "bronze-raw"), scratch_folder(spark, "bronze-ingested")
+    rejected = scratch_folder(spark, "quarantine")
+    files.append_logs(_malformed(spark, folder), raw)
+    ingest_logs(spark, raw, typed, rejected)
+    row = spark.read.parquet(rejected)
+    key = F.get_json_object("cells", "$.purchase_id").alias("purchase_id")
+    return row.groupBy("table_name", key, "bad_columns").agg(F.count(F.lit(1)).alias("n"))
+
+
+def bronze_ingested(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold of a window over logs that were ingested from raw folders."""
+    raw, typed = scratch_folder(spark, "bronze-raw"), scratch_folder(spark, "bronze-ingested")
+    files.append_logs(order_logs(spark, folder), raw)
+    ingest_logs(spark, raw, typed)
+    return metric.windowed_gmv(read_logs(spark, typed, "parquet"), WINDOW)
 
 
 def _registered(spark: SparkSession, folder: str) -> str:
@@ -370,8 +451,22 @@ def dq_gold_contract(spark: SparkSession, folder: str) -> DataFrame:
     return quality.contract_violations(daily_gmv_in(WINDOW)(spark, folder))
 
 
+def dq_negative_lines_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Negative lines whose prices no decimal holds."""
+    logs = order_logs(spark, folder)
+    refunds = "if(l_returnflag = 'R', -1e20, l_extendedprice)"
+    lines = _lines(EventLogs(logs.purchase, item_events(spark, folder, refunds), logs.extra_info))
+    return quality.negative_lines(lines).select("purchase_id", "gmv_value")
+
+
 def dq_gold_grain(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.grain_violations(daily_gmv(spark, folder))
+    """Stored gold into which one month was appended a second time."""
+    path = scratch_folder(spark, "gold-grain")
+    gold = daily_gmv_full_history(spark, folder)
+    gold_sink.overwrite_days(gold, path)
+    again = read_gold(spark, path).filter(REVERSED.covers("transaction_date"))
+    again.write.mode("append").partitionBy("transaction_date").parquet(path)
+    return quality.grain_violations(read_gold(spark, path))
 
 
 def dq_gmv_anomaly(spark: SparkSession, folder: str) -> DataFrame:
@@ -399,9 +494,10 @@ def alert_gmv_drop(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mon_run_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts a run reports; its duration is left out, being different each time."""
-    report = _run(order_logs(spark, folder), scratch_folder(spark, "gold-metrics"), WINDOW)
-    counts = ["purchase_events", "gold_rows", "days_written", "days_cleared"]
+    """Counts a late run reports; its duration is left out, being different each time."""
+    _, report = _late_run(spark, folder, times=1)
+    counts = ["purchase_events", "gold_rows", "days_written", "days_cleared", "undated_purchase",
+              "contract_violations", "grain_violations"]
     return (
         report.as_frame(spark)
         .filter(F.col("metric").isin(counts))
@@ -415,6 +511,8 @@ QUERIES = {
     "bronze_extra_info": bronze("extra_info"),
     "bronze_append": bronze_append,
     "bronze_typed_window": bronze_typed_window,
+    "bronze_quarantine": bronze_quarantine,
+    "bronze_ingested": bronze_ingested,
     "cast_tolerance": cast_tolerance,
     "cast_tolerance_dates": cast_tolerance_dates,
     "window_explicit": resolved(start="1997-03-01", end="1997-09-30"),
@@ -436,6 +534,8 @@ QUERIES = {
     "paid_purchases": paid_purchases,
     "unpaid_purchases": unpaid_purchases,
     "gmv_lines": gmv_lines,
+    "gmv_lines_fine": scaled_lines("1e-10"),
+    "gmv_lines_wide": scaled_lines("1e14"),
     "daily_gmv": daily_gmv,
     "daily_gmv_window": daily_gmv_in(WINDOW),
     "daily_gmv_window_early_end": daily_gmv_in(EARLY_END),
@@ -444,14 +544,18 @@ QUERIES = {
     "daily_gmv_multi_item": daily_gmv_multi_item,
     "daily_gmv_backfill": daily_gmv_backfill,
     "daily_gmv_state_complete": daily_gmv_state_complete,
+    "daily_gmv_rebuild_days": daily_gmv_rebuild_days,
+    "daily_gmv_wide": daily_gmv_wide,
     "impacted_dates": impacted_dates,
     "gold_roundtrip": gold_roundtrip("parquet"),
     "gold_roundtrip_csv": gold_roundtrip("csv"),
     "gold_incremental_overwrite": gold_incremental_overwrite,
     "gold_late_correction": late_run(times=1),
     "gold_idempotent": late_run(times=2),
-    "gold_from_snapshots": gold_from_snapshots,
+    "gold_from_snapshots": gold_from_snapshots(LATE),
+    "gold_from_snapshots_gap": gold_from_snapshots(GAP),
     "gold_decimal": gold_decimal,
+    "gold_quarantine": gold_quarantine,
     "gold_external_table": gold_external_table,
     "gold_query": gold_query,
     "gold_preview": gold_preview,
@@ -459,6 +563,7 @@ QUERIES = {
     "no_paid_window": guarded_run(NOBODY_PAID),
     "dq_null_counts": dq_null_counts,
     "dq_negative_lines": dq_negative_lines,
+    "dq_negative_lines_wide": dq_negative_lines_wide,
     "dq_negative_gmv": dq_negative_gmv,
     "dq_orphan_items": dq_orphan_items,
     "dq_purchases_without_items": dq_purchases_without_items,

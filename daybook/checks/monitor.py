@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -56,10 +57,16 @@ def daily_delta(gold: DataFrame) -> DataFrame:
 def gmv_drops(gold: DataFrame, share: float = DROP_ALERT) -> DataFrame:
     """Days whose total fell by more than ``share`` against the calendar day before.
 
+    A day between the first and the last of ``gold`` that has no rows, or only NULL amounts, counts
+    as 0: no sales are the largest drop. Amounts are compared as decimals, so that a fall by exactly
+    the share is none.
+
     Each day's total is added under its own date and, as the previous day, under the next one;
     one grouped sum then holds both. No self-join, no window over all days in one task.
     """
-    per_day = gold.groupBy(DAY).agg(F.sum(F.col("gmv").cast("decimal(28,2)")).alias("total"))
+    amount = F.coalesce(F.col("gmv").cast("decimal(28,2)"), F.lit(Decimal(0)))
+    per_day = gold.filter(F.col(DAY).isNotNull()).groupBy(DAY).agg(F.sum(amount).alias("total"))
+    last = per_day.agg(F.max(DAY)).scalar()
     none = F.lit(None).cast("decimal(38,2)")
     both = F.array(
         F.struct(F.col(DAY), F.col("total").alias("gmv"), none.alias("previous_gmv")),
@@ -67,13 +74,11 @@ def gmv_drops(gold: DataFrame, share: float = DROP_ALERT) -> DataFrame:
             F.date_add(DAY, 1).alias(DAY), none.alias("gmv"), F.col("total").alias("previous_gmv")
         ),
     )
-    kept = F.lit(1 - share)
-    return (
-        per_day.select(F.inline(both))
-        .groupBy(DAY)
-        .agg(
-            F.max("gmv").cast("double").alias("gmv"),
-            F.max("previous_gmv").cast("double").alias("previous_gmv"),
-        )
-        .filter(F.col("gmv") < kept * F.col("previous_gmv"))
+    kept = F.lit(1 - Decimal(str(share))).cast("decimal(10,6)")
+    gmv = F.coalesce(F.max("gmv"), F.lit(Decimal(0)))
+    days = per_day.select(F.inline(both)).groupBy(DAY)
+    days = days.agg(gmv.alias("gmv"), F.max("previous_gmv").alias("previous_gmv"))
+    fallen = (F.col("previous_gmv") > 0) & (F.col("gmv") < kept * F.col("previous_gmv"))
+    return days.filter(fallen & (F.col(DAY) <= last)).select(
+        DAY, F.col("gmv").cast("double"), F.col("previous_gmv").cast("double")
     )

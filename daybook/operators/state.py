@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.money import line_value, total
+from daybook.functions.money import line_total, total
 from daybook.logs import EventLogs
 from daybook.schemas import DAY, EVENT_TIME, KEY
 
@@ -38,7 +38,7 @@ def unpaid(purchases: DataFrame) -> DataFrame:
 
 def gmv_lines(state: DataFrame) -> DataFrame:
     """Paid purchases with their line value."""
-    return paid(state).withColumn("gmv_value", line_value().cast("double"))
+    return paid(state).withColumn("gmv_value", line_total())
 
 
 def daily_total(state: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import replace
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,21 +14,58 @@ from daybook.operators.state import daily_total, paid, purchase_state
 from daybook.operators.window import DateWindow
 from daybook.schemas import DAY, KEY
 
-# Measured size up to which purchase keys are broadcast, and what a row takes beside its key.
+# Up to this measured size purchase keys are broadcast; a parameter of every function that does so,
+# 0 turns it off. And what a row of a broadcast table takes beside its key: pointer, hash and header.
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD = 64
 
 
-def impacted_dates(logs: EventLogs, window: DateWindow) -> DataFrame:
+def days_of(df: DataFrame) -> list[date]:
+    """Distinct days in order. The calendar bounds this list, not the data."""
+    return sorted(row[0] for row in df.select(DAY).distinct().collect() if row[0] is not None)
+
+
+def fits_broadcast(keys: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the keys, measured now, take at most ``limit`` bytes as a broadcast table."""
+    if limit <= 0:
+        return False
+    size = keys.agg(F.sum(F.octet_length(KEY) + F.lit(ROW_OVERHEAD)).alias("bytes")).first()
+    return (size.bytes or 0) <= limit
+
+
+def only_of(events: DataFrame, keys: DataFrame) -> DataFrame:
+    """Events of the given purchases, picked while scanning. Only behind ``fits_broadcast``."""
+    return events.join(F.broadcast(keys.select(KEY)), KEY, "left_semi")
+
+
+def touched_keys(logs: EventLogs, window: DateWindow) -> DataFrame:
+    """Purchases with an event of any log in the window."""
+    keys = logs.within(window).map(lambda _, df: df.select(KEY))
+    return keys.purchase.union(keys.product_item).union(keys.extra_info).distinct()
+
+
+def impacted_dates(
+    logs: EventLogs, window: DateWindow, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Days whose total may change because of events dated in the window.
 
     A purchase is touched if any of its events, in any log, falls in the window. Every day on
     which a touched purchase ever had a paid event is impacted: value may leave its old day and
     arrive on a new one.
 
-    One shuffle by purchase: each task first folds its events to one row per purchase, the days
-    as a set, which the calendar bounds however many events a purchase has.
+    Touched purchases that fit a broadcast pick their events while history is scanned, and only
+    days are shuffled. For a window too wide for that see ``impacted_by_fold``; the days are the same.
     """
+    keys = touched_keys(logs, window)
+    if not fits_broadcast(keys, broadcast_bytes):
+        return impacted_by_fold(logs, window)
+    history = paid(logs.purchase).filter(F.col(DAY).isNotNull()).select(KEY, DAY)
+    return only_of(history, keys).select(DAY).distinct()
+
+
+def impacted_by_fold(logs: EventLogs, window: DateWindow) -> DataFrame:
+    """Impacted days by one shuffle of history: each task first folds its events to one row per
+    purchase, the days as a set, which the calendar bounds however many events a purchase has."""
     in_window = window.covers(DAY)
     is_paid = F.col("release_date").isNotNull()
     no_day = F.lit(None).cast("date").alias("paid_day")
@@ -46,44 +87,63 @@ def impacted_dates(logs: EventLogs, window: DateWindow) -> DataFrame:
     )
 
 
+def since(window: DateWindow, covered: date) -> DateWindow:
+    """The window, from the first day on that snapshots covering ``covered`` do not hold, if that is
+    earlier."""
+    first = covered + timedelta(days=1)
+    return window if first >= window.start else DateWindow(first, window.end)
+
+
 def carried_history(snapshots: EventLogs, logs: EventLogs, window: DateWindow) -> EventLogs:
-    """Stand-in for all history: the latest events known before, and those of the window.
+    """Stand-in for all history: the latest events known before, and those from the window's start.
 
-    The latest of both is the latest of all, because events are in total order. Only the days of
-    the window are read from the logs; older events are in the snapshots, one row per purchase.
+    The latest of both is the latest of all, because events are in total order. Only days from the
+    window on are read from the logs; older events are in the snapshots, one row per purchase.
     """
-    return snapshots.dated().union(logs.within(window))
+    return snapshots.dated().union(logs.where(F.col(DAY) >= F.lit(window.start)))
 
 
-def purchases_on(purchases: DataFrame, days: DataFrame) -> DataFrame:
-    """Paid purchases whose current day is one of the given ones."""
-    # Distinct calendar days: at most one row per day there is, a few kilobytes per decade.
-    return paid(purchases).join(F.broadcast(days), DAY, "left_semi")
+def on_days(df: DataFrame, days: Sequence[date]) -> DataFrame:
+    """Rows of the given days, as a list in the plan, so that day folders are pruned."""
+    return df.filter(F.col(DAY).isin(list(days)))
 
 
-def rebuild_days(latest: EventLogs, days: DataFrame) -> DataFrame:
-    """Totals of the given days from the current state of every purchase."""
-    on_days = purchases_on(latest.purchase, days)
-    return daily_total(purchase_state(EventLogs(on_days, latest.product_item, latest.extra_info)))
+def current_on(
+    events: EventLogs,
+    days: Sequence[date],
+    resolve: Callable[[EventLogs], EventLogs] = EventLogs.latest_for_gold,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    look: EventLogs | None = None,
+) -> EventLogs:
+    """Current state of the purchases whose current paid day is one of the given ones.
 
-
-def fits_broadcast(purchases: DataFrame, limit: int | None = None) -> bool:
-    """Whether the keys, measured now, take at most ``limit`` bytes as a broadcast table."""
-    size = purchases.agg(
-        F.sum(F.octet_length(KEY) + F.lit(ROW_OVERHEAD)).alias("bytes")
-    ).first()
-    return (size.bytes or 0) <= (BROADCAST_BYTES if limit is None else limit)
+    Such a purchase has a paid event on one of the days. If the purchases with one fit a broadcast,
+    all other events of all three logs fall out while scanning, before any sort or shuffle;
+    otherwise everything is resolved, as in a full rebuild. The rows are the same. ``look`` holds
+    the same events as ``events``, read in a way that suits the search.
+    """
+    keys = on_days(paid((look or events).purchase), days).select(KEY).distinct()
+    if fits_broadcast(keys, broadcast_bytes):
+        events = events.map(lambda _, df: only_of(df, keys))
+    latest = resolve(events)
+    return replace(latest, purchase=on_days(paid(latest.purchase), days))
 
 
-def only_of(events: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Events of the given purchases, picked while scanning. Only behind ``fits_broadcast``."""
-    return events.join(F.broadcast(purchases.select(KEY)), KEY, "left_semi")
+def rebuild_days(
+    logs: EventLogs, days: Sequence[date], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Totals of the given days, each exactly as a full rebuild would give it."""
+    return daily_total(purchase_state(current_on(logs.dated(), days, broadcast_bytes=broadcast_bytes)))
 
 
-def state_complete_gmv(logs: EventLogs, window: DateWindow) -> DataFrame:
+def state_complete_gmv(
+    logs: EventLogs, window: DateWindow, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """The impacted days of a window, each exactly as a full rebuild would give it.
 
     Every event that arrived since the last run must be dated in the window. An impacted day
-    that no longer has paid purchases is absent here; the writer has to clear it.
+    that no longer has paid purchases is absent here; the writer has to clear it. The list of days
+    and the sizes of key sets are determined at once, the totals when the result is used.
     """
-    return rebuild_days(logs.dated().latest_for_gold(), impacted_dates(logs, window))
+    days = days_of(impacted_dates(logs, window, broadcast_bytes))
+    return rebuild_days(logs, days, broadcast_bytes)

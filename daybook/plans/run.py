@@ -1,4 +1,4 @@
-"""One run of the job: window, guards, silver, gold, clearing, figures."""
+"""One run of the job: window, guards, silver, gold, clearing, checks, figures."""
 
 from __future__ import annotations
 
@@ -10,19 +10,31 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.checks import quality
+from daybook.checks.monitor import gmv_drops
 from daybook.logs import EventLogs
 from daybook.operators.state import daily_total, purchase_state
 from daybook.operators.window import DAYS_BACK, DateWindow, resolve_window
 from daybook.plans.incremental import (
+    BROADCAST_BYTES,
     carried_history,
-    fits_broadcast,
+    current_on,
+    days_of,
     impacted_dates,
-    only_of,
-    purchases_on,
+    on_days,
+    since,
 )
-from daybook.schemas import EVENT_TIME
-from daybook.sinks.files import read_silver, write_silver
-from daybook.sinks.gold import clear_days, days_of, overwrite_days
+from daybook.plans.ingest import undated_counts
+from daybook.schemas import DAY, EVENT_TIME, GOLD_INPUTS, KEY
+from daybook.sinks.files import (
+    Coverage,
+    append_rejected,
+    read_coverage,
+    read_silver,
+    write_silver,
+)
+from daybook.sinks.gold import clear_days, overwrite_days
+from daybook.sources.gold import read_gold
 
 LITERAL = "literal"
 STATE_COMPLETE = "state_complete"
@@ -50,6 +62,15 @@ def _as_they_are(snapshots: EventLogs) -> EventLogs:
     return snapshots
 
 
+def _base(spark: SparkSession, path: str, fmt: str) -> tuple[EventLogs, Coverage]:
+    """Earlier snapshots and the last day they cover."""
+    coverage = read_coverage(spark, path)
+    if coverage is None or coverage.mode != STATE_COMPLETE:
+        found = "no record of what they hold" if coverage is None else f"mode {coverage.mode}"
+        raise ValueError(f"cannot build on the snapshots in {path}: {found}")
+    return read_silver(spark, path, fmt), coverage
+
+
 def run_daily_gmv(
     logs: EventLogs,
     gold_path: str,
@@ -63,15 +84,27 @@ def run_daily_gmv(
     previous_silver: str | None = None,
     gold_format: str = "parquet",
     silver_format: str = "parquet",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    checks: bool = True,
+    quarantine_path: str | None = None,
+    metrics_path: str | None = None,
 ) -> RunReport:
     """Compute daily GMV for a window and write it to day partitions.
 
     ``state_complete`` rebuilds every day the window's events change, from all history, and
-    clears days left without paid purchases. With ``previous_silver``, the snapshots of an
-    earlier run stand for all events before the window, so only the window is read from the
-    logs. ``literal`` sees the events of the window only and replaces the days it has rows for;
-    days that lost their rows stay as they were.
-    Running again with the same input gives the same table.
+    clears days left without paid purchases. ``literal`` sees the events of the window only and
+    replaces the days it has rows for; days that lost their rows stay as they were. Running again
+    with the same input gives the same table.
+
+    With ``previous_silver``, the snapshots of an earlier state-complete run stand for all events
+    up to the last day they cover, which is recorded beside them. The logs are read from the day
+    after it, or from the window's start if that is earlier, and days between count as part of the
+    window. Snapshots without such a record, or of a literal run, are refused.
+
+    ``broadcast_bytes`` is the size up to which the keys of touched purchases are broadcast, 0 for
+    never; it changes the plan, not the rows. ``checks`` adds counts of undated events and of
+    rows that break the rules of gold to the figures, ``quarantine_path`` stores such rows, and
+    ``metrics_path`` the figures.
     """
     if mode not in (LITERAL, STATE_COMPLETE):
         raise ValueError(f"unknown mode {mode!r}")
@@ -83,65 +116,105 @@ def run_daily_gmv(
     if window is None:
         return RunReport(NO_DATES)
 
+    covered = window.end
+    narrow = logs.purchase if silver_path else logs.purchase.select(KEY, *GOLD_INPUTS["purchase"])
+    seen = Observation("purchase events")
+    figures = F.count(F.lit(1)).alias("events"), F.max(EVENT_TIME).alias("newest_event")
+
+    def counted(of: EventLogs) -> EventLogs:
+        return replace(of, purchase=of.purchase.observe(seen, *figures))
+
+    read = replace(logs, purchase=narrow)
     if mode == LITERAL:
-        scope = logs.within(window)
+        scope = read.within(window)
         if scope.purchase.isEmpty():
             return RunReport(NO_PURCHASES, window)
+        log, events = scope.purchase, counted(scope)
     elif previous_silver is not None:
-        snapshots = read_silver(spark, previous_silver, silver_format)
-        scope = carried_history(snapshots, logs, window)
+        snapshots, coverage = _base(spark, previous_silver, silver_format)
+        snapshots = replace(snapshots, purchase=snapshots.purchase.select(narrow.columns))
+        covered = max(covered, coverage.through)
+        window = since(window, coverage.through)
+        scope = carried_history(snapshots, read, window)
+        recent = read.where(F.col(DAY) >= F.lit(window.start))
+        log, events = recent.purchase, snapshots.dated().union(counted(recent))
     else:
-        scope = logs.dated()
+        scope = read.dated()
+        log, events = scope.purchase, counted(scope)
 
-    seen = Observation("purchase events")
-    counted = scope.purchase.observe(
-        seen, F.count(F.lit(1)).alias("events"), F.max(EVENT_TIME).alias("newest_event")
-    )
-    events = EventLogs(counted, scope.product_item, scope.extra_info)
     resolve = EventLogs.latest_for_gold
-    if silver_path is not None:
-        # Gold goes on from the stored snapshots; the logs are not resolved a second time.
-        write_silver(events.latest(), silver_path, silver_format)
-        events = read_silver(spark, silver_path, silver_format)
-        resolve = _as_they_are
-
     impacted: list[date] = []
     with ExitStack() as kept:
+        if silver_path is not None:
+            # Gold goes on from the stored snapshots; the logs are not resolved a second time, and
+            # the stored rows lie as the joins need them.
+            stored = write_silver(
+                events.latest(), silver_path, silver_format, Coverage(covered, mode)
+            )
+            kept.callback(stored.forget)
+            events, resolve = stored.logs, _as_they_are
         if mode == LITERAL:
             latest = resolve(events)
         else:
-            days = impacted_dates(scope, window).persist()
-            kept.callback(days.unpersist)
-            impacted = days_of(days)
-            purchases = purchases_on(resolve(events).purchase, days).persist()
-            kept.callback(purchases.unpersist)
-            if fits_broadcast(purchases):
-                # Few purchases: all other items and subsidiaries fall out before any shuffle.
-                items, extras = (
-                    only_of(df, purchases) for df in (events.product_item, events.extra_info)
-                )
-                events = EventLogs(events.purchase, items, extras)
-            latest = replace(resolve(events), purchase=purchases)
-
-        # Gold is one row per day and subsidiary. Kept for the guard, the write and the day
-        # list, so the logs are read once; a lost block is computed again.
+            impacted = days_of(impacted_dates(scope, window, broadcast_bytes))
+            # Candidates are looked for without counting, so that day folders are pruned.
+            look = events if silver_path is not None else scope
+            latest = current_on(events, impacted, resolve, broadcast_bytes, look)
+
+        # Gold is one row per day and subsidiary. Kept for the guard, the write, the day list and
+        # the checks; a lost block is computed again.
         gold = daily_total(purchase_state(latest)).persist()
         kept.callback(gold.unpersist)
         written = days_of(gold)
         if written:
             overwrite_days(gold, gold_path, gold_format)
         gone = sorted(set(impacted) - set(written))
-        cleared = clear_days(spark, gold_path, gone, gold_format)
-        metrics = {"seconds": round(time.monotonic() - started, 3)}
-        if written:
+        cleared = clear_days(spark, gold_path, gone)
+        status = WRITTEN if written or cleared else NO_PAID
+        metrics: dict = {}
+        if status == WRITTEN:
             totals = gold.agg(F.count(F.lit(1)).alias("rows"), F.sum("gmv").alias("gmv")).first()
-            metrics |= {
-                "purchase_events": seen.get["events"],
-                "newest_event": seen.get["newest_event"],
+            # Figures taken on the way, if the plan that was run went through the log.
+            of_log = seen.get if written or silver_path else log.agg(*figures).first().asDict()
+            metrics = {
+                "purchase_events": of_log["events"],
+                "newest_event": of_log["newest_event"],
                 "gold_rows": totals["rows"],
                 "gold_gmv": totals["gmv"],
                 "days_written": len(written),
                 "days_cleared": len(cleared),
             }
-    status = WRITTEN if written or cleared else NO_PAID
-    return RunReport(status, window, written, cleared, metrics)
+            if checks:
+                metrics |= _checked(logs, gold, gold_path, gold_format, written, quarantine_path)
+        metrics["seconds"] = round(time.monotonic() - started, 3)
+    report = RunReport(status, window, written, cleared, metrics)
+    if metrics_path is not None:
+        facts = {"run_at": F.current_timestamp(), "status": F.lit(status),
+                 "start_date": F.lit(window.start), "end_date": F.lit(window.end)}
+        report.as_frame(spark).withColumns(facts).coalesce(1).write.mode("append").parquet(metrics_path)
+    return report
+
+
+def _checked(
+    logs: EventLogs,
+    gold: DataFrame,
+    gold_path: str,
+    fmt: str,
+    written: list[date],
+    quarantine_path: str | None,
+) -> dict:
+    """Counts of what breaks a rule: undated events, and among the days written, contract, grain and
+    sign of gold as computed and as stored, and alerts. Rows against the contract are stored if a
+    place is given; they stay in gold too, which allows NULLs, but not in the decimal table."""
+    spark = gold.sparkSession
+    undated = {f"undated_{r.table_name}": r.events for r in undated_counts(logs).collect()}
+    broken = quality.contract_violations(gold)
+    if quarantine_path is not None:
+        append_rejected(broken, quarantine_path)
+    stored = on_days(read_gold(spark, gold_path, fmt), written)
+    return undated | {
+        "contract_violations": broken.count(),
+        "grain_violations": quality.grain_violations(stored).count(),
+        "negative_days": quality.negative_days(gold).count(),
+        "drop_alerts": gmv_drops(gold).count(),
+    }

@@ -9,16 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "daybook", **conf: str) -> SparkSession:
-    """Session with the few settings the library relies on; master and sizing come from the
-    submitter (or from ``conf``)."""
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.ui.enabled": "false",
-        **conf,
-    }
-    builder = SparkSession.builder.appName(app)
-    for key, value in settings.items():
+    """Session with the one setting that results depend on, the time zone. Everything else comes
+    from the submitter, or from ``conf``."""
+    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

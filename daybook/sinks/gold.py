@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.checks.quality import contract_violations, within_contract
 from daybook.schemas import DAY, GOLD
-from daybook.sources.gold import read_gold
+from daybook.sinks.files import append_rejected
 
 
 def overwrite_days(gold: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -37,41 +35,26 @@ def overwrite_days(gold: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
-def days_of(df: DataFrame) -> list[date]:
-    """Distinct days in order. The calendar bounds this list, not the data."""
-    return sorted(row[0] for row in df.select(DAY).distinct().collect() if row[0] is not None)
+def clear_days(spark: SparkSession, path: str, days: Iterable[date]) -> list[date]:
+    """Remove those of the given days that gold holds; returns the days removed.
 
+    A dynamic overwrite cannot do this, since it only touches days it has rows for. A day is a
+    folder, so removing it is an operation on the file system: no job runs, however many days there
+    are. The calendar bounds the list.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for day in days:
+        folder = hadoop.Path(root, f"{DAY}={day}")
+        if files.exists(folder) and files.delete(folder, True):
+            gone.append(day)
+    return gone
 
-def clear_days(
-    spark: SparkSession, path: str, days: Iterable[date], fmt: str = "parquet"
-) -> list[date]:
-    """Empty those of the given days that gold holds; returns the days cleared.
 
-    A dynamic overwrite cannot do this, since it only touches days it has rows for. Each day is
-    one insert of no rows over its partition.
-    """
-    days = list(days)
-    if not days:
-        return []
-    try:
-        held = days_of(read_gold(spark, path, fmt).filter(F.col(DAY).isin(days)))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    if not held:
-        return []
-    table = f"daybook_gold_{uuid.uuid4().hex}"
-    create_external_table(spark, table, path, fmt)
-    try:
-        for day in held:
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY} = DATE'{day}') "
-                "SELECT CAST(NULL AS STRING), CAST(NULL AS DOUBLE) WHERE false"
-            )
-    finally:
-        spark.sql(f"DROP TABLE {table}")
-    return held
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_external_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
@@ -79,7 +62,7 @@ def create_external_table(spark: SparkSession, table: str, path: str, fmt: str =
     options = "OPTIONS (header 'true')" if fmt == "csv" else ""
     spark.sql(
         f"CREATE TABLE {table} (subsidiary STRING, gmv DOUBLE, {DAY} DATE) "
-        f"USING {fmt} {options} PARTITIONED BY ({DAY}) LOCATION '{path}'"
+        f"USING {fmt} {options} PARTITIONED BY ({DAY}) LOCATION {_literal(path)}"
     )
 
 
@@ -93,15 +76,26 @@ def create_decimal_table(spark: SparkSession, table: str, path: str) -> None:
     """The warehouse form: nothing may be NULL, amounts are NUMERIC(18,2)."""
     spark.sql(
         f"CREATE TABLE {table} ({DAY} DATE NOT NULL, subsidiary VARCHAR(50) NOT NULL, "
-        f"gmv DECIMAL(18,2) NOT NULL) USING parquet LOCATION '{path}'"
+        f"gmv DECIMAL(18,2) NOT NULL) USING parquet LOCATION {_literal(path)}"
     )
 
 
-def fill_decimal_table(gold: DataFrame, table: str) -> DataFrame:
+def fill_decimal_table(gold: DataFrame, table: str, quarantine_path: str | None = None) -> DataFrame:
     """Replace the table by the rows that keep its contract; returns the rows that do not.
 
-    File tables do not check NOT NULL when written, so the rows are split here.
+    File tables do not check NOT NULL when written, so the rows are split here. With
+    ``quarantine_path`` the rejected rows are stored there, and returned as stored; gold is then
+    computed once for both.
     """
+    spark = gold.sparkSession
     amount = F.col("gmv").try_cast("decimal(18,2)").alias("gmv")
-    within_contract(gold).select(DAY, "subsidiary", amount).write.insertInto(table, overwrite=True)
-    return contract_violations(gold)
+    if quarantine_path is None:
+        within_contract(gold).select(DAY, "subsidiary", amount).write.insertInto(table, overwrite=True)
+        return contract_violations(gold)
+    kept = gold.persist()
+    try:
+        within_contract(kept).select(DAY, "subsidiary", amount).write.insertInto(table, overwrite=True)
+        append_rejected(contract_violations(kept), quarantine_path)
+    finally:
+        kept.unpersist()
+    return spark.read.parquet(quarantine_path)

@@ -6,6 +6,8 @@ import argparse
 
 from daybook import run_daily_gmv
 from daybook.operators.window import DAYS_BACK
+from daybook.plans.incremental import BROADCAST_BYTES
+from daybook.plans.ingest import ingest_logs
 from daybook.plans.run import LITERAL, STATE_COMPLETE
 from daybook.session import build_session
 from daybook.sources.bronze import read_logs
@@ -13,27 +15,47 @@ from daybook.sources.bronze import read_logs
 
 def parameters(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--bronze-base", default="data_lake/bronze", help="folder of the logs")
-    parser.add_argument("--silver-base", default="data_lake/silver", help="folder of snapshots")
-    parser.add_argument("--gold-base", default="data_lake/gold", help="parent of daily_gmv")
+    # Names of the public parameters.
+    parser.add_argument("--bronze-base", required=True, help="folder of the logs")
+    parser.add_argument("--silver-base", help="folder for snapshots")
+    parser.add_argument("--gold-base", required=True, help="parent of daily_gmv")
     parser.add_argument("--start-date", help="first day, YYYY-MM-DD")
     parser.add_argument("--end-date", help="last day, YYYY-MM-DD")
     parser.add_argument(
         "--days-back", type=int, default=DAYS_BACK, help="reach of a window given by its end"
     )
     parser.add_argument("--write-silver", action="store_true", help="store the snapshots too")
+    # Parameters of this job alone.
+    parser.add_argument("--typed-base", help="turn raw CSV into typed logs by day here, first")
     parser.add_argument("--previous-silver", help="snapshots of the last run, to build on")
+    parser.add_argument("--quarantine-base", help="folder for rejected rows")
+    parser.add_argument("--metrics-path", help="folder for the figures of every run")
+    parser.add_argument(
+        "--broadcast-bytes", type=int, default=BROADCAST_BYTES, help="0 for no broadcast of keys"
+    )
     parser.add_argument("--mode", choices=[STATE_COMPLETE, LITERAL], default=STATE_COMPLETE)
-    for layer in ("bronze", "silver", "gold"):
-        parser.add_argument(f"--{layer}-format", choices=["csv", "parquet"], default="csv")
-    return parser.parse_args(arguments)
+    parser.add_argument("--bronze-format", choices=["csv", "parquet"], default="csv")
+    for layer in ("silver", "gold"):
+        parser.add_argument(f"--{layer}-format", choices=["csv", "parquet"], default="parquet")
+    p = parser.parse_args(arguments)
+    if p.write_silver and not p.silver_base:
+        parser.error("--write-silver needs --silver-base")
+    return p
 
 
 def main(arguments: list[str] | None = None) -> None:
     p = parameters(arguments)
     spark = build_session("daily-gmv")
+    rejected = {
+        name: f"{p.quarantine_base}/{name}" if p.quarantine_base else None
+        for name in ("bronze", "daily_gmv")
+    }
+    base, fmt = p.bronze_base, p.bronze_format
+    if p.typed_base:
+        ingest_logs(spark, base, p.typed_base, rejected["bronze"])
+        base, fmt = p.typed_base, "parquet"
     report = run_daily_gmv(
-        read_logs(spark, p.bronze_base, p.bronze_format),
+        read_logs(spark, base, fmt),
         f"{p.gold_base}/daily_gmv",
         start=p.start_date,
         end=p.end_date,
@@ -43,6 +65,9 @@ def main(arguments: list[str] | None = None) -> None:
         previous_silver=p.previous_silver,
         silver_format=p.silver_format,
         gold_format=p.gold_format,
+        broadcast_bytes=p.broadcast_bytes,
+        quarantine_path=rejected["daily_gmv"],
+        metrics_path=p.metrics_path,
     )
     print(f"{report.status}: window {report.window}, {report.metrics}")
 

@@ -15,8 +15,11 @@ from daybook import (
     state_complete_gmv,
     windowed_gmv,
 )
+from daybook.checks.monitor import gmv_drops
+from daybook.checks.quality import negative_lines
 from daybook.operators.state import gmv_lines, purchase_state
 from daybook.plans.metric import multi_item_gmv
+from daybook.schemas import GOLD
 
 
 def window(first, last):
@@ -195,3 +198,47 @@ def test_gold_sees_the_winner_silver_shows(spark):
         assert sorted(map(repr, wide.select(columns).collect())) == sorted(
             map(repr, narrow.collect())
         )
+
+
+@pytest.mark.parametrize(
+    ("quantity", "value", "line"),
+    [("1000000000", "4e-9", 4.0), ("2", "-1e20", -2e20), ("3", "0.1234567891", 0.3703703673),
+     ("3", "10.55", 31.65), ("2", "123456789012345.67", 246913578024691.34), ("2", "Infinity", float("inf"))],
+)
+def test_lines_of_any_price(spark, quantity, value, line):
+    """A price that no decimal of eight places holds gives its double product, in lines and days."""
+    items = [("2023-02-28 00:00:00", "202", "19358", quantity, value)]
+    events = logs(spark, items=items)
+    lines = gmv_lines(purchase_state(events.dated().latest_for_gold()))
+    found = {r.purchase_id: r.gmv_value for r in lines.collect()}
+    assert found["202"] == pytest.approx(line, rel=1e-12)
+    day = [r for r in rows(full_history_gmv(events)) if r[0] == date(2023, 2, 18) and r[2] is not None]
+    assert day[0][2] == pytest.approx(round(line, 2), rel=1e-12)
+    assert negative_lines(lines).count() == (line < 0)
+
+
+def gold_of(spark, *amounts):
+    days = [(date(2023, 3, 1 + i), "a", v) for i, v in enumerate(amounts) if v != "no row"]
+    return spark.createDataFrame(days, GOLD)
+
+
+@pytest.mark.parametrize(
+    ("amounts", "alerts"),
+    [
+        ([3.00, 2.40], []),
+        ([3.00, 2.39], [(2, 2.39, 3.0)]),
+        ([100.0, "no row", 5.0], [(2, 0.0, 100.0)]),
+        ([100.0, None], [(2, 0.0, 100.0)]),
+        ([100.0, "no row", "no row", 50.0], [(2, 0.0, 100.0)]),
+        ([100.0, 100.0], []),
+        ([-5.0, -6.0], []),
+        ([None, None], []),
+    ],
+)
+def test_drop_alert(spark, amounts, alerts):
+    found = sorted(tuple(r) for r in gmv_drops(gold_of(spark, *amounts)).collect())
+    assert found == [(date(2023, 3, d), v, b) for d, v, b in alerts]
+
+
+def test_no_alert_without_gold(spark):
+    assert gmv_drops(spark.createDataFrame([], GOLD)).isEmpty()

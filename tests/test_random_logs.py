@@ -51,21 +51,45 @@ def test_input_order_does_not_matter(spark, seed):
 
 @pytest.mark.parametrize("limit", [incremental.BROADCAST_BYTES, 0])
 @pytest.mark.parametrize("seed", range(3))
-def test_late_run_equals_full_rebuild(spark, tmp_path, monkeypatch, seed, limit):
+def test_late_run_equals_full_rebuild(spark, tmp_path, seed, limit):
     """With the keys of the rebuilt days broadcast, and with the way taken when they are many."""
-    monkeypatch.setattr(incremental, "BROADCAST_BYTES", limit)
     events = logs(spark, *_events(100 + seed))
     cut = (FIRST + timedelta(days=LATE_FROM)).date()
     window = DateWindow(cut, date(2023, 2, 28))
     gold = str(tmp_path / "gold")
     run_daily_gmv(events.before(cut), gold, start="2022-12-01", end=cut - timedelta(days=1))
-    run_daily_gmv(events, gold, start=window.start, end=window.end)
+    run_daily_gmv(events, gold, start=window.start, end=window.end, broadcast_bytes=limit)
     whole = rows(full_history_gmv(events))
     assert rows(read_gold(spark, gold)) == whole
-    rebuilt = rows(state_complete_gmv(events, window))
+    rebuilt = rows(state_complete_gmv(events, window, limit))
     assert rebuilt == [r for r in whole if r[0] in {b[0] for b in rebuilt}]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_both_ways_to_impacted_days_agree(spark, seed):
+    events = logs(spark, *_events(400 + seed))
+    for first, last in ((5, 6), (20, 30), (1, 30)):
+        window = DateWindow(date(2023, 1, first), date(2023, 1, last))
+        days = [sorted(r[0] for r in df.collect()) for df in (
+            incremental.impacted_dates(events, window),
+            incremental.impacted_dates(events, window, 0),
+        )]
+        assert days[0] == days[1]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_gap_between_snapshots_and_window(spark, tmp_path, seed):
+    """Days that no run has seen count as part of the next window, and snapshots pass that on."""
+    events = logs(spark, *_events(500 + seed))
+    gold, first, second = (str(tmp_path / name) for name in ("gold", "first", "second"))
+    run_daily_gmv(events.up_to(date(2023, 1, 8)), gold, start="2022-12-01", end="2023-01-08", silver_path=first)
+    run_daily_gmv(events.up_to(date(2023, 1, 20)), gold, start="2023-01-18", end="2023-01-20",
+                  silver_path=second, previous_silver=first)
+    assert rows(read_gold(spark, gold)) == rows(full_history_gmv(events.up_to(date(2023, 1, 20))))
+    run_daily_gmv(events, gold, start="2023-01-29", end="2023-02-28", previous_silver=second)
+    assert rows(read_gold(spark, gold)) == rows(full_history_gmv(events))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_runs_building_on_snapshots_equal_full_rebuild(spark, tmp_path, seed):
     events = logs(spark, *_events(300 + seed))

@@ -7,12 +7,12 @@ from fixture import D8, D18, D23, EXTRAS, FULL, PURCHASES, logs, rows
 
 
 from daybook import run_daily_gmv
-from daybook.checks.quality import contract_violations
+from daybook.checks.quality import contract_violations, grain_violations
 from daybook.plans import run as job
 from daybook.schemas import GOLD
 from daybook.session import scratch_folder
 from daybook.sinks import gold as sink
-from daybook.sinks.files import read_silver
+from daybook.sinks.files import Coverage, read_coverage, read_silver, write_silver
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
 
 FEBRUARY = {"start": "2023-02-01", "end": "2023-02-28"}
@@ -201,3 +201,101 @@ def test_one_purchase_with_most_events(spark, gold):
     )
     run_daily_gmv(grown, gold)
     assert rows(read_gold(spark, gold))[0] == (date(2023, 2, 8), "internacional", 29997.0)
+
+
+def test_snapshots_record_what_they_cover(spark, gold, tmp_path):
+    silver = str(tmp_path / "silver")
+    assert read_coverage(spark, silver) is None
+    run_daily_gmv(logs(spark), gold, silver_path=silver, end="2023-02-20")
+    assert read_coverage(spark, silver) == Coverage(date(2023, 2, 20), job.STATE_COMPLETE)
+
+
+@pytest.mark.parametrize("mode", [job.LITERAL, None, "incomplete"])
+def test_unsafe_snapshots_are_refused(spark, gold, tmp_path, mode):
+    silver = str(tmp_path / "silver")
+    if mode == job.LITERAL:
+        run_daily_gmv(logs(spark), gold, mode=mode, silver_path=silver, end="2023-02-20")
+    else:
+        coverage = None if mode is None else Coverage(date(2023, 2, 7), mode)
+        write_silver(logs(spark).latest(), silver, coverage=coverage).forget()
+    with pytest.raises(ValueError, match="cannot build"):
+        run_daily_gmv(logs(spark), gold, previous_silver=silver, **LATE)
+
+
+def test_gap_after_snapshots_is_rebuilt(spark, gold, tmp_path):
+    silver = str(tmp_path / "silver")
+    early = logs(spark).up_to(date(2023, 2, 7))
+    run_daily_gmv(early, gold, start="2023-02-01", end="2023-02-07", silver_path=silver)
+    report = run_daily_gmv(
+        logs(spark), gold, start="2023-02-18", end="2023-02-28", previous_silver=silver
+    )
+    assert report.window.start == date(2023, 2, 8)
+    assert report.metrics["purchase_events"] == 8
+    assert rows(read_gold(spark, gold)) == FULL
+
+
+def test_figures_of_a_run_that_only_clears(spark, gold, tmp_path):
+    run_daily_gmv(logs(spark), gold)
+    figures = str(tmp_path / "figures")
+    for _ in range(2):
+        report = run_daily_gmv(logs(spark, REVERSED), gold, metrics_path=figures, **LATE)
+    assert report.status == job.NO_PAID  # nothing left to clear
+    stored = spark.read.parquet(figures)
+    first = stored.filter("status = 'written'")
+    assert {r.metric: r.value for r in first.collect()}["days_cleared"] == "1"
+    assert {r.metric: r.value for r in first.collect()}["purchase_events"] == "12"
+    assert {r.status for r in stored.collect()} == {job.WRITTEN, job.NO_PAID}
+
+
+def test_clearing_takes_no_jobs(spark, gold):
+    days = [date(2020, 1, 1 + i) for i in range(20)]
+    tracker = spark.sparkContext.statusTracker()
+    for count in (1, 20):
+        sink.overwrite_days(spark.createDataFrame([(d, "x", 1.0) for d in days], GOLD), gold)
+        spark.sparkContext.setJobGroup(f"clear-{count}", "")
+        assert sink.clear_days(spark, gold, days[:count]) == days[:count]
+        assert list(tracker.getJobIdsForGroup(f"clear-{count}")) == []
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert [r[0] for r in rows(read_gold(spark, gold))] == days[count:]
+        if count == 20:
+            assert sink.clear_days(spark, gold, days) == []
+
+
+def test_paths_with_quotes(spark, tmp_path):
+    path = str(tmp_path / "it's")
+    run_daily_gmv(logs(spark), path)
+    run_daily_gmv(logs(spark, REVERSED), path, **LATE)
+    sink.register_gold(spark, "quoted_gold", path)
+    assert spark.table("quoted_gold").count() == 2
+    spark.sql("DROP TABLE quoted_gold")
+
+
+def test_checks_of_a_run(spark, gold, tmp_path):
+    rejected = str(tmp_path / "rejected")
+    purchases = [*PURCHASES, ("2023-02-26 00:00:00", "999", "2023-01-14", "2023-02-26"), (None, "5", None, None)]
+    report = run_daily_gmv(logs(spark, purchases), gold, quarantine_path=rejected)
+    m = report.metrics
+    assert (m["undated_purchase"], m["undated_product_item"], m["undated_extra_info"]) == (1, 0, 0)
+    assert (m["contract_violations"], m["grain_violations"], m["negative_days"]) == (1, 0, 0)
+    # Every day without sales after one with sales: the 9th, the 19th, the 24th; and the 26th has none.
+    assert m["drop_alerts"] == 3
+    (row,) = spark.read.parquet(rejected).collect()
+    assert (row.transaction_date, row.broken_rules) == (date(2023, 2, 26), "subsidiary_null,gmv_null")
+    assert run_daily_gmv(logs(spark), gold, checks=False).metrics.keys().isdisjoint({"drop_alerts"})
+
+
+def test_grain_of_stored_gold(spark, gold):
+    run_daily_gmv(logs(spark), gold)
+    assert grain_violations(read_gold(spark, gold)).isEmpty()
+    again = read_gold(spark, gold).filter("transaction_date = DATE'2023-02-08'")
+    again.write.mode("append").partitionBy("transaction_date").parquet(gold)
+    assert [r.transaction_date for r in grain_violations(read_gold(spark, gold)).collect()] == [date(2023, 2, 8)]
+
+
+def test_rejected_rows_of_the_decimal_table_are_stored(spark, tmp_path):
+    found = spark.createDataFrame([(date(2023, 2, 8), "ok", 1.25), (None, "no day", 1.0)], GOLD)
+    sink.create_decimal_table(spark, "daily_gmv_kept", str(tmp_path / "dw"))
+    left = sink.fill_decimal_table(found, "daily_gmv_kept", str(tmp_path / "rejected"))
+    assert [r.broken_rules for r in left.collect()] == ["transaction_date_null"]
+    assert spark.table("daily_gmv_kept").count() == 1
+    spark.sql("DROP TABLE daily_gmv_kept")
