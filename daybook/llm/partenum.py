@@ -384,8 +384,9 @@ def _verified(
     def compare(batches):
         for batch in batches:
             keep = []
-            for x, m, y, n in zip(*(batch.column(c).to_pylist() for c in ("x", "m", "y", "n"))):
-                x, y = unpack(x, m, np.uint64, sort=True), unpack(y, n, np.uint64, sort=True)
+            for x, m, y, n in zip(*(batch.column(c) for c in ("x", "m", "y", "n"))):
+                x = unpack(x.as_buffer(), m.as_py(), np.uint64, sort=True)
+                y = unpack(y.as_buffer(), n.as_py(), np.uint64, sort=True)
                 both = np.concatenate([x, y])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())

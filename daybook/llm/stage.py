@@ -9,8 +9,12 @@ from daybook.session import scratch_folder
 
 ROW = "__row_no"
 
-#: Spark's own setting for dropping the shuffle files of a query once it has ended.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is written: Spark drops the shuffle files of the query once it has ended,
+#: and hands Python no more than so many bytes at a time.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
@@ -19,15 +23,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     nothing can need them again."""
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {name: spark.conf.get(name, None) for name in WRITING}
     try:
+        for name, value in WRITING.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

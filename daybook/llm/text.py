@@ -50,7 +50,7 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches, column: str | int, limit: int = 4 << 20):
+def pieces(batches, column: str | int, limit: int = 2 << 20):
     """Cut record batches so that the texts of each piece have at most ``limit`` bytes, or are one
     row. It bounds the memory that numpy needs beside a text."""
     for batch in batches:
