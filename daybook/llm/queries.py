@@ -104,4 +104,50 @@ ORACLES = {
         SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256
         FROM kept
     """,
+    "op6_partenum": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(w[s:s + 3], ' ') AS x FROM starts),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+            WHERE 100 * c >= 85 * (s.n + t.n - c)),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM d
+            UNION
+            SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+        FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
+    "op7_difference_cover": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        starts AS (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS s FROM d),
+        windows AS (SELECT doc_id, s, count(*) OVER (PARTITION BY md5(array_slice(b, s, s + 199))) AS n FROM starts),
+        edges AS (
+            SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM windows WHERE n > 1),
+        numbered AS (
+            SELECT doc_id, s, sum(CASE WHEN before >= s - 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS span
+            FROM edges),
+        spans AS (SELECT doc_id, span, min(s) AS low, max(s) + 199 AS high FROM numbered GROUP BY doc_id, span),
+        gaps AS (
+            SELECT doc_id, b, low, high, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) + 1 AS since
+            FROM spans JOIN d USING (doc_id)),
+        kept AS (
+            SELECT doc_id, count(*) AS n_spans, sum(high - low + 1) AS n_removed, any_value(b) AS b, max(high) AS high,
+                   string_agg(CASE WHEN low > since THEN hex(array_slice(b, since, low - 1)) ELSE '' END, '' ORDER BY low) AS h
+            FROM gaps GROUP BY doc_id),
+        rest AS (
+            SELECT doc_id, n_spans, n_removed,
+                   h || CASE WHEN high < octet_length(b) THEN hex(array_slice(b, high + 1, octet_length(b))) ELSE '' END AS h
+            FROM kept)
+        SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans, sha256(CASE WHEN h IS NULL THEN b ELSE unhex(h) END) AS kept_sha256
+        FROM d LEFT JOIN rest USING (doc_id)
+    """,
 }
