@@ -99,9 +99,9 @@ def repeated(shard: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return owner[again], again - begin[owner[again]]
 
 
-def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_windows(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``ROW, start, n``: runs of ``n`` windows of ``WINDOW`` bytes that also start anywhere else."""
-    source = numbered(df.select(F.lit(0).cast("long").alias("id"), F.col(text_col).alias("text")))
+    source = numbered(df, F.lit(0).cast("long").alias("id"), F.col(text_col).alias("text"))
     return covered(source, Unit("bytes", WINDOW, ANCHOR), True, repeated)
 
 
@@ -110,12 +110,12 @@ def dedup_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ``n_bytes, n_removed, n_spans`` (maximal removed runs) and the row's number.
 
     Removed is each byte in a window that also starts elsewhere, in whatever row; so of repeated
-    rows none keeps what is as long as a window. Null is the empty text. ``df`` must be a stored
-    table; an empty one gives an empty result.
+    rows none keeps what is as long as a window. Null is the empty text. An empty table gives an
+    empty result.
     """
-    runs = repeated_windows(df, id_col, text_col)
+    rows = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    runs = repeated_windows(rows)
     lists = runs.groupBy(ROW).agg(F.collect_list(F.struct("start", "n")).alias("list"))
-    rows = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     rows = rows.join(lists, ROW, "left")
 
     def keep(batches):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, cut, numbered
+from daybook.llm.stage import ROW, counted_once, cut, numbered
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,7 +45,7 @@ def exact_dedup(
     if keep not in ("max", "min"):
         raise ValueError(f"keep must be max or min, not {keep}")
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
-    rows = numbered(df.select(F.col(id_col).alias("id"), text.alias("t"))).select(
+    rows = counted_once(df, F.col(id_col).alias("id"), text.alias("t")).select(
         "id",
         F.col(ROW).alias("row"),
         F.unhex(F.sha2(F.col("t").cast("binary"), 256)).alias("digest"),
@@ -84,6 +84,7 @@ def exact_dedup(
 
 
 def keep_distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns. ``df`` must be a stored table."""
-    kept = exact_dedup(df, id_col, text_col).filter("kept").select(ROW)
-    return numbered(df).join(kept, ROW, "left_semi").drop(ROW)
+    """The rows of ``df`` that stay, with all their columns."""
+    rows = numbered(df, *df.columns)
+    kept = exact_dedup(rows, id_col, text_col).filter("kept").select(ROW)
+    return rows.join(kept, ROW, "left_semi").select(df.columns)

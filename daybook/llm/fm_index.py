@@ -167,7 +167,7 @@ def earlier_windows(shard: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarra
 def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``ROW, start, n``: runs of ``n`` windows of ``WINDOW`` words that also start earlier: in a
     row of a smaller integer identifier (null ranks last, then the row number) or earlier in the row."""
-    source = numbered(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
+    source = numbered(df, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return covered(source, Unit("words", WINDOW, ANCHOR), False, earlier_windows)
 
 
@@ -175,12 +175,12 @@ def dedup_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """One row per row of ``df``: ``doc_id, kept_text, n_words, n_removed`` and the row's number.
 
     Removed is each word in a window that also starts earlier; ``kept_text`` joins the others by a
-    space. Null and empty texts have no words. Of repeated rows the first stays whole. ``df`` must
-    be a stored table; an empty one gives an empty result.
+    space. Null and empty texts have no words. Of repeated rows the first stays whole. An empty
+    table gives an empty result.
     """
-    runs = repeated_windows(df, id_col, text_col)
+    rows = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    runs = repeated_windows(rows)
     lists = runs.groupBy(ROW).agg(F.collect_list(F.struct("start", "n")).alias("list"))
-    rows = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     rows = rows.join(lists, ROW, "left")
 
     def keep(batches):

@@ -436,10 +436,10 @@ def log_probabilities(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The model learns from rows whose ``crc32(id) mod 7`` is not 2 and scores all rows. Words are
     compared after lower-casing A-Z; null and empty texts have the end as their one token. Repeated
     rows count and are scored as often as they occur. If there is nothing to learn from, every text
-    is one of unseen words, and its score that of their class. ``df`` must be a stored table.
+    is one of unseen words, and its score that of their class.
     """
     held_out = (crc_rest(F.col(id_col), 7) == 2).alias("held_out")
-    source = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out))
+    source = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out)
     model = fit(source)
     sums = score_rows(source, model)
     return source.select(ROW, "doc_id", "held_out").join(sums, ROW).select(

@@ -439,9 +439,9 @@ def jaccard_links(
     are in different components, with one that a hash picks for each signature. What that leaves in
     different components is compared pair by pair, so no link between components is lost, and a
     large group of near copies is not expanded into pairs. Sketches come first each time, and only
-    what they cannot rule out is counted on whole sets. ``df`` must be a stored table.
+    what they cannot rule out is counted on whole sets.
     """
-    source = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    source = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     docs = _documents(source, shingle)
     nodes = docs.filter("n_shingles > 0").groupBy("node").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
@@ -506,11 +506,12 @@ def _classes(df: DataFrame, id_col="doc_id", text_col="text", percent=PERCENT, s
 
 def keep_one(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` that stay, with all their columns: of each component the one with the
-    least identifier, of equal ones the first row; every document without words. ``df`` must be a
-    stored table. ``options`` are those of ``jaccard_classes``."""
-    classes = _classes(df, **options)
+    least identifier, of equal ones the first row; every document without words. ``options`` are
+    those of ``jaccard_classes``."""
+    rows = numbered(df, *df.columns)
+    classes = _classes(rows, **options)
     first = classes.filter("label IS NOT NULL").groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("best"))
     stay = first.select(F.col(f"best.{ROW}").alias(ROW))
     stay = cut(stay.union(classes.filter("label IS NULL").select(ROW)), "stay")
-    return numbered(df).join(stay, ROW, "left_semi").drop(ROW)
+    return rows.join(stay, ROW, "left_semi").select(df.columns)

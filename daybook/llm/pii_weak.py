@@ -243,11 +243,11 @@ def classifier(candidates: DataFrame) -> Column | None:
     return sum(terms[1:], terms[0])
 
 
-def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_personal_data(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Spans of personal data: ``ROW, kind, start, end, match, base``. ``base`` spans come from the
     fixed rules alone, all of them; the others are spans of further patterns that the classifier
     believes in and that touch no base span and no earlier span. Null texts have none."""
-    texts = numbered(df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    texts = numbered(df, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = spans(texts).withColumn("valid", valid(F.col("kind"), F.col("match")))
     length = F.length("match")
     size = F.when(length < 10, 0).when(length < 16, 1).when(length < 32, 2).otherwise(3)
@@ -275,16 +275,17 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``base_sha256`` of the list of base spans, the list ``spans`` of all, and the row's number.
 
     A list names ``kind:start:end`` in order of start, then kind. Null and empty texts have empty
-    lists. ``df`` must be a stored table; an empty one gives an empty result.
+    lists. An empty table gives an empty result.
     """
-    found = find_personal_data(df, id_col, text_col)
+    rows = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = find_personal_data(rows)
     rank = F.create_map(*[F.lit(x) for pair in ORDER.items() for x in pair])[F.col("kind")]
     entry = F.struct("start", rank.alias("rank"), "end", F.concat_ws(":", "kind", "start", "end").alias("name"), "base")
     lists = found.groupBy(ROW).agg(
         *[F.count(F.when(F.col("base") & (F.col("kind") == k), 1)).alias(f"n_{k}") for k in BASE],
         F.sort_array(F.collect_list(entry)).alias("list"),
     )
-    rows = numbered(df.select(F.col(id_col).alias("doc_id"))).join(lists, ROW, "left")
+    rows = rows.select("doc_id", ROW).join(lists, ROW, "left")
     listed = F.coalesce(F.col("list"), F.array().cast(lists.schema["list"].dataType))
     only_base = F.array_join(F.transform(F.filter(listed, lambda s: s["base"]), lambda s: s["name"]), ",")
     return rows.select(

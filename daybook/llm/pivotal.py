@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, cut, numbered, parallelism
+from daybook.llm.stage import ROW, counted_once, cut, numbered, parallelism
 from daybook.llm.text import Words, mix, pieces
 
 #: Fixed values of the contract: weights of the sources in turn, words of the mix as a share of
@@ -231,7 +231,9 @@ def mix_sources(
     without words and empty tables give zeros. Repeated rows are separate documents. Randomness is
     a hash of identifier and text, so reruns agree.
     """
-    rows = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("t")))
+    rows = counted_once(
+        df, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("t")
+    )
     rows = rows.withColumn("key", F.xxhash64("doc_id", "t"))
     rows = cut(count_words(rows, "t", "size"), "sizes")
     listed = source_targets(rows, weights, share, most)
@@ -282,7 +284,8 @@ def mix_sources(
 def take_mix(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` that the mix takes, with all their columns and, beside them, ``copies``,
     ``size``, ``source_size``, ``target`` and ``taken``; columns of ``df`` with these names are
-    replaced. ``df`` must be a stored table."""
-    mixed = mix_sources(df, **options).drop("doc_id").filter("taken > 0")
+    replaced."""
+    rows = numbered(df, *df.columns)
+    mixed = mix_sources(rows, **options).drop("doc_id").filter("taken > 0")
     own = [c for c in df.columns if c not in mixed.columns]
-    return numbered(df.select(own)).join(mixed, ROW).drop(ROW)
+    return rows.select(*own, ROW).join(mixed, ROW).drop(ROW)

@@ -163,7 +163,7 @@ def overlaps(
     known = _pieces_of_items(tests, test_id, test_text)
     total = known.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = max(1, -(-total // (8 * block_words)))
-    source = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    source = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     counts = [F.lit(0).cast("long").alias(c) for c in ("item_id", "start", "n_words")]
     schema = source.select(ROW, "doc_id", *counts).schema
     out = None
@@ -186,16 +186,18 @@ def overlaps(
     return out
 
 
-def decontaminate(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, contaminated, n_overlaps`` (matching windows),
     ``item_ids`` (sorted) and the row's number (``stage.ROW``). Documents without a match have 0 and
     an empty list. Empty tables give empty results or no matches. Other columns are ignored."""
-    found = cut(overlaps(docs, tests, **options), "overlaps")
+    rows = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = cut(overlaps(rows, tests, **options), "overlaps")
     per_row = found.groupBy(ROW).agg(
         F.countDistinct("item_id", "start").alias("n"), F.sort_array(F.collect_set("item_id")).alias("items")
     )
-    rows = numbered(docs.select(F.col(options.get("id_col", "doc_id")).alias("doc_id")))
-    return rows.join(per_row, ROW, "left").select(
+    return rows.select("doc_id", ROW).join(per_row, ROW, "left").select(
         "doc_id",
         F.col("n").isNotNull().alias("contaminated"),
         F.coalesce("n", F.lit(0).cast("long")).alias("n_overlaps"),
@@ -205,7 +207,7 @@ def decontaminate(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, tests: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without any match, with all their columns. ``docs`` must be a stored
-    table."""
-    bad = cut(overlaps(docs, tests).select(ROW).distinct(), "leaks")
-    return numbered(docs).join(bad, ROW, "left_anti").drop(ROW)
+    """The rows of ``docs`` without any match, with all their columns."""
+    rows = numbered(docs, *docs.columns)
+    bad = cut(overlaps(rows, tests).select(ROW).distinct(), "leaks")
+    return rows.join(bad, ROW, "left_anti").select(docs.columns)

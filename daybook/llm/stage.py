@@ -46,10 +46,19 @@ def sampled(df: DataFrame, n: int, *key: Column) -> DataFrame:
     return hashed.orderBy("__hash", *key).limit(n).drop("__hash")
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """``df`` with a number for each row. Rows of a stored table get the same numbers whenever it
-    is read, repeated rows different ones."""
-    return df.withColumn(ROW, F.monotonically_increasing_id())
+def counted_once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns and a number for each row, for a frame that is read only once: how a table is cut
+    into tasks, and with it the numbers, may change when executors come or go."""
+    number = F.col(ROW) if ROW in df.columns else F.monotonically_increasing_id().alias(ROW)
+    return df.select(*columns, number)
+
+
+def numbered(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns and a number for each row, stored, so that every read sees the same numbers.
+    Repeated rows have different ones. A frame that has numbers keeps them."""
+    if ROW in df.columns:
+        return df.select(*columns, ROW)
+    return cut(counted_once(df, *columns), "numbered")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

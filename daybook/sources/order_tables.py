@@ -38,7 +38,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def purchase_events(spark: SparkSession, folder: str) -> DataFrame:
-    # One scan of orders: each row carries its one to three events.
+    # One scan of orders: each row carries its one to three events. The offsets in days (5, 10 or
+    # 15 to payment, 25 to the second event, 23 to its release) are fixed values of the event model.
     paid_at = """o_orderdate + make_dt_interval(
         CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 10 ELSE 15 END)"""
     events = f"""inline(array_compact(array(
