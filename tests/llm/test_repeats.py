@@ -10,6 +10,7 @@ from daybook.llm import repeats
 from daybook.llm.stage import ROW
 
 SCHEMA = "doc_id long, text string"
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(df):
@@ -62,7 +63,7 @@ def test_digests_and_empty_table(stored, odd):
 def test_segments_hold_every_window_once():
     rng = np.random.default_rng(0)
     for alphabet in (1, 2, 50):
-        symbols = rng.integers(0, alphabet, 400).astype(np.uint64) * katz_like
+        symbols = rng.integers(0, alphabet, 400).astype(np.uint64) * SPREAD
         first = np.array([0, 5, 5, 130, 400])
         unit = repeats.Unit("words", 20, 6)
         found = repeats.segments(symbols, first, unit)
@@ -75,8 +76,6 @@ def test_segments_hold_every_window_once():
                 assert at.setdefault(window, a) == a
 
 
-katz_like = np.uint64(0x9E3779B97F4A7C15)
-
 
 def test_suffix_array():
     rng = np.random.default_rng(1)
