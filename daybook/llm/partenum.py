@@ -25,6 +25,8 @@ BAND = 1.4
 CELLS = 3
 #: So many parts beyond what the pigeonhole principle asks for, plus one for each so many differences.
 SPARE_EVERY = 20
+#: Portions in which signatures are dealt; more of them need less disk and more time.
+PASSES = 2
 #: Least bits of a set's sketch.
 SKETCH = 1024
 #: Bits of a feature's hash in the final comparison.
@@ -211,15 +213,24 @@ def _documents(source: DataFrame, shingle: int) -> DataFrame:
 
 def _buckets(source: DataFrame, percent: int, shingle: int) -> DataFrame:
     """``sig, node, head, size``: members of signatures that several nodes share, ``head`` being the
-    least of them. Nodes reach a task sorted by signature, and are read in one pass."""
+    least of them. Nodes reach a task sorted by signature, and are read in one pass. Signatures
+    are dealt in ``PASSES`` portions, so that only one portion is on the way at a time."""
+    out = None
+    for portion in range(PASSES):
+        part = _portion(source, percent, shingle, portion)
+        out = part if out is None else out.unionByName(part)
+    return out
 
+
+def _portion(source: DataFrame, percent: int, shingle: int, portion: int) -> DataFrame:
     def sign(batches):
         for batch in pieces(batches, "text"):
             sets = shingle_sets(batch.column("text"), shingle)
             node = set_keys(sets, np.array([len(s) for s in sets], dtype=np.int64))
             _, first = np.unique(node, return_index=True)
             code, owner = signatures([sets[i] for i in first], percent)
-            columns = [code.view(np.int64), node[first][owner].view(np.int64)]
+            own = code % np.uint64(PASSES) == portion
+            columns = [code[own].view(np.int64), node[first][owner[own]].view(np.int64)]
             yield pa.record_batch([pa.array(c) for c in columns], ["sig", "node"])
 
     def share(batches):

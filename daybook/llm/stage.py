@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +20,36 @@ WRITING = {
 }
 
 
+#: Lists that ``cut`` enters its tables in, one per open ``recording``.
+RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recording() -> Iterator[list[str]]:
+    """The tables that are cut meanwhile."""
+    made: list[str] = []
+    RECORDS.append(made)
+    try:
+        yield made
+    finally:
+        RECORDS.remove(made)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``cut`` made; frames that read them cannot be used any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the folder all executors share and read it back: what follows neither
     repeats the work nor depends on the executors that did it. Its shuffle files are dropped, since
     nothing can need them again."""
     spark = df.sparkSession
     path = scratch_folder(spark, label)
+    for made in RECORDS:
+        made.append(path)
     before = {name: spark.conf.get(name, None) for name in WRITING}
     try:
         for name, value in WRITING.items():
