@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from contextlib import ExitStack
 from dataclasses import dataclass, field, replace
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -185,7 +185,8 @@ def run_daily_gmv(
                 "days_cleared": len(cleared),
             }
             if checks:
-                metrics |= _checked(logs, gold, gold_path, gold_format, written, quarantine_path)
+                changed = sorted([*written, *cleared])
+                metrics |= _checked(logs, gold, gold_path, gold_format, changed, quarantine_path)
         metrics["seconds"] = round(time.monotonic() - started, 3)
     report = RunReport(status, window, written, cleared, metrics)
     if metrics_path is not None:
@@ -200,21 +201,23 @@ def _checked(
     gold: DataFrame,
     gold_path: str,
     fmt: str,
-    written: list[date],
+    changed: list[date],
     quarantine_path: str | None,
 ) -> dict:
-    """Counts of what breaks a rule: undated events, and among the days written, contract, grain and
-    sign of gold as computed and as stored, and alerts. Rows against the contract are stored if a
-    place is given; they stay in gold too, which allows NULLs, but not in the decimal table."""
+    """Counts of what breaks a rule: undated events; contract and sign of gold as computed; grain of
+    the changed days as stored; and alerts from the day before the first changed one to the last,
+    days that were not changed included. Rows against the contract are stored if a place is given;
+    they stay in gold too, which allows NULLs, but not in the decimal table."""
     spark = gold.sparkSession
     undated = {f"undated_{r.table_name}": r.events for r in undated_counts(logs).collect()}
     broken = quality.contract_violations(gold)
     if quarantine_path is not None:
         append_rejected(broken, quarantine_path)
-    stored = on_days(read_gold(spark, gold_path, fmt), written)
+    stored = read_gold(spark, gold_path, fmt)
+    around = F.col(DAY).between(F.lit(changed[0] - timedelta(days=1)), F.lit(changed[-1]))
     return undated | {
         "contract_violations": broken.count(),
-        "grain_violations": quality.grain_violations(stored).count(),
+        "grain_violations": quality.grain_violations(on_days(stored, changed)).count(),
         "negative_days": quality.negative_days(gold).count(),
-        "drop_alerts": gmv_drops(gold).count(),
+        "drop_alerts": gmv_drops(stored.filter(around)).count(),
     }

@@ -299,3 +299,13 @@ def test_rejected_rows_of_the_decimal_table_are_stored(spark, tmp_path):
     assert [r.broken_rules for r in left.collect()] == ["transaction_date_null"]
     assert spark.table("daily_gmv_kept").count() == 1
     spark.sql("DROP TABLE daily_gmv_kept")
+
+
+def test_alerts_of_a_run_see_the_days_it_did_not_change(spark, gold):
+    """Days 8 and 10 are rebuilt, day 9 between them holds its amount in gold."""
+    kept = [(date(2023, 2, d), "nacional", 540.0) for d in (7, 9)]
+    sink.overwrite_days(spark.createDataFrame(kept, GOLD), gold)
+    purchases = [*PURCHASES[:6], ("2023-02-10 00:00:00", "70", "2023-01-24", "2023-02-10")]
+    report = run_daily_gmv(logs(spark, purchases), gold, start="2023-02-08", end="2023-02-10")
+    assert report.days_written == [date(2023, 2, 8), date(2023, 2, 10)]
+    assert report.metrics["drop_alerts"] == 0
