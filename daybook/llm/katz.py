@@ -1,11 +1,11 @@
 """Katz backoff language model: Good-Turing discounted counts in partitioned tables.
 
-Words seen at least once in ``2^20`` tokens have an identity of their own (there can be no more than
-2^20 of them), the others share the class of rare words. Bigrams run over these classes; below them
-is the discounted unigram, and below the class of rare words the counts of its members.
+Every word seen in training has an identity of its own, its 64-bit hash. The unigram table lies in
+parts by word, the bigram table in parts by context; what one needs of the other (the counts of its
+words) is asked for by part, so that no task and no driver holds the vocabulary.
 
-Keys travel packed: a row is a part of the key space and a compressed block of sorted keys, so that a
-shuffle moves a few bytes per token and tasks merge with numpy.
+Rows are blocks of keys, packed: within a block, words are numbered by a sorted dictionary of hashes,
+and a pair is ``context << HALF | word`` in these numbers.
 """
 
 from __future__ import annotations
@@ -14,14 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, crc_rest, cut, numbered, parallelism
-from daybook.llm.text import Words, mix, pack, pieces, stream, unpack
+from daybook.llm.stage import ROW, crc_rest, cut, drop, numbered, parallelism, recording
+from daybook.llm.text import GOLDEN, Words, mix, pack, pieces, stream, unpack
 
-#: A word of its own has at least this share of the training tokens.
-SHARE = 1 << 20
 #: Counts up to this are discounted (Katz's k).
 GOOD_TURING = 5
 #: Training tokens for which a part of the bigram table is made; bounds what a task holds.
@@ -31,10 +30,14 @@ HOT_SHARE = 256
 SALTS = 64
 #: Bytes of text that a task turns into keys at a time.
 PIECE = 8 << 20
+#: Texts are scored in so many portions, so that only one's keys are on disk.
+PORTIONS = 4
+#: Ranges of contexts in which the blocks of a part are merged.
+MERGES = 8
 
-END = stream(3, 71)[2]
-ID_BITS = np.uint64(21)
-ID_MASK = (np.uint64(1) << ID_BITS) - np.uint64(1)
+END, START, RARE = stream(5, 71)[2:]
+HALF = np.uint64(32)
+LOW = (np.uint64(1) << HALF) - np.uint64(1)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -71,71 +74,82 @@ def part_of_word(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 @dataclass
 class Classes:
-    """The words of their own, by hash, with their counts, and what bigrams need of them."""
+    """Figures of the unigram table. Words unseen in training form one class. With a ``share``, so do
+    words with less than one in ``share`` tokens; ``own`` has the others, by hash."""
 
-    words: np.ndarray
-    counts: np.ndarray
     n_tokens: int
     n_words: int
-    n_docs: int
     by_count: list[int]  # how many words occur once, twice, ...
-
-    @property
-    def rare(self) -> int:
-        return len(self.words)
-
-    @property
-    def start(self) -> int:
-        return len(self.words) + 1
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.full(len(hashes), self.rare, dtype=np.uint64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, self.rare).astype(np.uint64)
-
-    def totals(self) -> np.ndarray:
-        """How often each class is a context: as often as it occurs, the start once a document. The
-        last token of a document is none, so the end's is zero."""
-        rare = self.n_tokens - int(self.counts.sum())
-        total = np.concatenate([self.counts, [rare, self.n_docs]]).astype(np.float64)
-        end = self.ids(np.array([END]))[0]
-        total[int(end)] -= self.n_docs
-        return total
-
-    def unigram(self) -> np.ndarray:
-        """Probability of each class: the discounted share; the rare class has what is left, at
-        least what one more token would have. The start is never predicted."""
-        p = discounts(self.by_count)[np.minimum(self.counts, GOOD_TURING + 1)] * self.counts
-        p = p / max(self.n_tokens, 1)
+    share: int | None = None
+    own: np.ndarray | None = None
+    own_counts: np.ndarray | None = None
+
+    def __post_init__(self):
+        self.discount = discounts(self.by_count)
+        if self.share is None:
+            self.own_tokens, self.own_words = self.n_tokens, self.n_words
+            r = np.arange(1, GOOD_TURING + 1)
+            off = ((1 - self.discount[r]) * r * np.array(self.by_count[:GOOD_TURING])).sum()
+        else:
+            c = self.own_counts
+            self.own_tokens, self.own_words = int(c.sum()), len(c)
+            off = ((1 - self.discount[np.minimum(c, GOOD_TURING + 1)]) * c).sum()
+        total = (self.own_tokens - off) / max(self.n_tokens, 1)
+        # The class has what is left, at least what one more token would have.
         least = 1.0 / (self.n_tokens + 1)
-        if p.sum() > 1 - least:
-            p *= (1 - least) / p.sum()
-        return np.concatenate([p, [1 - p.sum(), 0.0]])
+        self.factor = (1 - least) / total if total > 1 - least else 1.0
+        self.left = 1 - total * self.factor
+
+    def owned(self, counts: np.ndarray) -> np.ndarray:
+        return counts > 0 if self.share is None else (counts > 0) & (counts * self.share >= self.n_tokens)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """Words as bigrams have them."""
+        if self.share is None:
+            return hashes
+        return np.where(located(self.own, hashes)[1], hashes, RARE)
 
-    def within_rare(self, counts: np.ndarray) -> np.ndarray:
-        """Probability of a rare word within its class; all unseen words together are one."""
-        rest = self.n_tokens - int(self.counts.sum()) + self.n_words - len(self.words) + 1
-        return (counts + 1.0) / rest
+    def unigram(self, counts: np.ndarray) -> np.ndarray:
+        """Discounted probability of words by their counts; the class's if they have none of their own."""
+        p = self.discount[np.minimum(counts, GOOD_TURING + 1)] * counts / max(self.n_tokens, 1) * self.factor
+        return np.where(self.owned(counts), p, self.left)
+
+    def within(self, counts: np.ndarray) -> np.ndarray:
+        """Probability of a word within its class; all unseen words together are one."""
+        rest = self.n_tokens - self.own_tokens + self.n_words - self.own_words + 1
+        return np.where(self.owned(counts), 1.0, (counts + 1.0) / rest)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1.0) / (self.n_tokens + self.n_words + 1.0))
 
-    def pairs(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """``context << ID_BITS | class`` of each token."""
-        own = self.ids(hashes)
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[first[:-1]] = self.start
-        return (before << ID_BITS) | own
 
-    def part_of_pair(self, pairs: np.ndarray, parts: int) -> np.ndarray:
-        context, word = pairs >> ID_BITS, pairs & ID_MASK
-        hot = self.totals() * HOT_SHARE >= max(self.n_tokens, 1)
-        with np.errstate(over="ignore"):
-            salt = np.where(hot[context.astype(np.int64)], mix(word) % np.uint64(SALTS) + np.uint64(1), 0)
-            key = mix(context + salt.astype(np.uint64) * np.uint64(1 << 40))
-        return (key % np.uint64(parts)).astype(np.int64)
+def located(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key is in a sorted array, and whether it is."""
+    if not len(known):
+        return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return at, known[at] == keys
+
+
+def part_of_pair(known: np.ndarray, keys: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each pair, given as numbers of a dictionary: that of its context, or if that is hot,
+    one that the next word picks."""
+    context = (keys >> HALF).astype(np.uint32)
+    part = (mix(known) % np.uint64(parts)).astype(np.min_scalar_type(parts))[context]
+    salted = np.flatnonzero(located(hot, known)[1][context])
+    first, second = known[context[salted]], known[keys[salted] & LOW]
+    with np.errstate(over="ignore"):
+        salt = mix(second) % np.uint64(SALTS) + np.uint64(1)
+        part[salted] = mix(first + salt * GOLDEN) % np.uint64(parts)
+    return part
+
+
+def record(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """A batch of rows in a schema of ``long`` and ``binary`` columns."""
+    fields = [f.split() for f in schema.split(", ")]
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    return pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
 
 def discounts(by_count: list[int]) -> np.ndarray:
@@ -153,7 +167,71 @@ def discounts(by_count: list[int]) -> np.ndarray:
     return out
 
 
+TEXTS = "piece long, n long, row_nos binary, held_out binary, sizes binary, n_words long, words binary, m long, ids binary"
 COUNTS = "part long, n long, keys binary, counts binary"
+PAIRS = COUNTS + ", n_contexts long, contexts binary, n_words long, words binary"
+
+
+def tokenised(source: DataFrame) -> DataFrame:
+    """The stored texts of ``ROW, text, held_out``, many in a row: a dictionary of their words, and the
+    number of each token in it. What is tokenised stays as it is."""
+    if "ids" in source.columns:
+        return source
+
+    def read(batches):
+        for batch in pieces(batches, "text", PIECE):
+            hashes, first = tokens(batch.column("text"))
+            words, ids = np.unique(hashes, return_inverse=True)
+            row = np.asarray(batch.column(ROW)).astype(np.int64)
+            held = np.asarray(pc.fill_null(batch.column("held_out"), True).cast(pa.uint8()))
+            sizes = np.diff(first).astype(np.int64)
+            yield record([(
+                int(row[0]), len(row), pack(row, sort=True), pack(held), pack(sizes),
+                len(words), pack(words, sort=True), len(ids), pack(ids.astype(np.uint32)),
+            )], TEXTS)
+
+    return cut(source.select(ROW, "text", "held_out").mapInArrow(read, TEXTS), "tokens")
+
+
+def learned(row: dict) -> np.ndarray:
+    """Which tokens of a row of ``TEXTS`` are learned from."""
+    held = unpack(row["held_out"], row["n"], np.uint8)
+    return np.repeat(held == 0, unpack(row["sizes"], row["n"], np.int64))
+
+
+def keyed(row: dict, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a row of ``TEXTS``: a dictionary, the pair that each token ends, and where in the dictionary
+    each of its words is."""
+    words = unpack(row["words"], row["n_words"], np.uint64, sort=True)
+    known, at = np.unique(np.append(classes.of(words), START), return_inverse=True)
+    at = at.astype(np.uint64)
+    own = at[:-1][unpack(row["ids"], row["m"], np.uint32)]
+    sizes = unpack(row["sizes"], row["n"], np.int64)
+    before = np.empty_like(own)
+    before[1:] = own[:-1]
+    before[np.cumsum(sizes) - sizes] = at[-1]
+    before <<= HALF
+    before |= own
+    return known, before, at[:-1].astype(np.int64)
+
+
+def packed_pairs(known: np.ndarray, keys: np.ndarray) -> tuple[tuple, np.ndarray]:
+    """Ascending pairs with dictionaries of their own (``keys, n_contexts, contexts, n_words, words``),
+    and where in ``known`` these words are."""
+    contexts, c = np.unique(keys >> HALF, return_inverse=True)
+    words, w = np.unique(keys & LOW, return_inverse=True)
+    own = (c.astype(np.uint64) << HALF) | w.astype(np.uint64)
+    words = words.astype(np.int64)
+    first, second = known[contexts.astype(np.int64)], known[words]
+    return (pack(own, sort=True), len(first), pack(first, sort=True), len(second), pack(second, sort=True)), words
+
+
+def unpacked_pairs(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return (
+        unpack(row["contexts"], row["n_contexts"], np.uint64, sort=True),
+        unpack(row["words"], row["n_words"], np.uint64, sort=True),
+        unpack(row["keys"], row["n"], np.uint64, sort=True),
+    )
 
 
 def _merged(rows: DataFrame, label: str) -> DataFrame:
@@ -186,24 +264,130 @@ def _merged(rows: DataFrame, label: str) -> DataFrame:
     return cut(rows.repartition(n, "part").sortWithinPartitions("part").mapInArrow(merge, COUNTS), label)
 
 
-def _counts(source: DataFrame, key_parts, label: str) -> DataFrame:
-    """Count keys of the training texts. ``key_parts`` gives the keys of some texts, and the part of
-    each of the distinct ones."""
+def _word_counts(texts: DataFrame, word_parts: int) -> DataFrame:
+    def count(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = unpack(row["ids"], row["m"], np.uint32)[learned(row)]
+                words = unpack(row["words"], row["n_words"], np.uint64, sort=True)
+                counts = np.bincount(ids, minlength=len(words)).astype(np.int64)
+                keys, counts = words[counts > 0], counts[counts > 0]
+                rows = blocks(part_of_word(keys, word_parts))
+                yield record([(p, b - a, pack(keys[a:b], sort=True), pack(counts[a:b])) for p, a, b in rows], COUNTS)
+
+    return _merged(texts.mapInArrow(count, COUNTS), "unigrams")
+
+
+def _pair_counts(texts: DataFrame, classes: Classes, hot: np.ndarray, pair_parts: int) -> DataFrame:
+    """The bigram table: a row per part, sorted by context."""
 
     def count(batches):
-        for batch in pieces(batches, "text", PIECE):
-            keys, to_parts = key_parts(batch.column("text"))
-            keys, counts = counted(keys)
-            part = to_parts(keys)
-            order = np.argsort(part, kind="stable")
-            keys, counts, part = keys[order], counts[order], part[order]
-            rows = [(p, b - a, pack(keys[a:b], sort=True), pack(counts[a:b])) for p, a, b in blocks(part)]
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["part", "n", "keys", "counts"]
-            )
+        for batch in batches:
+            for row in batch.to_pylist():
+                known, pairs, _ = keyed(row, classes)
+                keys, counts = counted(pairs[learned(row)])
+                part = part_of_pair(known, keys, hot, pair_parts)
+                order = np.argsort(part, kind="stable")
+                keys, counts, part = keys[order], counts[order], part[order]
+                for p, a, b in blocks(part):
+                    own, *dictionaries = packed_pairs(known, keys[a:b])[0]
+                    yield record([(p, b - a, own, pack(counts[a:b]), *dictionaries)], PAIRS)
+
+    def merge(batches):
+        held, at = [], None
+
+        def table():
+            contexts, words = (np.unique(np.concatenate([h[i] for h in held])) for i in (0, 1))
+            edges, cut_up = np.linspace(0, len(contexts), MERGES + 1).astype(np.int64), []
+            while held:
+                first, second, own, some = held.pop()
+                c, w = np.searchsorted(contexts, first), np.searchsorted(words, second).astype(np.uint64)
+                ends = np.searchsorted(own, np.searchsorted(c, edges).astype(np.uint64) << HALF)
+                cut_up.append((c.astype(np.uint64) << HALF, w, own, some, ends))
+            done = []
+            for k in range(MERGES):  # a range of contexts at a time, to bound the temporary arrays
+                spans = [(c, w, own[e[k] : e[k + 1]], some[e[k] : e[k + 1]]) for c, w, own, some, e in cut_up]
+                keys = np.concatenate([c[own >> HALF] | w[own & LOW] for c, w, own, _ in spans])
+                done.append(counted(keys, np.concatenate([some for *_, some in spans]).astype(np.int64)))
+            del cut_up, spans
+            keys, counts = (np.concatenate([d[i] for d in done]) for i in (0, 1))
+            del done
+            dictionaries = [len(contexts), pack(contexts, sort=True), len(words), pack(words, sort=True)]
+            return record([(at, len(keys), pack(keys, sort=True), pack(counts), *dictionaries)], PAIRS)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["part"] != at and held:
+                    yield table()
+                    pa.default_memory_pool().release_unused()
+                at = row["part"]
+                counts = unpack(row["counts"], row["n"], np.int64).astype(np.uint32)  # of one piece of texts
+                held.append((*unpacked_pairs(row), counts))
+        if held:
+            yield table()
+
+    rows = texts.mapInArrow(count, PAIRS)
+    n = parallelism(rows.sparkSession)
+    return cut(rows.repartition(n, "part").sortWithinPartitions("part").mapInArrow(merge, PAIRS), "bigrams")
+
 
-    return _merged(source.filter("NOT held_out").select("text").mapInArrow(count, COUNTS), label)
+def _counts_of(table: DataFrame, asker: str, words: DataFrame, word_parts: int) -> DataFrame:
+    """``asker, part, n, counts``: what the unigram table has for the dictionary ``words`` of each row of
+    a table, in as many pieces as it has parts of words; in their order they follow the dictionary."""
+
+    def ask(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys = unpack(row["words"], row["n_words"], np.uint64, sort=True)
+                rows = blocks(part_of_word(keys, word_parts))
+                yield record([(p, 1, row["asker"], b - a, pack(keys[a:b], sort=True), None) for p, a, b in rows], asked)
+
+    def answer(batches):
+        at, known, counts = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["part"] != at:
+                    at, known, counts = row["part"], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                keys = unpack(row["keys"], row["n"], np.uint64, sort=True)
+                if row["kind"] == 0:
+                    known, counts = keys, unpack(row["counts"], row["n"], np.int64)
+                    continue
+                place, there = located(known, keys)
+                found = np.zeros(len(keys), dtype=np.int64)
+                found[there] = counts[place[there]]
+                yield record([(row["asker"], at, len(keys), pack(found))], answers)
+
+    asked = "part long, kind long, asker long, n long, keys binary, counts binary"
+    answers = "asker long, part long, n long, counts binary"
+    given = words.select("part", F.lit(0).cast("long").alias("kind"), F.lit(0).cast("long").alias("asker"), "n", "keys", "counts")
+    rows = given.union(table.select(F.col(asker).alias("asker"), "n_words", "words").mapInArrow(ask, asked))
+    dealt = rows.repartition(parallelism(table.sparkSession), "part").sortWithinPartitions("part", "kind")
+    return dealt.mapInArrow(answer, answers)
+
+
+def _with_counts(table: DataFrame, asker: str, words: DataFrame, word_parts: int, use, schema: str) -> DataFrame:
+    """``use(row, counts)`` of each row of a table and the counts of its dictionary ``words``."""
+
+    def join(batches):
+        held, counts = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["__kind"] == 0:
+                    if held is not None:
+                        yield from use(held, np.concatenate(counts))
+                    held, counts = row, []
+                else:
+                    counts.append(unpack(row["__counts"], row["__n"], np.int64))
+        if held is not None:
+            yield from use(held, np.concatenate(counts))
+
+    answers = _counts_of(table, asker, words, word_parts).select(
+        F.col("asker").alias(asker), F.lit(1).alias("__kind"), F.col("part").alias("__order"),
+        F.col("n").alias("__n"), F.col("counts").alias("__counts"),
+    )
+    rows = table.withColumn("__kind", F.lit(0)).unionByName(answers, allowMissingColumns=True)
+    dealt = rows.repartition(parallelism(table.sparkSession), asker).sortWithinPartitions(asker, "__kind", "__order")
+    return dealt.mapInArrow(join, schema)
 
 
 def _count_of_counts(table: DataFrame) -> list[int]:
@@ -229,23 +413,17 @@ class Model:
     classes: Classes
     words: DataFrame  # unigram table, in parts by hash
     pairs: DataFrame  # bigram table, in parts by context
+    contexts: DataFrame  # sums of the contexts of each part
     word_parts: int
     pair_parts: int
     discount: np.ndarray
-    backoff: np.ndarray
-    scale: np.ndarray  # what the discounted counts of a context are divided by
+    hot: np.ndarray  # contexts that are dealt to several parts
+    hot_scale: np.ndarray  # what the discounted counts of a context are divided by
+    hot_backoff: np.ndarray
 
 
-def fit(source: DataFrame, share: int = SHARE, part_tokens: int = PART_TOKENS) -> Model:
-    """Count, store and normalise. ``source`` has ``text`` and ``held_out``; rows held out are not
-    learned from. At most ``share`` words, and two numbers for each, come to the driver."""
-    word_parts = parallelism(source.sparkSession)
-
-    def words_of(column):
-        return tokens(column)[0], lambda keys: part_of_word(keys, word_parts)
-
-    words = _counts(source, words_of, "unigrams")
-    n_tokens, n_words, *by_count = _count_of_counts(words)
+def _frequent(words: DataFrame, n_tokens: int, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words with at least one in ``share`` tokens, sorted, and their counts."""
 
     def frequent(batches):
         for batch in batches:
@@ -256,40 +434,62 @@ def fit(source: DataFrame, share: int = SHARE, part_tokens: int = PART_TOKENS) -
                 yield pa.record_batch([pa.array(keys[own].view(np.int64)), pa.array(counts[own])], ["key", "n"])
 
     own = words.mapInArrow(frequent, "key long, n long").toArrow()
-    keys, counts = np.asarray(own["key"]).astype(np.int64).view(np.uint64), np.asarray(own["n"], dtype=np.int64)
+    keys, counts = np.asarray(own["key"]).astype(np.int64).view(np.uint64), np.asarray(own["n"]).astype(np.int64)
     order = np.argsort(keys)
-    n_docs = source.filter("NOT held_out").count()
-    classes = Classes(keys[order], counts[order], n_tokens, n_words, n_docs, by_count)
-
-    pair_parts = max(1, -(-n_tokens // part_tokens))
+    return keys[order], counts[order]
 
-    def pairs_of(column):
-        return classes.pairs(*tokens(column)), lambda keys: classes.part_of_pair(keys, pair_parts)
 
-    pairs = _counts(source, pairs_of, "bigrams")
+def fit(source: DataFrame, share: int | None = None, part_tokens: int = PART_TOKENS) -> Model:
+    """Count, store and normalise. ``source`` has ``text`` and ``held_out``, or is tokenised; rows held
+    out are not learned from. Every word is learned by itself, unless a caller asks for a ``share`` below
+    which words are merged; the words above it then come to the driver, else only the hot contexts do."""
+    texts = tokenised(source)
+    word_parts = parallelism(source.sparkSession)
+    words = _word_counts(texts, word_parts)
+    n_tokens, n_words, *by_count = _count_of_counts(words)
+    own = _frequent(words, n_tokens, share) if share is not None else (None, None)
+    classes = Classes(n_tokens, n_words, by_count, share, *own)
+
+    hot = _frequent(words, n_tokens, HOT_SHARE)[0]
+    some = [START] if END in hot else []  # as often as the end
+    if (n_tokens - classes.own_tokens) * HOT_SHARE >= max(n_tokens, 1):
+        some.append(RARE)
+    hot = np.unique(np.append(hot, np.array(some, dtype=np.uint64)))
+    pair_parts = max(1, -(-n_tokens // part_tokens))
+    pairs = _pair_counts(texts, classes, hot, pair_parts)
     discount = discounts(_count_of_counts(pairs)[2:])
-    unigram = classes.unigram()
 
-    def contexts(batches):
+    def sums_of(row, word_counts):
+        keys = unpack(row["keys"], row["n"], np.uint64, sort=True)
+        counts = unpack(row["counts"], row["n"], np.int64)
+        at = np.searchsorted(keys >> HALF, np.arange(row["n_contexts"], dtype=np.uint64))
+        total = np.add.reduceat(counts.astype(np.float64), at)
+        mass = np.add.reduceat(discount[np.minimum(counts, GOOD_TURING + 1)] * counts, at)
+        del counts
+        keys &= LOW
+        seen = np.add.reduceat(classes.unigram(word_counts)[keys], at)
+        sums = np.concatenate([total, mass, seen])
+        yield record([(row["part"], row["n_contexts"], row["contexts"], pack(sums))], kept)
+
+    kept = "part long, n_contexts long, contexts binary, sums binary"
+    contexts = cut(_with_counts(pairs, "part", words, word_parts, sums_of, kept), "contexts")
+
+    def of_hot(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                keys = unpack(row["keys"], row["n"], np.uint64, sort=True)
-                counts = unpack(row["counts"], row["n"], np.int64)
-                context = (keys >> ID_BITS).astype(np.int64)
-                mass = discount[np.minimum(counts, GOOD_TURING + 1)] * counts
-                seen = unigram[(keys & ID_MASK).astype(np.int64)]
-                at = np.flatnonzero(np.append(True, context[1:] != context[:-1])[: len(context)])
-                sums = [pa.array(np.add.reduceat(x, at)) for x in (mass, seen)]
-                yield pa.record_batch([pa.array(context[at]), *sums], ["context", "mass", "seen"])
-
-    sums = pairs.mapInArrow(contexts, "context long, mass double, seen double").groupBy("context")
-    sums = sums.agg(F.sum("mass").alias("mass"), F.sum("seen").alias("seen")).toArrow()
-    total = classes.totals()
-    mass, seen = np.zeros(len(total)), np.zeros(len(total))
-    at = np.asarray(sums["context"]).astype(np.int64)
-    mass[at], seen[at] = np.asarray(sums["mass"], dtype=float), np.asarray(sums["seen"], dtype=float)
-    scale, backoff = normalised(total, mass, seen)
-    return Model(classes, words, pairs, word_parts, pair_parts, discount, backoff, scale)
+                keys = unpack(row["contexts"], row["n_contexts"], np.uint64, sort=True)
+                own = located(hot, keys)[1]
+                sums = unpack(row["sums"], 3 * len(keys), np.float64).reshape(3, -1)[:, own]
+                yield pa.record_batch([pa.array(keys[own].view(np.int64)), *map(pa.array, sums)], ["context", *names])
+
+    names = ["total", "mass", "seen"]
+    sums = contexts.mapInArrow(of_hot, "context long, total double, mass double, seen double").groupBy("context")
+    sums = sums.agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+    found = np.zeros((3, len(hot)))
+    at = np.searchsorted(hot, np.asarray(sums["context"]).astype(np.int64).view(np.uint64))
+    for line, name in zip(found, names):
+        line[at] = np.asarray(sums[name]).astype(float)
+    return Model(classes, words, pairs, contexts, word_parts, pair_parts, discount, hot, *normalised(*found))
 
 
 def normalised(total: np.ndarray, mass: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,43 +508,49 @@ def normalised(total: np.ndarray, mass: np.ndarray, seen: np.ndarray) -> tuple[n
     return scale, np.where(every, 0.0, left / np.where(every | never, 1.0, unseen))
 
 
-def _keys_of_texts(source: DataFrame, model: Model) -> DataFrame:
-    """What has to be looked up: blocks of distinct keys with the texts each occurs in."""
-    classes, word_parts, pair_parts = model.classes, model.word_parts, model.pair_parts
-
-    def read(batches):
-        for batch in pieces(batches, "text", PIECE):
-            hashes, first = tokens(batch.column("text"))
-            text = np.repeat(np.arange(len(first) - 1, dtype=np.uint32), np.diff(first))
-            row = np.asarray(batch.column(ROW))
-            pairs = classes.pairs(hashes, first)
-            rare = (pairs & ID_MASK) == np.uint64(classes.rare)
-            out = []
-            for keys, texts, to_parts, offset in (
-                (hashes[rare], text[rare], lambda k: part_of_word(k, word_parts), 0),
-                (pairs, text, lambda k: classes.part_of_pair(k, pair_parts), word_parts),
-            ):
-                order = np.argsort(keys)
-                keys, texts = keys[order], texts[order]
-                head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
-                size, keys = np.diff(head, append=len(keys)), keys[head]
-                part = to_parts(keys)
-                by_part = np.argsort(part, kind="stable")
-                texts = texts[np.repeat(head[by_part], size[by_part]) + _inside(size[by_part])]
-                keys, size, part = keys[by_part], size[by_part], part[by_part]
-                ends = np.cumsum(size)
-                for p, a, b in blocks(part):
-                    own = texts[ends[a] - size[a] : ends[b - 1]]
-                    packed = [pack(keys[a:b], sort=True), pack(size[a:b].astype(np.uint32)), pack(own)]
-                    out.append((p + offset, 1, b - a, *packed, len(own), row.tobytes()))
-            if out:
-                columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-                yield pa.record_batch(columns, names)
+LOOKED = (
+    "part long, kind long, piece long, n long, keys binary, counts binary, n_contexts long, contexts binary, "
+    "n_words long, words binary, word_counts binary, m long, texts binary, n_rows long, row_nos binary, sums binary"
+)
+
+
+def _keys_of_texts(texts: DataFrame, model: Model) -> DataFrame:
+    """What has to be looked up: blocks of distinct pairs with the texts each occurs in and the counts of
+    their words; and, as kind 3, the sums per text that these counts give by themselves."""
+    classes, hot, pair_parts = model.classes, model.hot, model.pair_parts
+
+    def read(row, counts):
+        known, pairs, at = keyed(row, classes)
+        sizes = unpack(row["sizes"], row["n"], np.int64)
+        text = np.repeat(np.arange(row["n"], dtype=np.uint32), sizes)
+        ids = unpack(row["ids"], row["m"], np.uint32)
+        place, n = row["piece"], row["n"]
+        sums = [sizes.astype(np.float64)]
+        for x in ((counts > 0).astype(np.float64), classes.base(counts), np.log10(classes.within(counts))):
+            sums.append(np.bincount(text, x[ids], n))
+        blank = [None] * 10
+        yield record([(place % pair_parts, 3, place, *blank, n, row["row_nos"], pack(np.concatenate(sums)))], LOOKED)
+        of_class = np.zeros(len(known), dtype=np.int64)
+        own = classes.owned(counts)
+        of_class[at[own]] = counts[own]
+        del ids
+        order = np.argsort(pairs)
+        keys, text = pairs[order], text[order]
+        del pairs, order
+        head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        size, keys = np.diff(head, append=len(keys)), keys[head]
+        part = part_of_pair(known, keys, hot, pair_parts)
+        by_part = np.argsort(part, kind="stable")
+        head, size, keys, part = head[by_part], size[by_part], keys[by_part], part[by_part]
+        for p, a, b in blocks(part):
+            own = text[np.repeat(head[a:b], size[a:b]) + _inside(size[a:b])]
+            (packed, *dictionaries), words = packed_pairs(known, keys[a:b])
+            yield record([(
+                p, 2, place, b - a, packed, pack(size[a:b].astype(np.uint32)), *dictionaries,
+                pack(of_class[words]), len(own), pack(own), n, row["row_nos"], None,
+            )], LOOKED)
 
-    names = ["part", "kind", "n", "keys", "counts", "texts", "m", "row_nos"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-    schema = "part long, kind long, n long, keys binary, counts binary, texts binary, m long, row_nos binary"
-    return source.select(ROW, "text").mapInArrow(read, schema)
+    return _with_counts(texts, "piece", model.words, model.word_parts, read, LOOKED)
 
 
 def _inside(size: np.ndarray) -> np.ndarray:
@@ -355,48 +561,53 @@ def score_rows(source: DataFrame, model: Model) -> DataFrame:
     """``ROW, n_tokens, n_known, base_score, score`` of every text.
 
     Each token is scored where the part of the table that its context is in lies: by the discounted
-    count if the pair was seen, else by the backoff weight and the unigram of its class; and a rare
-    word, in a part of the unigram table, by its share in the class. The sums per text of a piece of
-    texts travel together, and are added up.
+    count if the pair was seen, else by the backoff weight and the unigram of its word, whose count
+    came along. The sums per text of a piece of texts travel together, and are added up.
     """
-    classes, offset = model.classes, model.word_parts
-    discount, scale, backoff = model.discount, model.scale, model.backoff
+    classes, discount = model.classes, model.discount
+    hot, hot_scale, hot_backoff = model.hot, model.hot_scale, model.hot_backoff
 
     def look(batches):
-        unigram = classes.unigram()
-        counts_of = np.append(classes.counts, [0, 0])
-        at, known, counts = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        at, none = None, np.zeros(0, np.uint64)
         for batch in batches:
             for row in batch.to_pylist():
                 if row["part"] != at:
-                    at, known, counts = row["part"], np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                keys = unpack(row["keys"], row["n"], np.uint64, sort=True)
+                    at, contexts, words, known, counts = row["part"], none, none, none, none
+                    pa.default_memory_pool().release_unused()
+                    scale, backoff = np.ones(0), np.ones(0)
                 if row["kind"] == 0:
-                    known, counts = keys, unpack(row["counts"], row["n"], np.int64)
+                    contexts, words, known = unpacked_pairs(row)
+                    counts = unpack(row["counts"], row["n"], np.int64)
+                    continue
+                if row["kind"] == 1:
+                    scale, backoff = normalised(*unpack(row["sums"], 3 * row["n_contexts"], np.float64).reshape(3, -1))
+                    continue
+                if row["kind"] == 3:
+                    yield record([(row["piece"], row["n_rows"], row["row_nos"], row["sums"])], kept)
                     continue
+                first, second, keys = unpacked_pairs(row)
+                context, word = (keys >> HALF).astype(np.int64), (keys & LOW).astype(np.int64)
+                c, c_there = located(contexts, first)
+                w, w_there = located(words, second)
+                divisor, weight = np.ones(len(first)), np.ones(len(first))
+                divisor[c_there], weight[c_there] = scale[c[c_there]], backoff[c[c_there]]
+                h, h_there = located(hot, first)
+                divisor[h_there], weight[h_there] = hot_scale[h[h_there]], hot_backoff[h[h_there]]
+                pair = (c.astype(np.uint64) << HALF)[context] | w.astype(np.uint64)[word]
+                place, there = located(known, pair)
+                there &= c_there[context] & w_there[word]
                 found = np.zeros(len(keys), dtype=np.int64)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    found = np.where(known[place] == keys, counts[place], 0)
-                if at < offset:  # rare words
-                    p, base, sure = classes.within_rare(found), classes.base(found), found > 0
-                    n = np.zeros(len(keys))
-                else:
-                    context, word = (keys >> ID_BITS).astype(np.int64), (keys & ID_MASK).astype(np.int64)
-                    direct = discount[np.minimum(found, GOOD_TURING + 1)] * found / scale[context]
-                    p = np.where(found > 0, direct, backoff[context] * unigram[word])
-                    own = word != classes.rare
-                    base = np.where(own, classes.base(counts_of[word]), 0.0)
-                    sure, n = own, np.ones(len(keys))
-                size = unpack(row["counts"], row["n"], np.uint32)
-                text = unpack(row["texts"], row["m"], np.uint32)
-                number = np.frombuffer(row["row_nos"], np.int64)
-                key = np.repeat(np.arange(len(keys)), size)
+                found[there] = counts[place[there]]
+                unigram = classes.unigram(unpack(row["word_counts"], row["n_words"], np.int64))
+                direct = discount[np.minimum(found, GOOD_TURING + 1)] * found / divisor[context]
+                p = np.where(found > 0, direct, weight[context] * unigram[word])
                 with np.errstate(divide="ignore"):
                     logs = np.log10(p)
-                sums = [np.bincount(text, x.astype(np.float64)[key], len(number)) for x in (n, sure, base, logs)]
-                columns = [[number[0]], [len(number)], [pack(number, sort=True)], [pack(np.concatenate(sums))]]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["piece", "n", "row_nos", "sums"])
+                size = unpack(row["counts"], row["n"], np.uint32)
+                text = unpack(row["texts"], row["m"], np.uint32)
+                sums = np.zeros((4, row["n_rows"]))
+                sums[3] = np.bincount(text, np.repeat(logs, size), row["n_rows"])
+                yield record([(row["piece"], row["n_rows"], row["row_nos"], pack(sums.ravel()))], kept)
 
     def add(batches):
         held, sums, at = None, None, None
@@ -415,18 +626,21 @@ def score_rows(source: DataFrame, model: Model) -> DataFrame:
         whole = [pa.array(np.rint(x).astype(np.int64)) for x in sums[:2]]
         return pa.record_batch([pa.array(number), *whole, *map(pa.array, sums[2:])], names)
 
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    kept = "piece long, n long, row_nos binary, sums binary"
     names = [ROW, "n_tokens", "n_known", "base_score", "score"]
-    blank = [F.lit(0).cast("long").alias("kind")]
-    empty = [F.lit(None).cast("binary").alias("texts"), F.lit(0).cast("long").alias("m"),
-             F.lit(None).cast("binary").alias("row_nos")]
-    order = ["part", "kind", "n", "keys", "counts", "texts", "m", "row_nos"]
-    tables = model.words.unionByName(model.pairs.withColumn("part", F.col("part") + offset))
-    rows = tables.select("*", *blank, *empty).select(order).unionByName(_keys_of_texts(source, model))
-    dealt = rows.repartition(parallelism(source.sparkSession), "part").sortWithinPartitions("part", "kind")
-    parts = dealt.mapInArrow(look, "piece long, n long, row_nos binary, sums binary")
-    by_piece = parts.repartition(parallelism(source.sparkSession), "piece").sortWithinPartitions("piece")
-    return by_piece.mapInArrow(add, f"{ROW} long, n_tokens long, n_known long, base_score double, score double")
+    pairs = model.pairs.withColumn("kind", F.lit(0).cast("long"))
+    tables = pairs.unionByName(model.contexts.withColumn("kind", F.lit(1).cast("long")), allowMissingColumns=True)
+    texts, n = tokenised(source), parallelism(source.sparkSession)
+    scored = None
+    for portion in range(PORTIONS):
+        some = texts.filter(F.pmod(F.xxhash64("piece"), F.lit(PORTIONS)) == portion)
+        rows = tables.unionByName(_keys_of_texts(some, model), allowMissingColumns=True)
+        parts = rows.repartition(n, "part").sortWithinPartitions("part", "kind").mapInArrow(look, kept)
+        by_piece = parts.repartition(n, "piece").sortWithinPartitions("piece")
+        schema = f"{ROW} long, n_tokens long, n_known long, base_score double, score double"
+        done = cut(by_piece.mapInArrow(add, schema), "scores")
+        scored = done if scored is None else scored.union(done)
+    return scored
 
 
 def log_probabilities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -439,10 +653,16 @@ def log_probabilities(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is one of unseen words, and its score that of their class.
     """
     held_out = (crc_rest(F.col(id_col), 7) == 2).alias("held_out")
-    source = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out)
-    model = fit(source)
-    sums = score_rows(source, model)
-    return source.select(ROW, "doc_id", "held_out").join(sums, ROW).select(
+    with recording() as made:
+        source = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out)
+    texts = tokenised(source)
+    rows = source.select(ROW, "doc_id", "held_out")
+    if made:  # the texts are not read again
+        rows = cut(rows, "rows")
+        drop(df.sparkSession, made)
+    model = fit(texts)
+    sums = score_rows(texts, model)
+    return rows.join(sums, ROW).select(
         "doc_id",
         "held_out",
         "n_tokens",
