@@ -31,12 +31,15 @@ PATH_BUCKETS, WORD_BUCKETS = 40, 24
 # an opening tag of the same group closes.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "samp small span strike strong sub sup time tt u var wbr audio canvas object video math maction merror "
+    "mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics annotation".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
-RAW = "script|style|noscript|template|svg|iframe|textarea|title|math|object|canvas|audio|video"
+RAW = "script|style|noscript|template|iframe|textarea|title"
+ATTRIBUTES = r"(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
 
 #: Sorts of places on a page, and the names of elements, classes and ids that point to them.
 PLACES = {
@@ -53,8 +56,10 @@ PLACES = {
 PLACE_NAMES = list(PLACES)
 PLACE_OF = {word: number for number, words in enumerate(PLACES.values()) for word in words.split()}
 
+# An svg ends with its own tag or with its closing one; one that has neither is a tag like any other.
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW}){ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
+    rf"|(<svg{ATTRIBUTES}(?:(?<=/)>|>(?:(?!<svg[\s/>]).)*?</svg\s*>))"
     r"|</?([a-zA-Z][^\s/>]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
@@ -121,10 +126,12 @@ def leaf_blocks(html: str) -> list[Block]:
         add(html[at : match.start()])
         at = match.end()
         tag = match.group()
-        if match.group(1) or tag[1] in "!?":
+        if match.group(1) or match.group(2) or tag[1] in "!?":
             continue
         found = TAG.match(tag)
         name = found.group(1).lower()
+        if name == "svg":
+            continue
         if name not in INLINE:
             close()
         elif name == "br":

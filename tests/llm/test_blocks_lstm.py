@@ -113,3 +113,18 @@ def test_padding_and_order_do_not_matter(model):
     together = model.label(pages)
     for page, p in zip(pages, together):
         assert np.allclose(model.label([page])[0], p)
+
+
+@pytest.mark.parametrize(
+    "html,blocks",
+    [
+        ("<article><p>one</p><svg class=\"i\"/><p>two</p><p>three</p></article>", ["one", "two", "three"]),
+        ("<p>one</p><svg><p>two</p><svg><path d='x'/><text>no</text></svg><p>three", ["one", "two", "three"]),
+        ("<video-player src=x></video-player><p>one</p><title-bar>two</title-bar><svg-icon/><p>three</p>", ["one", "two", "three"]),
+        ("<p>if <math><mi>x</mi><mo>&lt;</mo><mn>2</mn></math> then</p>", ["if x<2 then"]),
+        ("<p>see <video src=x>a film</video> <audio>a song</audio> <object>a map</object> <canvas>a plot</canvas></p>", ["see a film a song a map a plot"]),
+        ("<title>no</title>a<svg viewBox='0 0'><title>no</title><text>no</text></svg>b<script >no</script>c", ["abc"]),
+    ],
+)
+def test_only_raw_elements_are_dropped(html, blocks):
+    assert [b.text for b in bl.leaf_blocks(html)] == blocks
