@@ -1,4 +1,5 @@
-"""Exact dedup as a tree merge of sorted digest runs. DataFrame functions only."""
+"""Exact dedup as a tree merge of digest runs: every merge is an aggregation by run and digest. DataFrame
+functions only."""
 
 from __future__ import annotations
 
@@ -29,9 +30,10 @@ def exact_dedup(
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256`` and the row's
     number (``stage.ROW``). ``keep`` names which identifier of a group stays, ``max`` or ``min``.
 
-    Rows are dealt to ``runs`` leaf runs by their number. A run holds each digest once, sorted,
-    with its retained identifier and its count. In every round the runs ``fan * r`` to
-    ``fan * r + fan - 1`` are sent to run ``r`` and merged, digest by digest; the last round
+    Rows are dealt to ``runs`` leaf runs by their number. A run holds each digest once,
+    with its retained identifier and its count, in no order. In every round the runs ``fan * r`` to
+    ``fan * r + fan - 1`` are sent to run ``r`` and merged, digest by digest, by a grouped aggregation (runs are
+    neither sorted nor merged in order, and ``fan`` says how many meet in a round); the last round
     leaves one run, spread over all tasks by digest. Its winners go back to the leaf runs, and
     from there to the rows.
 
