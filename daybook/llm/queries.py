@@ -9,12 +9,15 @@ from daybook.llm import (
     difference_cover,
     exact_tree,
     fm_index,
+    hybrid_search,
+    importance,
     katz,
     mil,
     partenum,
     pii_weak,
     pivotal,
     spaced_seed,
+    warc,
 )
 from daybook.llm.stage import ROW, table
 
@@ -60,6 +63,22 @@ def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal.mix_sources(table(spark, sf_dir, "documents")).drop(ROW, "copies")
 
 
+def op11_chunked_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.archive(table(spark, sf_dir, "pages"))
+    columns = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc.contents(archives).withColumnRenamed("id", "page_id").select("page_id", *columns)
+
+
+def op12_hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = hybrid_search.build_index(table(spark, sf_dir, "documents"))
+    return hybrid_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_spaced_seed": op1_spaced_seed,
     "op2_mil": op2_mil,
@@ -71,10 +90,15 @@ QUERIES = {
     "op8_pii_weak": op8_pii_weak,
     "op9_blocks_lstm": op9_blocks_lstm,
     "op10_pivotal": op10_pivotal,
+    "op11_chunked_warc": op11_chunked_warc,
+    "op12_hybrid_search": op12_hybrid_search,
+    "op13_importance": op13_importance,
 }
 
 # Words, and windows of words, of every text (values fixed by the contract).
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 ORACLES = {
     "op3_exact_tree": """
@@ -150,4 +174,71 @@ ORACLES = {
                coalesce(n_spans, 0) AS n_spans, sha256(CASE WHEN h IS NULL THEN b ELSE unhex(h) END) AS kept_sha256
         FROM d LEFT JOIN rest USING (doc_id)
     """,
+    "op11_chunked_warc": """
+        WITH p AS (
+            SELECT page_id, sha1(coalesce(html, '')) AS h, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+        base AS (
+            SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY h) AS best,
+                   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       ((CAST('0x' || substr(h, i // 4 * 5 + 1, 5) AS INTEGER) >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest
+            FROM p)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> best THEN best END AS refers_to
+        FROM base
+    """,
+    "op12_hybrid_search": f"""
+        WITH d AS (
+            SELECT doc_id, unnest({_TERMS}) AS x FROM documents),
+        q AS (
+            SELECT item_id, unnest({_TERMS}) AS x FROM benchmark),
+        sizes AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+        total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+        lengths AS (SELECT doc_id, 75 + (25 * n * n_docs) // n_terms AS m FROM sizes, total),
+        postings AS (SELECT x, doc_id, count(*) AS tf FROM d WHERE x IN (SELECT x FROM q) GROUP BY x, doc_id),
+        weights AS (
+            SELECT x, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM postings, total GROUP BY x, n_docs),
+        wanted AS (SELECT item_id, x, count(*) AS c FROM q GROUP BY item_id, x),
+        scores AS (
+            SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM wanted JOIN weights USING (x) JOIN postings USING (x) JOIN lengths USING (doc_id)
+            GROUP BY item_id, doc_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+            FROM scores WHERE score > 0)
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
+    """,
+    "op13_importance": f"""
+        WITH w AS (
+            SELECT doc_id, unnest({_TERMS}) AS x FROM documents),
+        q AS (SELECT unnest({_TERMS}) AS x FROM benchmark),
+        crc AS (
+            SELECT list_transform(range(256), lambda x: list_reduce([x] || range(8), lambda c, i:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        words AS (SELECT DISTINCT x FROM w UNION SELECT x FROM q),
+        buckets AS (
+            SELECT x, xor(list_reduce([4294967295] || list_transform(range(1, octet_length(encode(x)) + 1),
+                lambda i: CAST('0x' || substr(hex(encode(x)), 2 * i - 1, 2) AS BIGINT)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM words, crc),
+        s AS (SELECT bucket, count(*) AS n FROM w JOIN buckets USING (x) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM q JOIN buckets USING (x) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+                / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+            FROM s LEFT JOIN t USING (bucket)),
+        sums AS (
+            SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight
+            FROM w JOIN buckets USING (x) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                       / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM documents LEFT JOIN sums USING (doc_id)),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <=
+            (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank
+        FROM placed
+    """,
 }

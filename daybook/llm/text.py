@@ -15,6 +15,10 @@ import pyarrow.compute as pc
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: Bytes that part terms: all of ASCII but digits and letters.
+MARKS = np.zeros(256, dtype=bool)
+MARKS[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -68,11 +72,13 @@ def pieces(batches, column: str | int, limit: int = 2 << 20):
 
 class Words:
     """All words of a batch: ``start`` and ``end`` bytes, the ``row`` each is in, and ``first``,
-    the number of the first word of each row (``n + 1`` entries)."""
+    the number of the first word of each row (``n + 1`` entries). ``gaps`` marks the bytes that
+    part them, ``SPACE`` among them."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, gaps: np.ndarray = SPACE):
         self.data, self.offsets = buffer_of(column)
-        solid = ~SPACE[self.data]
+        self.gaps = gaps
+        solid = ~gaps[self.data]
         edge = np.empty(len(solid) + 1, dtype=bool)
         edge[:-1] = solid
         edge[-1] = False
@@ -100,7 +106,8 @@ class Words:
         the length. ``lower`` folds A-Z."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        keys = BYTE_KEYS[LOWER] if lower else BYTE_KEYS
+        keys = np.where(self.gaps, np.uint64(0), BYTE_KEYS)
+        keys = keys[LOWER] if lower else keys
         length = self.end - self.start
         places = stream(int(length.max()), 29) | np.uint64(1)
         out = np.empty(len(self.start), dtype=np.uint64)
