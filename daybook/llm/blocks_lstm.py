@@ -7,9 +7,9 @@ trained here, on labels that the names of enclosing elements suggest.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
-from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from daybook.llm.stage import sampled
 from daybook.llm.text import Words, pieces
 
-#: The model is fitted on at most so many pages, those of least hash, none longer than so many bytes.
+#: The model is fitted on at most so many windows, of so many blocks, out of the pages of least hash,
+#: as many pages at most. Of a block in them, so many characters count.
 SAMPLE = 300
-SAMPLE_BYTES = 60_000
+WINDOW = 400
+SAMPLE_CHARS = 2000
 
 HIDDEN = 20
 PATH_BUCKETS, WORD_BUCKETS = 40, 24
@@ -38,8 +40,8 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
-RAW = "script|style|noscript|template|iframe|textarea|title"
-ATTRIBUTES = r"(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
+RAW = frozenset("script style iframe textarea title".split())
+HIDDEN_TAGS = frozenset(("svg", "template"))
 
 #: Sorts of places on a page, and the names of elements, classes and ids that point to them.
 PLACES = {
@@ -56,19 +58,21 @@ PLACES = {
 PLACE_NAMES = list(PLACES)
 PLACE_OF = {word: number for number, words in enumerate(PLACES.values()) for word in words.split()}
 
-# An svg ends with its own tag or with its closing one; one that has neither is a tag like any other.
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW}){ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
-    rf"|(<svg{ATTRIBUTES}(?:(?<=/)>|>(?:(?!<svg[\s/>]).)*?</svg\s*>))"
-    r"|</?([a-zA-Z][^\s/>]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|</?([a-zA-Z][^\s/>]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
+ANY_CLOSING = re.compile("</[a-zA-Z]")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
-@lru_cache(maxsize=8192)
+#: Opening tags that are kept with what they mean, while a task reads pages.
+KNOWN_TAGS = 8192
+
+
 def _element(tag: str) -> tuple[str, tuple[int, ...], int]:
     """Name of an opening tag, the buckets of its name, classes and ids, and the place it points to
     (-1: none). Of several places one that is no content wins."""
@@ -88,12 +92,47 @@ class Block:
         self.text, self.path, self.place, self.outer, self.tag, self.linked = text, path, place, outer, tag, linked
 
 
-def leaf_blocks(html: str) -> list[Block]:
+def _tokens(html: str):
+    """Start, end, tag and name of all markup; without tag and name, comments and raw elements whole.
+    Raw content ends with its closing tag; without one, before the next closing tag of any element."""
+    at, unclosed = 0, set()
+    while match := TOKEN.search(html, at):
+        at, tag, name = match.end(), match.group(), (match.group(1) or "").lower()
+        if name in RAW and tag[1] != "/":
+            close = None if name in unclosed else CLOSING[name].search(html, at)
+            if close is None:
+                unclosed.add(name)
+                close = ANY_CLOSING.search(html, at)
+                at = close.start() if close else len(html)
+            else:
+                at = close.end()
+            tag = name = ""
+        elif tag[1] in "!?":
+            tag = name = ""
+        yield match.start(), at, tag, name
+
+
+def _hidden(tokens: list[tuple]) -> dict[int, int]:
+    """Drawings and templates that are closed, nested ones within the outermost: from the token that
+    opens them to the one that closes them. What is never closed is a tag like any other."""
+    out, open_ = {}, {name: [] for name in HIDDEN_TAGS}
+    for number, (_, _, tag, name) in enumerate(tokens):
+        if name not in HIDDEN_TAGS or tag.endswith("/>"):
+            continue
+        if tag[1] != "/":
+            open_[name].append(number)
+        elif open_[name]:
+            out[open_[name].pop()] = number
+    return out
+
+
+def leaf_blocks(html: str, known: dict | None = None) -> list[Block]:
     """The texts between block-level tags, with the buckets of the enclosing elements, the innermost
     place they point to, whether one is content, the innermost block element, and the share of
     characters in links. References are decoded, white space is one space, and empty blocks are
     left out. Unclosed elements end with what encloses them; closing tags without an opening one
-    and broken markup count for nothing."""
+    and broken markup count for nothing. ``known`` keeps opening tags from one page to the next."""
+    known = {} if known is None else known
     stack: list[tuple[str, tuple[int, ...], int]] = []
     out: list[Block] = []
     held: list[str] = []
@@ -122,15 +161,14 @@ def leaf_blocks(html: str) -> list[Block]:
                 out.append(Block(text, path, place, outer, tag, linked / total))
             held, linked, total = [], 0, 0
 
-    for match in TOKEN.finditer(html):
-        add(html[at : match.start()])
-        at = match.end()
-        tag = match.group()
-        if match.group(1) or match.group(2) or tag[1] in "!?":
-            continue
-        found = TAG.match(tag)
-        name = found.group(1).lower()
-        if name == "svg":
+    tokens = list(_tokens(html))
+    hidden, number = _hidden(tokens), -1
+    while (number := number + 1) < len(tokens):
+        start, _, tag, name = tokens[number]
+        add(html[at:start])
+        number = hidden.get(number, number)
+        at = tokens[number][1]
+        if not name or name in HIDDEN_TAGS:
             continue
         if name not in INLINE:
             close()
@@ -152,7 +190,11 @@ def leaf_blocks(html: str) -> list[Block]:
                 if stack[depth][0] not in INLINE and stack[depth][0] not in CLOSED_BY:
                     break
         if name not in VOID and not tag.endswith("/>"):
-            stack.append(_element(tag))
+            if tag not in known:
+                if len(known) >= KNOWN_TAGS:
+                    known.clear()
+                known[tag] = _element(tag)
+            stack.append(known[tag])
     add(html[at:])
     close()
     return out
@@ -351,14 +393,17 @@ def varied(pages: list[list[Block]], rng) -> list[list[Block]]:
     return out
 
 
-def train(pages: list[list[Block]], rounds: int = 12, batch: int = 24, rate: float = 0.01) -> Labeller:
-    """Adam on batches of pages and of their variations. In a part of them what the names tell is
+def train(
+    pages: list[list[Block]], rounds: int = 12, batch: int = 24, rate: float = 0.01, least_steps: int = 150
+) -> Labeller:
+    """Adam on batches of pages and of their variations, in so many rounds, more if few pages make few
+    steps. In a part of them what the names tell is
     blanked, so that the model also learns to go by text and surroundings."""
     rng = np.random.default_rng(11)
     model = Labeller()
     weights = model.weights()
     moment, energy, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
-    pages = [p[:400] for p in pages if p]
+    rounds = max(rounds, -(-least_steps // max(1, -(-2 * len(pages) // batch))))
     for _ in range(rounds):
         given = pages + varied(pages, rng)
         sizes = np.array([len(p) for p in given])
@@ -388,13 +433,39 @@ def train(pages: list[list[Block]], rounds: int = 12, batch: int = 24, rate: flo
     return model
 
 
-def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Labeller:
-    """Learn from at most ``sample`` pages, the same ones in every run."""
+def _windows(page: list[Block], window: int, chars: int) -> list[list[tuple]]:
+    """The blocks of a page, as plain values, in windows of about equal size that cover all of it."""
+    n = -(-len(page) // window)
+    edges = [len(page) * k // max(n, 1) for k in range(n + 1)]
+    short = lambda t: t if len(t) <= chars else t[: chars - 1] + t[-1]
+    return [[(short(b.text), b.path, b.place, b.outer, b.tag, b.linked) for b in page[lo:hi]]
+            for lo, hi in zip(edges, edges[1:])]
+
+
+def fit(
+    pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+    sample: int = SAMPLE, window: int = WINDOW, chars: int = SAMPLE_CHARS,
+) -> Labeller | None:
+    """Learn from at most ``sample`` windows of ``window`` blocks, drawn from at most as many pages of
+    any length, the same ones in every run. Pages are read by the tasks; the driver gets the windows,
+    with ``chars`` characters of a block. ``None`` if no page has a block."""
     html = F.col(html_col)
-    some = pages.select(F.col(id_col).alias("id"), html.alias("html"))
-    some = some.filter(F.col("html").isNotNull() & (F.octet_length("html") <= SAMPLE_BYTES))
-    rows = sampled(some, sample, F.col("id"), F.col("html")).collect()
-    return train([leaf_blocks(r["html"]) for r in rows])
+    keyed = pages.filter(html.isNotNull()).select(F.xxhash64(F.col(id_col), html).alias("key"), html.alias("html"))
+    chosen = sampled(keyed.select("key"), sample, F.col("key")).distinct()  # at most ``sample`` numbers
+    some = keyed.join(F.broadcast(chosen), "key").groupBy("key").agg(F.max("html").alias("html"))
+
+    def read(batches):
+        known = {}
+        for batch in pieces(batches, "html"):
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("html").to_pylist()):
+                found = [pickle.dumps(w) for w in _windows(leaf_blocks(text, known), window, chars)]
+                yield pa.record_batch(
+                    [pa.array([key] * len(found), pa.int64()), pa.array(range(len(found)), pa.int64()),
+                     pa.array(found, pa.binary())], ["key", "number", "blocks"])
+
+    found = some.mapInArrow(read, "key long, number long, blocks binary")
+    rows = sampled(found, sample, F.col("key"), F.col("number")).collect()
+    return train([[Block(*b) for b in pickle.loads(r["blocks"])] for r in rows]) if rows else None
 
 
 def main_text(
@@ -404,17 +475,20 @@ def main_text(
 
     ``text`` joins by a line feed, in page order, the blocks that the model takes for content; a line
     break within a block is white space. Null and empty pages, and pages without content, have an
-    empty text. Repeated rows are extracted alike; an empty table gives an empty result.
+    empty text. Repeated rows are extracted alike; an empty table gives an empty result. Without
+    anything to learn from, what the names around a block suggest decides.
     """
     model = model or fit(pages, id_col, html_col)
+    label = model.label if model else lambda read: [suggested(page)[0] for page in read]
     chosen = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
 
     def extract(batches):
+        known = {}
         for batch in pieces(batches, "html", 2 << 20):
-            read = [leaf_blocks(h or "") for h in batch.column("html").to_pylist()]
+            read = [leaf_blocks(h or "", known) for h in batch.column("html").to_pylist()]
             texts = [
                 "\n".join(b.text for b, x in zip(page, p) if x >= 0.5)
-                for page, p in zip(read, model.label(read))
+                for page, p in zip(read, label(read))
             ]
             n = pa.array([len(t) for t in texts], pa.int64())
             yield pa.record_batch(

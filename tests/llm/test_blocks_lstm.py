@@ -1,4 +1,5 @@
 import random
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -14,11 +15,37 @@ def model(spark):
     return bl.fit(spark.read.parquet(f"{FOLDER}/pages.parquet"))
 
 
+class Article(HTMLParser):
+    """What a page has between the tags of its article, as the standard library's parser reads it."""
+
+    RUNNING = {"a", "b", "i", "em", "strong", "span", "br", "code", "small", "sup", "sub", "u", "img"}
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.mute, self.blocks = 0, 0, [""]
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.mute += tag in ("script", "style")
+        self.blocks += [] if tag in self.RUNNING else [""]
+        if tag == "br":
+            self.handle_data(" ")
+
+    def handle_endtag(self, tag):
+        self.blocks += [] if tag in self.RUNNING else [""]
+        self.inside -= tag == "article"
+        self.mute -= tag in ("script", "style")
+
+    def handle_data(self, data):
+        if self.inside and not self.mute:
+            self.blocks[-1] += data
+
+
 def article(page):
-    """What a page of the given template has between its article's tags, read by hand."""
-    inner = page[page.index("<article>") + 9 : page.index("</article>")]
-    blocks = bl.leaf_blocks(inner)
-    return "\n".join(b.text for b in blocks)
+    blocks = [" ".join(b.split()) for b in Article(page).blocks]
+    return "\n".join(b for b in blocks if b)
 
 
 def test_given_pages(spark, model):
@@ -75,7 +102,25 @@ def test_few_and_no_pages(stored):
     schema = "page_id long, url string, html string"
     assert bl.main_text(stored([], schema)).count() == 0
     (row,) = bl.main_text(stored([(1, "u", f"<article><p>{PROSE}</p></article>")], schema, "one")).collect()
-    assert row.text in ("", PROSE)
+    assert row.text == PROSE
+    blank = [(1, "u", ""), (2, "u", None), (3, "u", "<script>x</script>")]
+    assert bl.fit(stored(blank, schema, "blank")) is None
+    assert [r.text for r in bl.main_text(stored(blank, schema, "none")).collect()] == ["", "", ""]
+
+
+def test_only_long_pages(stored):
+    """Pages far longer than a window are learned from, and read whole."""
+    page = "<nav><a href=x>Home</a></nav><article>" + f"<p>{PROSE}</p>" * 700 + "</article><footer>foot</footer>"
+    rows = [(i, "u", page + " " * i) for i in range(6)]
+    got = bl.main_text(stored(rows, "page_id long, url string, html string")).collect()
+    assert [r.text for r in got] == ["\n".join([PROSE] * 700)] * 6
+
+
+def test_windows_cover_whole_pages():
+    blocks = bl.leaf_blocks("".join(f"<p>{i} {'x' * i}" for i in range(1001)))
+    found = bl._windows(blocks, 400, 50)
+    assert [w[0].split()[0] for part in found for w in part] == [str(i) for i in range(1001)]
+    assert {len(part) for part in found} <= {333, 334} and max(len(w[0]) for part in found for w in part) == 50
 
 
 def test_parser():
@@ -123,6 +168,11 @@ def test_padding_and_order_do_not_matter(model):
         ("<video-player src=x></video-player><p>one</p><title-bar>two</title-bar><svg-icon/><p>three</p>", ["one", "two", "three"]),
         ("<p>if <math><mi>x</mi><mo>&lt;</mo><mn>2</mn></math> then</p>", ["if x<2 then"]),
         ("<p>see <video src=x>a film</video> <audio>a song</audio> <object>a map</object> <canvas>a plot</canvas></p>", ["see a film a song a map a plot"]),
+        ("<p>one</p><noscript><p>two</p></noscript><p>three</p>", ["one", "two", "three"]),
+        ("<title>no<noscript></head><p>one</p><noscript><p>two", ["one", "two"]),
+        ("<div><script>var x = '<p>no'; </div><p>one</p><style>no { }</p><p>two", ["one", "two"]),
+        ("a<svg><text>no</text><svg><text>no</text></svg><text>no</text></svg>b<template>no<template>no</template>no</template>c", ["abc"]),
+        ("<svg/>a<svg>b</p>c<svg><text>d</text>", ["ab", "c", "d"]),
         ("<title>no</title>a<svg viewBox='0 0'><title>no</title><text>no</text></svg>b<script >no</script>c", ["abc"]),
     ],
 )
