@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.repeats import Unit, covered
-from daybook.llm.stage import ROW, numbered
+from daybook.llm.stage import ROW, Numbered, numbered
 from daybook.llm.text import buffer_of, pieces
 
 #: Fixed value of the contract: bytes in a window.
@@ -114,7 +114,7 @@ def dedup_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     empty result.
     """
     rows = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    runs = repeated_windows(rows)
+    runs = repeated_windows(Numbered(rows))
     lists = runs.groupBy(ROW).agg(F.collect_list(F.struct("start", "n")).alias("list"))
     rows = rows.join(lists, ROW, "left")
 

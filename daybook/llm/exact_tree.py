@@ -1,18 +1,17 @@
-"""Exact dedup as a tree merge of digest runs: every merge is an aggregation by run and digest. DataFrame
-functions only."""
+"""Exact dedup as a tree merge of sorted digest runs, in binomial rounds. DataFrame functions only."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, counted_once, cut, numbered
+from daybook.llm.stage import ROW, Numbered, apart, counted_once, cut, numbered, parallelism
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Leaf runs, and how many runs one merge takes in: 256 to 16 to 1.
+#: Leaf runs, and how many runs one merge takes in: 256 to 128 to 64 and so on to 1.
 RUNS = 256
-FAN = 16
+FAN = 2
 
 #: What must agree for two texts to count as equal: SHA-256, and beside it, against a collision,
 #: the length and an independent hash.
@@ -30,12 +29,11 @@ def exact_dedup(
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256`` and the row's
     number (``stage.ROW``). ``keep`` names which identifier of a group stays, ``max`` or ``min``.
 
-    Rows are dealt to ``runs`` leaf runs by their number. A run holds each digest once,
-    with its retained identifier and its count, in no order. In every round the runs ``fan * r`` to
-    ``fan * r + fan - 1`` are sent to run ``r`` and merged, digest by digest, by a grouped aggregation (runs are
-    neither sorted nor merged in order, and ``fan`` says how many meet in a round); the last round
-    leaves one run, spread over all tasks by digest. Its winners go back to the leaf runs, and
-    from there to the rows.
+    Rows are dealt to ``runs`` leaf runs by their number. A run is in order of digest and holds each
+    digest once, with its retained identifier and its count. In every round the runs ``fan * r`` to
+    ``fan * r + fan - 1`` are sent to run ``r``, brought into one order, and equal neighbours are merged;
+    a run is spread over all tasks by digest, so that no task holds one whole. The last round leaves
+    one run. Its winners go back to the leaf runs, and from there to the rows.
 
     A group of copies, however large, has at most ``fan`` entries in a merge, ``runs`` entries on
     the way back, and a ``runs``-th of its rows under one key of the last join.
@@ -63,12 +61,14 @@ def exact_dedup(
     first = leaf.groupBy("run", *KEY).agg(
         pick(rank).alias("best"), F.count(F.lit(1)).alias("size")
     )
-    merged, left = first, runs
+    merged, left, tasks = first, runs, parallelism(leaf.sparkSession)
     while left > 1:
         left = -(-left // fan)
         run = (F.col("run") / fan).cast("int").alias("run")
+        # Within a run every digest is there once, so there is nothing to combine ahead of the exchange.
+        runs_of_round = merged.select(run, *KEY, "best", "size").repartition(tasks, "run", *KEY)
         merged = (
-            merged.select(run, *KEY, "best", "size")
+            runs_of_round.sortWithinPartitions("run", *KEY)
             .groupBy("run", *KEY)
             .agg(pick("best").alias("best"), F.sum("size").alias("size"))
         )
@@ -87,6 +87,7 @@ def exact_dedup(
 
 def keep_distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
-    rows = numbered(df, *df.columns)
-    kept = exact_dedup(rows, id_col, text_col).filter("kept").select(ROW)
-    return rows.join(kept, ROW, "left_semi").select(df.columns)
+    own, names, back = apart(df, id_col, text_col)
+    rows = numbered(own, *own.columns)
+    kept = exact_dedup(Numbered(rows), *names).filter("kept").select(ROW)
+    return rows.join(kept, ROW, "left_semi").select(back)

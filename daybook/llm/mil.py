@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.stage import crc_rest, sampled
+from daybook.llm.stage import apart, crc_rest, sampled
 from daybook.llm.text import Words, pieces
 
 #: Words in a passage; the last passage of a text is shorter, an empty text has one empty passage.
 PASSAGE = 64
-#: The model is fitted on at most so many labelled documents, those of least hash, and on none
-#: longer than so many bytes.
+#: The model is fitted on at most so many labelled documents, those of least hash, and at most so many
+#: passages of each, evenly spaced.
 SAMPLE = 3000
-SAMPLE_BYTES = 200_000
+SAMPLE_PASSAGES = 128
 
 HIDDEN, GATE = 24, 12
 BUCKETS = 32
@@ -202,27 +202,32 @@ def fit(
     text_col: str = "text",
     label_col: str = "quality",
     sample: int = SAMPLE,
+    most_passages: int = SAMPLE_PASSAGES,
 ) -> Model | None:
     """Learn from the labelled documents that are not held out (``crc32(id) mod 3 = 1``).
 
-    At most ``sample`` of them are used, the same ones in every run; the labels of the sample, so
-    few rows that they are broadcast, pick them from ``docs``. Only features of passages reach the
-    driver. Null labels and identifiers are no labels; a document labelled both ways counts as what
-    most of its labels say, ties as 1. ``None`` if nothing is labelled.
+    At most ``sample`` of those in ``docs`` are used, the same ones in every run, of any length; the
+    labels of the sample, so few rows that they are broadcast, pick them from ``docs``, and of rows with
+    one identifier the text of least hash stands for all. Only features of passages reach the driver,
+    ``most_passages`` of a document. Null labels and identifiers are no labels; a document labelled both
+    ways counts as what most of its labels say, ties as 1. ``None`` if nothing is labelled.
     """
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     known = known.dropna().filter(crc_rest(F.col("id"), 3) != 1)
     known = known.groupBy("id").agg(F.round(F.avg("label")).alias("label"))
-    known = sampled(known, sample, F.col("id"))
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.filter(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = texts.join(F.broadcast(known), "id")
+    known = sampled(known.join(texts.select("id"), "id", "left_semi"), sample, F.col("id"))
+    rows = texts.join(F.broadcast(known), "id").groupBy("id", "label")
+    rows = rows.agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    rows = rows.select("id", "label", "one.text")
 
     def encode(batches):
         for batch in pieces(batches, "text"):
             x, bags = passages(batch.column("text"))
-            ends = np.cumsum(bags)
-            blobs = [x[e - n : e].tobytes() for e, n in zip(ends, bags)]
+            blobs = []
+            for end, n in zip(np.cumsum(bags), bags):
+                some = np.arange(n) if n <= most_passages else np.arange(most_passages) * n // most_passages
+                blobs.append(x[end - n + some].tobytes())
             yield pa.record_batch(
                 [batch.column("id"), batch.column("label"), pa.array(blobs, pa.binary())], ["id", "label", "x"]
             )
@@ -265,5 +270,5 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are predicted good, with all their columns."""
-    scored = with_score(docs, fit(docs, labels), out="__score")
-    return scored.filter(F.col("__score") >= 0.5).drop("__score")
+    own, (text,), back = apart(docs, "text")
+    return with_score(own, fit(docs, labels), text).filter(F.col("score") >= 0.5).select(back)

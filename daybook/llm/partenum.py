@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, cut, numbered, parallelism
+from daybook.llm.stage import ROW, Numbered, apart, cut, numbered, parallelism
 from daybook.llm.text import GOLDEN, Words, buffer_of, mix, pack, pieces, rolling, stream, unpack
 
 SHINGLE = 4
@@ -519,10 +519,11 @@ def keep_one(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` that stay, with all their columns: of each component the one with the
     least identifier, of equal ones the first row; every document without words. ``options`` are
     those of ``jaccard_classes``."""
-    rows = numbered(df, *df.columns)
-    classes = _classes(rows, **options)
+    own, names, back = apart(df, "doc_id", "text")
+    rows = numbered(own, *own.columns)
+    classes = _classes(Numbered(rows), *names, **options)
     first = classes.filter("label IS NOT NULL").groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("best"))
     stay = first.select(F.col(f"best.{ROW}").alias(ROW))
     stay = cut(stay.union(classes.filter("label IS NULL").select(ROW)), "stay")
-    return rows.join(stay, ROW, "left_semi").select(df.columns)
+    return rows.join(stay, ROW, "left_semi").select(back)

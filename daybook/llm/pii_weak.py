@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, cut, numbered
+from daybook.llm.stage import ROW, Numbered, cut, numbered
 
 #: Fixed values of the contract: kinds in order, and their patterns. Where a run of characters can
 #: only match from its first one on, a look behind says so, and what cannot help by giving
@@ -278,7 +278,7 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lists. An empty table gives an empty result.
     """
     rows = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = find_personal_data(rows)
+    found = find_personal_data(Numbered(rows))
     rank = F.create_map(*[F.lit(x) for pair in ORDER.items() for x in pair])[F.col("kind")]
     entry = F.struct("start", rank.alias("rank"), "end", F.concat_ws(":", "kind", "start", "end").alias("name"), "base")
     lists = found.groupBy(ROW).agg(

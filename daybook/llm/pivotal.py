@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, counted_once, cut, numbered, parallelism
+from daybook.llm.stage import ROW, Numbered, apart, counted_once, cut, numbered, parallelism
 from daybook.llm.text import Words, mix, pieces
 
 #: Fixed values of the contract: weights of the sources in turn, words of the mix as a share of
@@ -285,7 +285,9 @@ def take_mix(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` that the mix takes, with all their columns and, beside them, ``copies``,
     ``size``, ``source_size``, ``target`` and ``taken``; columns of ``df`` with these names are
     replaced."""
-    rows = numbered(df, *df.columns)
-    mixed = mix_sources(rows, **options).drop("doc_id").filter("taken > 0")
-    own = [c for c in df.columns if c not in mixed.columns]
-    return rows.select(*own, ROW).join(mixed, ROW).drop(ROW)
+    own, names, back = apart(df, "doc_id", "text", "source")
+    rows = numbered(own, *own.columns)
+    mixed = mix_sources(Numbered(rows), *names, **options).drop("doc_id").filter("taken > 0")
+    more = [c for c in mixed.columns if c != ROW]
+    kept = [column for column, name in zip(back, df.columns) if name not in more]
+    return rows.join(mixed, ROW).select(*kept, *more)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.stage import ROW, cut, numbered
+from daybook.llm.stage import ROW, Numbered, apart, cut, numbered
 from daybook.llm.text import Words, mix, pieces, rolling, stream
 
 #: An overlap is a window of 13 words of which at most 2 differ (a similarity above 0.8).
@@ -144,7 +144,7 @@ def _pieces_of_items(tests: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def overlaps(
-    docs: DataFrame,
+    docs: DataFrame | Numbered,
     tests: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -193,7 +193,7 @@ def decontaminate(
     ``item_ids`` (sorted) and the row's number (``stage.ROW``). Documents without a match have 0 and
     an empty list. Empty tables give empty results or no matches. Other columns are ignored."""
     rows = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = cut(overlaps(rows, tests, **options), "overlaps")
+    found = cut(overlaps(Numbered(rows), tests, **options), "overlaps")
     per_row = found.groupBy(ROW).agg(
         F.countDistinct("item_id", "start").alias("n"), F.sort_array(F.collect_set("item_id")).alias("items")
     )
@@ -208,6 +208,7 @@ def decontaminate(
 
 def keep_clean(docs: DataFrame, tests: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any match, with all their columns."""
-    rows = numbered(docs, *docs.columns)
-    bad = cut(overlaps(rows, tests).select(ROW).distinct(), "leaks")
-    return rows.join(bad, ROW, "left_anti").select(docs.columns)
+    own, names, back = apart(docs, "doc_id", "text")
+    rows = numbered(own, *own.columns)
+    bad = cut(overlaps(Numbered(rows), tests, *names).select(ROW).distinct(), "leaks")
+    return rows.join(bad, ROW, "left_anti").select(back)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,21 +74,39 @@ def sampled(df: DataFrame, n: int, *key: Column) -> DataFrame:
     return hashed.orderBy("__hash", *key).limit(n).drop("__hash")
 
 
-def counted_once(df: DataFrame, *columns: Column | str) -> DataFrame:
+@dataclass(frozen=True)
+class Numbered:
+    """Rows that one operator has numbered (column ``ROW``), handed to another in place of a frame. A
+    caller's frame is never one, whatever its columns are called."""
+
+    rows: DataFrame
+
+
+def counted_once(df: DataFrame | Numbered, *columns: Column | str) -> DataFrame:
     """The columns and a number for each row, for a frame that is read only once: how a table is cut
     into tasks, and with it the numbers, may change when executors come or go."""
-    number = F.col(ROW) if ROW in df.columns else F.monotonically_increasing_id().alias(ROW)
-    return df.select(*columns, number)
+    if isinstance(df, Numbered):
+        return df.rows.select(*columns, ROW)
+    return df.select(*columns, F.monotonically_increasing_id().alias(ROW))
 
 
-def numbered(df: DataFrame, *columns: Column | str) -> DataFrame:
+def numbered(df: DataFrame | Numbered, *columns: Column | str) -> DataFrame:
     """The columns and a number for each row, stored, so that every read sees the same numbers.
-    Repeated rows have different ones. A frame that has numbers keeps them."""
-    if ROW in df.columns:
-        return df.select(*columns, ROW)
+    Repeated rows have different ones. ``Numbered`` rows keep theirs."""
+    if isinstance(df, Numbered):
+        return df.rows.select(*columns, ROW)
     return cut(counted_once(df, *columns), "numbered")
 
 
+def apart(df: DataFrame, *names: str) -> tuple[DataFrame, list[str], list[Column]]:
+    """``df`` with its columns under names that no operator uses, what ``names`` are called there, and
+    the columns that give ``df`` back."""
+    own = [f"own{number}__" for number in range(len(df.columns))]
+    known = {c.lower(): o for c, o in zip(df.columns, own)}
+    back = [F.col(o).alias(c) for c, o in zip(df.columns, own)]
+    return df.toDF(*own), [known[n.lower()] for n in names], back
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

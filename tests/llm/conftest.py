@@ -14,7 +14,9 @@ CLASHING = (
     "row long, run long, id string, t string, digest string, kept string, best string, size string, n string, "
     "node string, label string, sig string, a string, b string, anchor string, content string, kind string, "
     "start string, list string, score string, target string, source_no string, block string, key string, "
-    "item string, words string, part string, counts string, found0 string, valid string, features string"
+    "item string, words string, part string, counts string, found0 string, valid string, features string, "
+    "__row_no long, __score double, __hash long, __kind int, number long, rank long, place long, "
+    "archive string, offset long, alike int"
 ).split(", ")
 
 
