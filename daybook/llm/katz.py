@@ -23,11 +23,9 @@ from daybook.llm.text import GOLDEN, Words, mix, pack, pieces, stream, unpack
 
 #: Counts up to this are discounted (Katz's k).
 GOOD_TURING = 5
-#: Training tokens for which a part of the bigram table is made; bounds what a task holds.
-PART_TOKENS = 8 << 20
-#: Contexts with at least this share of the tokens are dealt to several parts, by the next word.
-HOT_SHARE = 256
-SALTS = 64
+#: Training tokens for which a part of the bigram table is made; bounds what a task holds. Contexts
+#: with more than half as many are dealt to several parts, by the next word.
+PART_TOKENS = 3 << 20
 #: Bytes of text that a task turns into keys at a time.
 PIECE = 8 << 20
 #: Texts are scored in so many portions, so that only one's keys are on disk.
@@ -131,15 +129,16 @@ def located(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, known[at] == keys
 
 
-def part_of_pair(known: np.ndarray, keys: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
+def part_of_pair(known: np.ndarray, keys: np.ndarray, hot: np.ndarray, salts: np.ndarray, parts: int) -> np.ndarray:
     """The part of each pair, given as numbers of a dictionary: that of its context, or if that is hot,
-    one that the next word picks."""
+    one of as many as it has ``salts``, picked by the next word."""
     context = (keys >> HALF).astype(np.uint32)
     part = (mix(known) % np.uint64(parts)).astype(np.min_scalar_type(parts))[context]
-    salted = np.flatnonzero(located(hot, known)[1][context])
+    at, is_hot = located(hot, known)
+    salted = np.flatnonzero(is_hot[context])
     first, second = known[context[salted]], known[keys[salted] & LOW]
     with np.errstate(over="ignore"):
-        salt = mix(second) % np.uint64(SALTS) + np.uint64(1)
+        salt = mix(second) % salts[at[context[salted]]] + np.uint64(1)
         part[salted] = mix(first + salt * GOLDEN) % np.uint64(parts)
     return part
 
@@ -278,7 +277,9 @@ def _word_counts(texts: DataFrame, word_parts: int) -> DataFrame:
     return _merged(texts.mapInArrow(count, COUNTS), "unigrams")
 
 
-def _pair_counts(texts: DataFrame, classes: Classes, hot: np.ndarray, pair_parts: int) -> DataFrame:
+def _pair_counts(
+    texts: DataFrame, classes: Classes, hot: np.ndarray, salts: np.ndarray, pair_parts: int
+) -> DataFrame:
     """The bigram table: a row per part, sorted by context."""
 
     def count(batches):
@@ -286,7 +287,7 @@ def _pair_counts(texts: DataFrame, classes: Classes, hot: np.ndarray, pair_parts
             for row in batch.to_pylist():
                 known, pairs, _ = keyed(row, classes)
                 keys, counts = counted(pairs[learned(row)])
-                part = part_of_pair(known, keys, hot, pair_parts)
+                part = part_of_pair(known, keys, hot, salts, pair_parts)
                 order = np.argsort(part, kind="stable")
                 keys, counts, part = keys[order], counts[order], part[order]
                 for p, a, b in blocks(part):
@@ -418,19 +419,20 @@ class Model:
     pair_parts: int
     discount: np.ndarray
     hot: np.ndarray  # contexts that are dealt to several parts
+    salts: np.ndarray  # to how many
     hot_scale: np.ndarray  # what the discounted counts of a context are divided by
     hot_backoff: np.ndarray
 
 
-def _frequent(words: DataFrame, n_tokens: int, share: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words with at least one in ``share`` tokens, sorted, and their counts."""
+def _frequent(words: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words that occur at least so often, sorted, and their counts."""
 
     def frequent(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 keys = unpack(row["keys"], row["n"], np.uint64, sort=True)
                 counts = unpack(row["counts"], row["n"], np.int64)
-                own = counts * share >= n_tokens
+                own = counts >= least
                 yield pa.record_batch([pa.array(keys[own].view(np.int64)), pa.array(counts[own])], ["key", "n"])
 
     own = words.mapInArrow(frequent, "key long, n long").toArrow()
@@ -442,21 +444,26 @@ def _frequent(words: DataFrame, n_tokens: int, share: int) -> tuple[np.ndarray,
 def fit(source: DataFrame, share: int | None = None, part_tokens: int = PART_TOKENS) -> Model:
     """Count, store and normalise. ``source`` has ``text`` and ``held_out``, or is tokenised; rows held
     out are not learned from. Every word is learned by itself, unless a caller asks for a ``share`` below
-    which words are merged; the words above it then come to the driver, else only the hot contexts do."""
+    which words are merged; the words above it then come to the driver, else only the hot contexts do, of
+    which there are at most two for each part."""
     texts = tokenised(source)
     word_parts = parallelism(source.sparkSession)
     words = _word_counts(texts, word_parts)
     n_tokens, n_words, *by_count = _count_of_counts(words)
-    own = _frequent(words, n_tokens, share) if share is not None else (None, None)
+    own = _frequent(words, -(-n_tokens // share)) if share is not None else (None, None)
     classes = Classes(n_tokens, n_words, by_count, share, *own)
 
-    hot = _frequent(words, n_tokens, HOT_SHARE)[0]
-    some = [START] if END in hot else []  # as often as the end
-    if (n_tokens - classes.own_tokens) * HOT_SHARE >= max(n_tokens, 1):
-        some.append(RARE)
-    hot = np.unique(np.append(hot, np.array(some, dtype=np.uint64)))
+    least = part_tokens // 2 + 1
+    hot, often = _frequent(words, least)
+    often = dict(zip(hot.tolist(), often.tolist()))
+    if int(END) in often:  # a text begins as often as one ends
+        often[int(START)] = often[int(END)]
+    if n_tokens - classes.own_tokens >= least:
+        often[int(RARE)] = n_tokens - classes.own_tokens
+    hot = np.array(sorted(often), dtype=np.uint64)
+    salts = np.array([-(-2 * often[h] // part_tokens) for h in sorted(often)], dtype=np.uint64)
     pair_parts = max(1, -(-n_tokens // part_tokens))
-    pairs = _pair_counts(texts, classes, hot, pair_parts)
+    pairs = _pair_counts(texts, classes, hot, salts, pair_parts)
     discount = discounts(_count_of_counts(pairs)[2:])
 
     def sums_of(row, word_counts):
@@ -489,7 +496,7 @@ def fit(source: DataFrame, share: int | None = None, part_tokens: int = PART_TOK
     at = np.searchsorted(hot, np.asarray(sums["context"]).astype(np.int64).view(np.uint64))
     for line, name in zip(found, names):
         line[at] = np.asarray(sums[name]).astype(float)
-    return Model(classes, words, pairs, contexts, word_parts, pair_parts, discount, hot, *normalised(*found))
+    return Model(classes, words, pairs, contexts, word_parts, pair_parts, discount, hot, salts, *normalised(*found))
 
 
 def normalised(total: np.ndarray, mass: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -517,7 +524,7 @@ LOOKED = (
 def _keys_of_texts(texts: DataFrame, model: Model) -> DataFrame:
     """What has to be looked up: blocks of distinct pairs with the texts each occurs in and the counts of
     their words; and, as kind 3, the sums per text that these counts give by themselves."""
-    classes, hot, pair_parts = model.classes, model.hot, model.pair_parts
+    classes, hot, salts, pair_parts = model.classes, model.hot, model.salts, model.pair_parts
 
     def read(row, counts):
         known, pairs, at = keyed(row, classes)
@@ -539,7 +546,7 @@ def _keys_of_texts(texts: DataFrame, model: Model) -> DataFrame:
         del pairs, order
         head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
         size, keys = np.diff(head, append=len(keys)), keys[head]
-        part = part_of_pair(known, keys, hot, pair_parts)
+        part = part_of_pair(known, keys, hot, salts, pair_parts)
         by_part = np.argsort(part, kind="stable")
         head, size, keys, part = head[by_part], size[by_part], keys[by_part], part[by_part]
         for p, a, b in blocks(part):
