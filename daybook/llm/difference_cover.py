@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.repeats import Unit, covered
-from daybook.llm.stage import ROW, Numbered, numbered
+from daybook.llm.stage import ROW, Numbered, dealt
 from daybook.llm.text import buffer_of, pieces
 
 #: Fixed value of the contract: bytes in a window.
@@ -101,7 +101,7 @@ def repeated(shard: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated_windows(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``ROW, start, n``: runs of ``n`` windows of ``WINDOW`` bytes that also start anywhere else."""
-    source = numbered(df, F.lit(0).cast("long").alias("id"), F.col(text_col).alias("text"))
+    source = dealt(df, F.lit(0).cast("long").alias("id"), F.col(text_col).alias("text"))
     return covered(source, Unit("bytes", WINDOW, ANCHOR), True, repeated)
 
 
@@ -113,7 +113,7 @@ def dedup_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows none keeps what is as long as a window. Null is the empty text. An empty table gives an
     empty result.
     """
-    rows = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = dealt(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     runs = repeated_windows(Numbered(rows))
     lists = runs.groupBy(ROW).agg(F.collect_list(F.struct("start", "n")).alias("list"))
     rows = rows.join(lists, ROW, "left")

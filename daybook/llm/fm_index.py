@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.repeats import Unit, covered
-from daybook.llm.stage import ROW, Numbered, numbered
+from daybook.llm.stage import ROW, Numbered, dealt
 from daybook.llm.text import pieces
 
 #: Fixed value of the contract: words in a window.
@@ -167,7 +167,7 @@ def earlier_windows(shard: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarra
 def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``ROW, start, n``: runs of ``n`` windows of ``WINDOW`` words that also start earlier: in a
     row of a smaller integer identifier (null ranks last, then the row number) or earlier in the row."""
-    source = numbered(df, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    source = dealt(df, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return covered(source, Unit("words", WINDOW, ANCHOR), False, earlier_windows)
 
 
@@ -178,7 +178,7 @@ def dedup_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     space. Null and empty texts have no words. Of repeated rows the first stays whole. An empty
     table gives an empty result.
     """
-    rows = numbered(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = dealt(df, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     runs = repeated_windows(Numbered(rows))
     lists = runs.groupBy(ROW).agg(F.collect_list(F.struct("start", "n")).alias("list"))
     rows = rows.join(lists, ROW, "left")

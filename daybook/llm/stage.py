@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -43,6 +44,21 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the folder all executors share and read it back: what follows neither
     repeats the work nor depends on the executors that did it. Its shuffle files are dropped, since
@@ -51,17 +67,8 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     path = scratch_folder(spark, label)
     for made in RECORDS:
         made.append(path)
-    before = {name: spark.conf.get(name, None) for name in WRITING}
-    try:
-        for name, value in WRITING.items():
-            spark.conf.set(name, value)
+    with _settings(spark, WRITING):
         df.write.parquet(path)
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -98,6 +105,24 @@ def numbered(df: DataFrame | Numbered, *columns: Column | str) -> DataFrame:
     return cut(counted_once(df, *columns), "numbered")
 
 
+def dealt(df: DataFrame | Numbered, *columns: Column | str) -> DataFrame:
+    """``numbered``, with the stored rows bucketed by their number: they move once, and joins by it
+    then move the other side alone."""
+    if isinstance(df, Numbered):
+        return df.rows.select(*columns, ROW)
+    rows, spark = counted_once(df, *columns), df.sparkSession
+    path, name, n = scratch_folder(spark, "dealt"), f"daybook_{uuid.uuid4().hex}", parallelism(spark)
+    for made in RECORDS:
+        made.append(path)
+    with _settings(spark, WRITING):
+        # Rows come hashed by the same key into as many tasks: each writes its own bucket.
+        writer = rows.repartition(n, ROW).write.bucketBy(n, ROW).option("path", path).format("parquet")
+        writer.saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame knows where they are
+    return stored
+
+
 def apart(df: DataFrame, *names: str) -> tuple[DataFrame, list[str], list[Column]]:
     """``df`` with its columns under names that no operator uses, what ``names`` are called there, and
     the columns that give ``df`` back."""
