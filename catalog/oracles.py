@@ -309,6 +309,45 @@ FIRST_ROWS = f"SELECT * FROM ({gmv(DEFAULT)}) ORDER BY transaction_date, subsidi
 FULL = gmv()
 EVERY_PURCHASE = f"SELECT {', '.join(COLUMNS['purchase'])} FROM purchase"
 
+def as_of_event_days(name: str, columns: str) -> str:
+    """For every purchase and day of any of its events, the latest event of a log up to that day."""
+    newest_first = ", ".join(f"x.{c} DESC NULLS LAST" for c in ORDER[name])
+    return (
+        f"(SELECT d.purchase_id, d.known_on, {columns} FROM event_days d JOIN {name} x "
+        "ON x.purchase_id = d.purchase_id AND x.transaction_date <= d.known_on QUALIFY row_number() "
+        f"OVER (PARTITION BY d.purchase_id, d.known_on ORDER BY {newest_first}) = 1)"
+    )
+
+
+CHANGES = f"""
+, event_days AS (
+  SELECT purchase_id, transaction_date AS known_on FROM purchase UNION
+  SELECT purchase_id, transaction_date FROM product_item UNION
+  SELECT purchase_id, transaction_date FROM extra_info
+),
+states AS (
+  SELECT purchase_id, known_on, p.transaction_date, e.subsidiary, p.release_date IS NOT NULL AS paid,
+         CAST(i.purchase_value AS DECIMAL(18,2)) * i.item_quantity AS amount
+  FROM event_days
+  LEFT JOIN {as_of_event_days("purchase", "x.transaction_date, x.release_date")} p USING (purchase_id, known_on)
+  LEFT JOIN {as_of_event_days("product_item", "x.purchase_value, x.item_quantity")} i USING (purchase_id, known_on)
+  LEFT JOIN {as_of_event_days("extra_info", "x.subsidiary")} e USING (purchase_id, known_on)
+),
+turns AS (
+  SELECT *, lag(paid) OVER w AS was_paid, lag(transaction_date) OVER w AS old_date,
+         lag(subsidiary) OVER w AS old_subsidiary, lag(amount) OVER w AS old_amount
+  FROM states WINDOW w AS (PARTITION BY purchase_id ORDER BY known_on)
+),
+entries AS (
+  SELECT known_on, transaction_date, subsidiary, 1 AS n, amount FROM turns WHERE paid
+  UNION ALL
+  SELECT known_on, old_date, old_subsidiary, -1, -old_amount FROM turns WHERE was_paid
+)
+SELECT known_on, transaction_date, subsidiary, CAST(sum(n) AS BIGINT) AS purchases
+FROM entries GROUP BY known_on, transaction_date, subsidiary
+HAVING sum(n) <> 0 OR sum(amount) <> 0 OR sum(CASE WHEN amount IS NOT NULL THEN n END) <> 0
+"""
+
 _SQL = {
     "bronze_purchase": EVERY_PURCHASE,
     "bronze_product_item": "SELECT * FROM product_item",
@@ -376,6 +415,19 @@ _SQL = {
     "gold_quarantine": contract(DEFAULT),
     "bronze_quarantine": QUARANTINED,
     "bronze_ingested": gmv(WINDOW),
+    "bronze_ingest_twice": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST({number} AS BIGINT) AS arrival, count(*) AS events "
+        f"FROM {name} WHERE {rule}"
+        for name in ORDER
+        for number, rule in enumerate((f"NOT ({WINDOW})", WINDOW))
+    ),
+    "bronze_odd_file": (
+        "SELECT producer_id, count(*) AS events FROM purchase GROUP BY producer_id UNION ALL "
+        "SELECT 'put aside', count(*) FROM purchase WHERE transaction_date >= DATE '2001-07-01'"
+    ),
+    "gold_late_by_arrival": FULL,
+    "gold_ledger": CHANGES,
+    "daily_gmv_asof_ledger": gmv("transaction_date <= DATE '1998-06-30'"),
     "dq_gold_grain": f"SELECT transaction_date, subsidiary, 2 AS n FROM ({FULL}) WHERE {REVERSED}",
     "dq_gmv_anomaly": ANOMALY,
     "mon_partition_rows": (
@@ -420,6 +472,7 @@ GROUP BY p.transaction_date, e.subsidiary
 ORACLES = {name: over_logs(sql) for name, sql in _SQL.items()} | {
     "gold_late_correction": over_reversed_logs(FULL),
     "gold_idempotent": over_reversed_logs(FULL),
+    "gold_published": over_reversed_logs(f"SELECT * FROM ({FULL}) ORDER BY transaction_date, subsidiary"),
     "mon_run_metrics": over_reversed_logs(METRICS),
     "gmv_lines_fine": over_logs(scaled_lines("1e-10"), "l_extendedprice * 1e-10"),
     "gmv_lines_wide": over_logs(scaled_lines("1e14"), "l_extendedprice * 1e14"),

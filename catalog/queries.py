@@ -18,16 +18,18 @@ from daybook.logs import EventLogs
 from daybook.operators import state
 from daybook.operators.latest import latest_by
 from daybook.operators.window import DateWindow, date_bounds, resolve_window
-from daybook.plans import incremental, metric
+from daybook.plans import incremental, ledger, metric
 from daybook.plans.ingest import ingest_logs
 from daybook.plans.run import LITERAL, STATE_COMPLETE, RunReport, run_daily_gmv
 from daybook.schemas import LOG_SCHEMAS
 from daybook.session import scratch_folder
 from daybook.sinks import files
 from daybook.sinks import gold as gold_sink
+from daybook.sinks.store import PublishedGold
 from daybook.sources.bronze import conform, conform_logs, read_logs, read_typed, scan_raw
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
 from daybook.sources.order_tables import as_raw_text, item_events, order_logs, read_table
+from daybook.streaming.ingest import BAD_FILES, BAD_ROWS, ingest_new, last_arrivals, read_arrivals
 
 WINDOW = DateWindow(date(1997, 3, 1), date(1997, 9, 30))
 EARLY_END = DateWindow(date(1995, 1, 1), date(1998, 6, 30))
@@ -383,7 +385,7 @@ def bronze_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     rejected = scratch_folder(spark, "quarantine")
     files.append_logs(_malformed(spark, folder), raw)
     ingest_logs(spark, raw, typed, rejected)
-    row = spark.read.parquet(rejected)
+    row = spark.read.parquet(f"{rejected}/{BAD_ROWS}")
     key = F.get_json_object("cells", "$.purchase_id").alias("purchase_id")
     return row.groupBy("table_name", key, "bad_columns").agg(F.count(F.lit(1)).alias("n"))
 
@@ -396,6 +398,88 @@ def bronze_ingested(spark: SparkSession, folder: str) -> DataFrame:
     return metric.windowed_gmv(read_logs(spark, typed, "parquet"), WINDOW)
 
 
+def _in_two_drops(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Raw folders with all events but those dated in the window, and typed logs that have taken them;
+    then the events of the window, years old by then, come into the raw folders too."""
+    raw, typed = scratch_folder(spark, "bronze-raw"), scratch_folder(spark, "bronze-arrivals")
+    logs = order_logs(spark, folder)
+    files.append_logs(logs.where(~WINDOW.covers("transaction_date")), raw)
+    ingest_new(spark, raw, typed)
+    files.append_logs(logs.within(WINDOW), raw)
+    return raw, typed
+
+
+def bronze_ingest_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per table after three calls, of which the last finds nothing new."""
+    raw, typed = _in_two_drops(spark, folder)
+    ingest_new(spark, raw, typed)
+    ingest_new(spark, raw, typed)
+    counts = [
+        df.groupBy("arrival").agg(F.count(F.lit(1)).alias("events")).select(F.lit(name).alias("table_name"), "arrival", "events")
+        for name, df in read_arrivals(spark, typed).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def bronze_odd_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw folders with a file that lacks a column and one with columns in another order: the first is
+    put aside whole, all others are taken."""
+    raw, typed, rejected = (scratch_folder(spark, f"bronze-{n}") for n in ("raw", "arrivals", "rejected"))
+    logs = order_logs(spark, folder)
+    early = F.col("transaction_date") < F.lit(LATE.start)
+    files.append_logs(logs.where(early), raw)
+    path = f"{raw}/purchase"
+    late = logs.purchase.filter(~early)
+    files.append_raw(late.select(*reversed(late.columns)), path)
+    files.append_raw(late.drop("release_date").coalesce(1), path)
+    ingest_new(spark, raw, typed, rejected)
+    taken = read_arrivals(spark, typed).purchase.groupBy("producer_id").agg(F.count(F.lit(1)).alias("events"))
+    put_aside = spark.read.parquet(f"{rejected}/{BAD_FILES}").agg(
+        (F.count(F.lit(1)) - F.count_distinct("file")).alias("events"))
+    return taken.union(put_aside.select(F.lit("put aside").alias("producer_id"), "events"))
+
+
+def gold_late_by_arrival(spark: SparkSession, folder: str) -> DataFrame:
+    """Events dated years back come in the last batch. A run that is given no dates, only the batches gold
+    knows, brings gold to what a full rebuild gives."""
+    raw, typed = _in_two_drops(spark, folder)
+    gold = scratch_folder(spark, "gold-arrivals")
+    known = last_arrivals(spark, typed)
+    run_daily_gmv(read_arrivals(spark, typed), gold, arrivals={})
+    ingest_new(spark, raw, typed)
+    run_daily_gmv(read_arrivals(spark, typed), gold, arrivals=known)
+    return read_gold(spark, gold)
+
+
+def gold_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold as a table of the catalog, switched by a run that empties a whole month, and read by name
+    right after it."""
+    logs = _with_reversals(order_logs(spark, folder))
+    path = scratch_folder(spark, "gold-published")
+    table = _table_name(path)
+    before = PublishedGold(spark, table, path).create()
+    known = metric.gmv(logs.before(LATE.start)).persist()
+    before.replace(known, incremental.days_of(known), [])
+    known.unpersist()
+    _run(logs, path, LATE, gold_table=table)
+    return daily_gmv_query(spark, table)
+
+
+def gold_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return ledger.change_ledger(order_logs(spark, folder)).select("known_on", "transaction_date", "subsidiary", "purchases")
+
+
+def daily_gmv_asof_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold as known on a past day, out of a ledger that was kept in two runs, the second of which brought
+    events older than the first's."""
+    raw, typed = _in_two_drops(spark, folder)
+    path, known = scratch_folder(spark, "gold-ledger"), last_arrivals(spark, typed)
+    ledger.append_entries(ledger.change_ledger(read_arrivals(spark, typed)), path, 0)
+    ingest_new(spark, raw, typed)
+    ledger.append_entries(ledger.late_entries(read_arrivals(spark, typed), known), path, 1)
+    return ledger.gmv_as_known(ledger.read_ledger(spark, path), AS_OF)
+
+
 def _registered(spark: SparkSession, folder: str) -> str:
     path = scratch_folder(spark, "gold-table")
     table = _table_name(path)
@@ -513,6 +597,12 @@ QUERIES = {
     "bronze_typed_window": bronze_typed_window,
     "bronze_quarantine": bronze_quarantine,
     "bronze_ingested": bronze_ingested,
+    "bronze_ingest_twice": bronze_ingest_twice,
+    "bronze_odd_file": bronze_odd_file,
+    "gold_late_by_arrival": gold_late_by_arrival,
+    "gold_published": gold_published,
+    "gold_ledger": gold_ledger,
+    "daily_gmv_asof_ledger": daily_gmv_asof_ledger,
     "cast_tolerance": cast_tolerance,
     "cast_tolerance_dates": cast_tolerance_dates,
     "window_explicit": resolved(start="1997-03-01", end="1997-09-30"),

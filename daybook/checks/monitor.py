@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 from functools import reduce
 
@@ -54,11 +55,11 @@ def daily_delta(gold: DataFrame) -> DataFrame:
     )
 
 
-def gmv_drops(gold: DataFrame, share: float = DROP_ALERT) -> DataFrame:
+def gmv_drops(gold: DataFrame, share: float = DROP_ALERT, last: date | None = None) -> DataFrame:
     """Days whose total fell by more than ``share`` against the calendar day before.
 
     A day between the first and the last of ``gold`` that has no rows, or only NULL amounts, counts
-    as 0: no sales are the largest drop. Amounts are compared as decimals, so that a fall by exactly
+    as 0: no sales are the largest drop. ``last`` is given where ``gold`` goes on beyond the rows here. Amounts are compared as decimals, so that a fall by exactly
     the share is none.
 
     Each day's total is added under its own date and, as the previous day, under the next one;
@@ -66,7 +67,7 @@ def gmv_drops(gold: DataFrame, share: float = DROP_ALERT) -> DataFrame:
     """
     amount = F.coalesce(F.col("gmv").cast("decimal(28,2)"), F.lit(Decimal(0)))
     per_day = gold.filter(F.col(DAY).isNotNull()).groupBy(DAY).agg(F.sum(amount).alias("total"))
-    last = per_day.agg(F.max(DAY)).scalar()
+    last = per_day.agg(F.max(DAY)).scalar() if last is None else F.lit(last)
     none = F.lit(None).cast("decimal(38,2)")
     both = F.array(
         F.struct(F.col(DAY), F.col("total").alias("gmv"), none.alias("previous_gmv")),

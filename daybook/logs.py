@@ -31,6 +31,11 @@ class EventLogs:
     def where(self, condition) -> EventLogs:
         return self.map(lambda _, df: df.filter(condition))
 
+    def any_row(self):
+        """A row of any log, or None."""
+        rows = [df.select(KEY).limit(1) for _, df in self.items()]
+        return rows[0].union(rows[1]).union(rows[2]).first()
+
     def union(self, other: EventLogs) -> EventLogs:
         return self.map(lambda name, df: df.unionByName(getattr(other, name)))
 

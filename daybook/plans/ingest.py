@@ -8,36 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.logs import EventLogs
-from daybook.schemas import DAY, LOG_SCHEMAS
-from daybook.sinks.files import append_logs, append_rejected
-from daybook.sources.bronze import bad_cells, conform_logs, read_raw_logs
-
-
-def rejected_rows(raw: EventLogs) -> DataFrame:
-    """Rows with unreadable cells, of all logs: the row as text, and the columns at fault."""
-    parts = [
-        bad_cells(df, LOG_SCHEMAS[name]).select(
-            F.lit(name).alias("table_name"),
-            F.to_json(F.struct(*df.columns)).alias("cells"),
-            F.array_join("bad_columns", ",").alias("bad_columns"),
-        )
-        for name, df in raw.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+from daybook.schemas import DAY
+from daybook.streaming.ingest import ingest_new
 
 
 def ingest_logs(
     spark: SparkSession, raw_base: str, typed_base: str, quarantine_path: str | None = None
 ) -> None:
-    """Append the raw folders to typed logs, stored by day so that windows prune folders.
-
-    Rows with unreadable cells are kept, with NULLs in their place, and stored whole in the
-    quarantine folder. Undated rows have a folder of their own, which no window reads.
-    """
-    raw = read_raw_logs(spark, raw_base)
-    append_logs(conform_logs(raw), typed_base, "parquet")
-    if quarantine_path is not None:
-        append_rejected(rejected_rows(raw), quarantine_path)
+    """Bring typed logs up to date with the raw folders, whatever they have taken before."""
+    ingest_new(spark, raw_base, typed_base, quarantine_path)
 
 
 def undated_counts(logs: EventLogs) -> DataFrame:

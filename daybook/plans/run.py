@@ -17,24 +17,24 @@ from daybook.operators.state import daily_total, purchase_state
 from daybook.operators.window import DAYS_BACK, DateWindow, resolve_window
 from daybook.plans.incremental import (
     BROADCAST_BYTES,
+    Impact,
+    arrived_since,
     carried_history,
     current_on,
     days_of,
-    impacted_dates,
-    on_days,
+    find_impact,
     since,
 )
 from daybook.plans.ingest import undated_counts
-from daybook.schemas import DAY, EVENT_TIME, GOLD_INPUTS, KEY
+from daybook.schemas import ARRIVAL, DAY, EVENT_TIME, GOLD_INPUTS, KEY
 from daybook.sinks.files import (
     Coverage,
-    append_rejected,
     read_coverage,
     read_silver,
     write_silver,
 )
-from daybook.sinks.gold import clear_days, overwrite_days
-from daybook.sources.gold import read_gold
+from daybook.sinks.gold import quarantine_days
+from daybook.sinks.store import FolderGold, PublishedGold
 
 LITERAL = "literal"
 STATE_COMPLETE = "state_complete"
@@ -43,6 +43,7 @@ WRITTEN = "written"
 NO_DATES = "no dated purchases"
 NO_PURCHASES = "no purchases in the window"
 NO_PAID = "no paid purchases"
+NOTHING_NEW = "nothing has arrived"
 
 
 @dataclass(frozen=True)
@@ -75,11 +76,13 @@ def run_daily_gmv(
     logs: EventLogs,
     gold_path: str,
     *,
+    gold_table: str | None = None,
     start: date | str | None = None,
     end: date | str | None = None,
     days_back: int = DAYS_BACK,
     today: date | None = None,
     mode: str = STATE_COMPLETE,
+    arrivals: dict[str, int] | None = None,
     silver_path: str | None = None,
     previous_silver: str | None = None,
     gold_format: str = "parquet",
@@ -101,6 +104,13 @@ def run_daily_gmv(
     after it, or from the window's start if that is earlier, and days between count as part of the
     window. Snapshots without such a record, or of a literal run, are refused.
 
+    With ``arrivals``, the last batch of each log that gold knows, the run takes no dates: it rebuilds
+    the days of every purchase with an event of a later batch, however old the event's day is. The
+    logs have to have the column ``arrival`` (``streaming.ingest.read_arrivals``).
+
+    With ``gold_table``, gold is a table of the catalog with its files below ``gold_path``; its days
+    are switched once they are written (``sinks.store.PublishedGold``).
+
     ``broadcast_bytes`` is the size up to which the keys of touched purchases are broadcast, 0 for
     never; it changes the plan, not the rows. ``checks`` adds counts of undated events and of
     rows that break the rules of gold to the figures, ``quarantine_path`` stores such rows, and
@@ -110,14 +120,21 @@ def run_daily_gmv(
         raise ValueError(f"unknown mode {mode!r}")
     if previous_silver is not None and (mode == LITERAL or previous_silver == silver_path):
         raise ValueError("earlier snapshots serve state-complete runs that write elsewhere")
+    if arrivals is not None and (mode == LITERAL or previous_silver or silver_path or start or end):
+        raise ValueError("a run by arrival is state-complete and takes neither dates nor snapshots")
     started = time.monotonic()
     spark = logs.purchase.sparkSession
-    window = resolve_window(logs.purchase, start, end, days_back, today)
-    if window is None:
-        return RunReport(NO_DATES)
-
-    covered = window.end
-    narrow = logs.purchase if silver_path else logs.purchase.select(KEY, *GOLD_INPUTS["purchase"])
+    window = None
+    if arrivals is None:
+        window = resolve_window(logs.purchase, start, end, days_back, today)
+        if window is None:
+            return RunReport(NO_DATES)
+
+    covered = window and window.end
+    narrow = logs.purchase
+    if not silver_path:
+        stamp = [ARRIVAL] if arrivals is not None else []
+        narrow = narrow.select(KEY, *GOLD_INPUTS["purchase"], *stamp)
     seen = Observation("purchase events")
     figures = F.count(F.lit(1)).alias("events"), F.max(EVENT_TIME).alias("newest_event")
 
@@ -143,7 +160,7 @@ def run_daily_gmv(
         log, events = scope.purchase, counted(scope)
 
     resolve = EventLogs.latest_for_gold
-    impacted: list[date] = []
+    impact = Impact([], 0)
     with ExitStack() as kept:
         if silver_path is not None:
             # Gold goes on from the stored snapshots; the logs are not resolved a second time, and
@@ -156,20 +173,25 @@ def run_daily_gmv(
         if mode == LITERAL:
             latest = resolve(events)
         else:
-            impacted = days_of(impacted_dates(scope, window, broadcast_bytes))
+            new = window if arrivals is None else arrived_since(arrivals)
+            impact = find_impact(scope, new, broadcast_bytes)
+            if arrivals is not None and not impact.days and scope.map(
+                lambda name, df: df.filter(new(name)).select(KEY)
+            ).any_row() is None:
+                return RunReport(NOTHING_NEW)
             # Candidates are looked for without counting, so that day folders are pruned.
             look = events if silver_path is not None else scope
-            latest = current_on(events, impacted, resolve, broadcast_bytes, look)
+            latest = current_on(events, impact.days, resolve, broadcast_bytes, look, not impact.wide)
 
         # Gold is one row per day and subsidiary. Kept for the guard, the write, the day list and
         # the checks; a lost block is computed again.
         gold = daily_total(purchase_state(latest)).persist()
         kept.callback(gold.unpersist)
         written = days_of(gold)
-        if written:
-            overwrite_days(gold, gold_path, gold_format)
-        gone = sorted(set(impacted) - set(written))
-        cleared = clear_days(spark, gold_path, gone)
+        store = FolderGold(spark, gold_path, gold_format)
+        if gold_table is not None:
+            store = PublishedGold(spark, gold_table, gold_path, gold_format).create()
+        cleared = store.replace(gold, written, sorted(set(impact.days) - set(written)))
         status = WRITTEN if written or cleared else NO_PAID
         metrics: dict = {}
         if status == WRITTEN:
@@ -186,12 +208,13 @@ def run_daily_gmv(
             }
             if checks:
                 changed = sorted([*written, *cleared])
-                metrics |= _checked(logs, gold, gold_path, gold_format, changed, quarantine_path)
+                metrics |= _checked(logs, gold, store, changed, quarantine_path)
         metrics["seconds"] = round(time.monotonic() - started, 3)
     report = RunReport(status, window, written, cleared, metrics)
     if metrics_path is not None:
+        first, last = (window.start, window.end) if window else (None, None)
         facts = {"run_at": F.current_timestamp(), "status": F.lit(status),
-                 "start_date": F.lit(window.start), "end_date": F.lit(window.end)}
+                 "start_date": F.lit(first).cast("date"), "end_date": F.lit(last).cast("date")}
         report.as_frame(spark).withColumns(facts).coalesce(1).write.mode("append").parquet(metrics_path)
     return report
 
@@ -199,25 +222,32 @@ def run_daily_gmv(
 def _checked(
     logs: EventLogs,
     gold: DataFrame,
-    gold_path: str,
-    fmt: str,
+    store: FolderGold | PublishedGold,
     changed: list[date],
     quarantine_path: str | None,
 ) -> dict:
     """Counts of what breaks a rule: undated events; contract and sign of gold as computed; grain of
-    the changed days as stored; and alerts from the day before the first changed one to the last,
-    days that were not changed included. Rows against the contract are stored if a place is given;
-    they stay in gold too, which allows NULLs, but not in the decimal table."""
-    spark = gold.sparkSession
+    the changed days as stored; and alerts from the first changed day to the day after the last, days
+    that were not changed included. Rows against the contract are stored if a place is given; they
+    stay in gold too, which allows NULLs, but not in the decimal table.
+
+    Stored gold is read once, the days in question alone, one row per day and subsidiary kept."""
     undated = {f"undated_{r.table_name}": r.events for r in undated_counts(logs).collect()}
     broken = quality.contract_violations(gold)
     if quarantine_path is not None:
-        append_rejected(broken, quarantine_path)
-    stored = read_gold(spark, gold_path, fmt)
-    around = F.col(DAY).between(F.lit(changed[0] - timedelta(days=1)), F.lit(changed[-1]))
-    return undated | {
-        "contract_violations": broken.count(),
-        "grain_violations": quality.grain_violations(on_days(stored, changed)).count(),
-        "negative_days": quality.negative_days(gold).count(),
-        "drop_alerts": gmv_drops(stored.filter(around)).count(),
-    }
+        quarantine_days(broken, quarantine_path, changed)
+    held = store.days()
+    first, last = changed[0] - timedelta(days=1), changed[-1] + timedelta(days=1)
+    around = store.read().filter(F.col(DAY).between(F.lit(first), F.lit(last)))
+    grain = around.groupBy(DAY, "subsidiary").agg(F.count(F.lit(1)).alias("n"), F.sum("gmv").alias("gmv")).persist()
+    try:
+        # A day beyond the last stored one is no drop, one without a folder before it is.
+        drops = gmv_drops(grain, last=min(last, held[-1]) if held else last)
+        return undated | {
+            "contract_violations": broken.count(),
+            "grain_violations": grain.filter("n > 1").count(),
+            "negative_days": quality.negative_days(gold).count(),
+            "drop_alerts": drops.filter(F.col(DAY) >= F.lit(changed[0])).count(),
+        }
+    finally:
+        grain.unpersist()

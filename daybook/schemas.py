@@ -50,6 +50,8 @@ GOLD = T.StructType(
 KEY = "purchase_id"
 EVENT_TIME = "transaction_datetime"
 DAY = "transaction_date"
+# Beside the events of a typed log: the number of the batch that brought them.
+ARRIVAL = "arrival"
 
 # Folder of each log in bronze and in silver (fixed values).
 BRONZE_FOLDERS = {

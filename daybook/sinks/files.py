@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.logs import EventLogs
-from daybook.schemas import BRONZE_FOLDERS, DAY, KEY, LOG_SCHEMAS, SILVER_FOLDERS
+from daybook.schemas import ARRIVAL, BRONZE_FOLDERS, DAY, KEY, LOG_SCHEMAS, SILVER_FOLDERS
 from daybook.sources.bronze import conform, scan_raw
 
 #: Folder beside the snapshots that says what they hold.
@@ -44,9 +44,9 @@ def append_logs(logs: EventLogs, base: str, fmt: str = "csv") -> None:
         append(events, f"{base}/{BRONZE_FOLDERS[name]}")
 
 
-def append_rejected(rows: DataFrame, path: str) -> None:
-    """Add rejected rows to a quarantine folder, with the time they were put there."""
-    rows.withColumn("rejected_at", F.current_timestamp()).write.mode("append").parquet(path)
+def replace_rejected(rows: DataFrame, path: str) -> None:
+    """Replace what a quarantine folder holds, with the time of rejection."""
+    rows.withColumn("rejected_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
 
 
 def write_snapshot(latest: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -99,6 +99,23 @@ def read_coverage(spark: SparkSession, base: str) -> Coverage | None:
     return None if row is None else Coverage(row.through, row.mode)
 
 
+def write_known_arrivals(spark: SparkSession, path: str, arrivals: dict[str, int]) -> None:
+    """Record up to which batch of each log gold is complete."""
+    rows = spark.createDataFrame(sorted(arrivals.items()), f"table_name string, {ARRIVAL} long")
+    rows.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def read_known_arrivals(spark: SparkSession, path: str) -> dict[str, int]:
+    """The recorded batches; empty if nothing is recorded, so that all events are new."""
+    try:
+        rows = spark.read.schema(f"table_name string, {ARRIVAL} long").parquet(path).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    return {r["table_name"]: r[ARRIVAL] for r in rows}
+
+
 @dataclass(frozen=True)
 class StoredSilver:
     """Snapshots as just written; those of Parquet are tables until ``forget``, which leaves the

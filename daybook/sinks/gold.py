@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.checks.quality import contract_violations, within_contract
 from daybook.schemas import DAY, GOLD
-from daybook.sinks.files import append_rejected
+from daybook.sinks.files import replace_rejected
 
 
 def overwrite_days(gold: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -53,7 +55,28 @@ def clear_days(spark: SparkSession, path: str, days: Iterable[date]) -> list[dat
     return gone
 
 
-def _literal(text: str) -> str:
+def quarantine_days(rows: DataFrame, path: str, days: Iterable[date]) -> None:
+    """Store rejected rows of the given days in place of those stored for these days before, so that a
+    run that is repeated, or mends a day, leaves each row once."""
+    clear_days(rows.sparkSession, path, days)
+    stamped = rows.withColumn("rejected_at", F.current_timestamp())
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected rows of all days, with the rules they break and the time they were found."""
+    fields = [*GOLD.fields, T.StructField("broken_rules", T.StringType()), T.StructField("rejected_at", T.TimestampType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path).select(*[f.name for f in fields])
+
+
+def stored_days(spark: SparkSession, path: str, fmt: str = "parquet") -> list[date]:
+    """Days that gold holds, from the names of its folders; no file is opened."""
+    files = spark.read.schema(GOLD).format(fmt).load(path).inputFiles()
+    return sorted({date.fromisoformat(d) for d in re.findall(rf"/{DAY}=(\d{{4}}-\d\d-\d\d)/", "\n".join(files))})
+
+
+def literal(text: str) -> str:
+    """Text as SQL has it."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -62,7 +85,7 @@ def create_external_table(spark: SparkSession, table: str, path: str, fmt: str =
     options = "OPTIONS (header 'true')" if fmt == "csv" else ""
     spark.sql(
         f"CREATE TABLE {table} (subsidiary STRING, gmv DOUBLE, {DAY} DATE) "
-        f"USING {fmt} {options} PARTITIONED BY ({DAY}) LOCATION {_literal(path)}"
+        f"USING {fmt} {options} PARTITIONED BY ({DAY}) LOCATION {literal(path)}"
     )
 
 
@@ -76,7 +99,7 @@ def create_decimal_table(spark: SparkSession, table: str, path: str) -> None:
     """The warehouse form: nothing may be NULL, amounts are NUMERIC(18,2)."""
     spark.sql(
         f"CREATE TABLE {table} ({DAY} DATE NOT NULL, subsidiary VARCHAR(50) NOT NULL, "
-        f"gmv DECIMAL(18,2) NOT NULL) USING parquet LOCATION {_literal(path)}"
+        f"gmv DECIMAL(18,2) NOT NULL) USING parquet LOCATION {literal(path)}"
     )
 
 
@@ -95,7 +118,7 @@ def fill_decimal_table(gold: DataFrame, table: str, quarantine_path: str | None
     kept = gold.persist()
     try:
         within_contract(kept).select(DAY, "subsidiary", amount).write.insertInto(table, overwrite=True)
-        append_rejected(contract_violations(kept), quarantine_path)
+        replace_rejected(contract_violations(kept), quarantine_path)
     finally:
         kept.unpersist()
     return spark.read.parquet(quarantine_path)

@@ -10,7 +10,9 @@ from daybook.plans.incremental import BROADCAST_BYTES
 from daybook.plans.ingest import ingest_logs
 from daybook.plans.run import LITERAL, STATE_COMPLETE
 from daybook.session import build_session
+from daybook.sinks.files import read_known_arrivals, write_known_arrivals
 from daybook.sources.bronze import read_logs
+from daybook.streaming.ingest import last_arrivals, read_arrivals
 
 
 def parameters(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -26,7 +28,11 @@ def parameters(arguments: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--write-silver", action="store_true", help="store the snapshots too")
     # Parameters of this job alone.
-    parser.add_argument("--typed-base", help="turn raw CSV into typed logs by day here, first")
+    parser.add_argument("--typed-base", help="take new raw CSV files into typed logs here, first")
+    parser.add_argument(
+        "--progress-path", help="rebuild what has arrived since the run recorded here, whatever its dates"
+    )
+    parser.add_argument("--gold-table", help="publish gold as this table of the catalog")
     parser.add_argument("--previous-silver", help="snapshots of the last run, to build on")
     parser.add_argument("--quarantine-base", help="folder for rejected rows")
     parser.add_argument("--metrics-path", help="folder for the figures of every run")
@@ -40,6 +46,8 @@ def parameters(arguments: list[str] | None = None) -> argparse.Namespace:
     p = parser.parse_args(arguments)
     if p.write_silver and not p.silver_base:
         parser.error("--write-silver needs --silver-base")
+    if p.progress_path and not p.typed_base:
+        parser.error("--progress-path needs --typed-base")
     return p
 
 
@@ -54,13 +62,19 @@ def main(arguments: list[str] | None = None) -> None:
     if p.typed_base:
         ingest_logs(spark, base, p.typed_base, rejected["bronze"])
         base, fmt = p.typed_base, "parquet"
+    known = newest = None
+    if p.progress_path:
+        # Taken down before the logs are read: what arrives meanwhile is new to the next run too.
+        known, newest = read_known_arrivals(spark, p.progress_path), last_arrivals(spark, base)
     report = run_daily_gmv(
-        read_logs(spark, base, fmt),
+        read_logs(spark, base, fmt) if known is None else read_arrivals(spark, base),
         f"{p.gold_base}/daily_gmv",
         start=p.start_date,
         end=p.end_date,
         days_back=p.days_back,
         mode=p.mode,
+        arrivals=known,
+        gold_table=p.gold_table,
         silver_path=p.silver_base if p.write_silver else None,
         previous_silver=p.previous_silver,
         silver_format=p.silver_format,
@@ -69,6 +83,8 @@ def main(arguments: list[str] | None = None) -> None:
         quarantine_path=rejected["daily_gmv"],
         metrics_path=p.metrics_path,
     )
+    if newest is not None:
+        write_known_arrivals(spark, p.progress_path, newest)
     print(f"{report.status}: window {report.window}, {report.metrics}")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import job
 from daybook.sinks.files import append_logs, read_silver
+from daybook.sinks.gold import read_quarantine
 from daybook.sources.bronze import read_logs
 from daybook.sources.gold import read_gold
 
@@ -38,10 +39,10 @@ def test_ingest_then_run(spark, tmp_path):
     )
     assert rows(read_gold(spark, f"{gold}/daily_gmv")) == FULL
     assert read_logs(spark, typed, "parquet").product_item.count() == 7
-    (row,) = spark.read.parquet(f"{rejected}/bronze").collect()
+    (row,) = spark.read.parquet(f"{rejected}/bronze/rows").collect()
     assert (row.table_name, row.bad_columns) == ("product_item", "item_quantity")
     assert '"purchase_id":"70"' in row.cells
-    assert spark.read.parquet(f"{rejected}/daily_gmv").isEmpty()
+    assert read_quarantine(spark, f"{rejected}/daily_gmv").isEmpty()
     assert spark.read.parquet(figures).filter("metric = 'gold_rows' AND value = '3'").count() == 1
 
 

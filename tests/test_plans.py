@@ -21,6 +21,7 @@ from daybook.sinks.files import append_logs, read_silver, write_silver
 from daybook.sources.bronze import read_logs
 
 WINDOW = DateWindow(date(2023, 2, 3), date(2023, 2, 28))
+ONE_DAY = DateWindow(date(2023, 2, 18), date(2023, 2, 18))  # of three days with payments
 
 
 def plan(df):
@@ -59,20 +60,38 @@ def branches(text):
 
 
 def test_rebuild_filters_history_before_its_shuffle(stored, no_broadcast):
-    text = plan(state_complete_gmv(stored, WINDOW))
+    text = plan(state_complete_gmv(stored, ONE_DAY))
     logs = [b for b in branches(text) if "LeftSemi" in b]
     assert len(logs) == 3 and text.count("BroadcastHashJoin") == 3
 
 
 def test_rebuild_without_broadcast_is_the_full_plan(stored, no_broadcast):
-    text = plan(state_complete_gmv(stored, WINDOW, broadcast_bytes=0))
+    text = plan(state_complete_gmv(stored, ONE_DAY, broadcast_bytes=0))
     assert "Broadcast" not in text
     assert len(exchanges(text)) == 4
 
 
 def test_candidates_are_looked_for_in_their_day_folders(stored):
     text = plan(on_days(stored.purchase, [date(2023, 2, 8)]))
-    assert re.search(r"PartitionFilters: \[[^]]*transaction_date#\d+ = 2023-02-08", text)
+    assert re.search(r"PartitionFilters: \[[^]]*transaction_date#\d+ >= 2023-02-08", text)
+
+
+def test_many_days_are_joined_not_listed(spark, stored):
+    """The plan has their range and prunes by the joined days; it does not grow with their number."""
+    days = [date(2023, 2, d) for d in range(1, 28, 2)]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        text = plan(on_days(stored.purchase, days))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pruned = re.search(r"PartitionFilters: \[(.*?)\], Pushed", text).group(1)
+    assert "dynamicpruning" in pruned and ">= 2023-02-01" in pruned and "<= 2023-02-27" in pruned
+    assert "2023-02-13" not in text and " IN (" not in text and "INSET" not in text
+
+
+def test_rebuild_of_most_days_looks_for_no_purchases(stored, no_broadcast):
+    text = plan(state_complete_gmv(stored, WINDOW))
+    assert text.count("BroadcastHashJoin") == 1 and len(exchanges(text)) == 4
 
 
 def test_impacted_days_shuffle_no_history(stored, no_broadcast):

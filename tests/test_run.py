@@ -1,18 +1,19 @@
 """Runs of the job against stored gold."""
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
-from fixture import D8, D18, D23, EXTRAS, FULL, PURCHASES, logs, rows
+from fixture import D8, D18, D23, EXTRAS, FULL, ITEMS, PURCHASES, logs, rows
 
-
-from daybook import run_daily_gmv
+from daybook import full_history_gmv, run_daily_gmv
+from daybook.checks.monitor import gmv_drops
 from daybook.checks.quality import contract_violations, grain_violations
 from daybook.plans import run as job
 from daybook.schemas import GOLD
 from daybook.session import scratch_folder
 from daybook.sinks import gold as sink
 from daybook.sinks.files import Coverage, read_coverage, read_silver, write_silver
+from daybook.sinks.store import PublishedGold
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
 
 FEBRUARY = {"start": "2023-02-01", "end": "2023-02-28"}
@@ -279,7 +280,7 @@ def test_checks_of_a_run(spark, gold, tmp_path):
     assert (m["contract_violations"], m["grain_violations"], m["negative_days"]) == (1, 0, 0)
     # Every day without sales after one with sales: the 9th, the 19th, the 24th; and the 26th has none.
     assert m["drop_alerts"] == 3
-    (row,) = spark.read.parquet(rejected).collect()
+    (row,) = sink.read_quarantine(spark, rejected).collect()
     assert (row.transaction_date, row.broken_rules) == (date(2023, 2, 26), "subsidiary_null,gmv_null")
     assert run_daily_gmv(logs(spark), gold, checks=False).metrics.keys().isdisjoint({"drop_alerts"})
 
@@ -309,3 +310,82 @@ def test_alerts_of_a_run_see_the_days_it_did_not_change(spark, gold):
     report = run_daily_gmv(logs(spark, purchases), gold, start="2023-02-08", end="2023-02-10")
     assert report.days_written == [date(2023, 2, 8), date(2023, 2, 10)]
     assert report.metrics["drop_alerts"] == 0
+
+
+def _gold(spark, *amounts):
+    return spark.createDataFrame([(date(2023, 2, d), "nacional", float(v)) for d, v in amounts], GOLD)
+
+
+def _paid(day, key, quantity):
+    at = f"2023-02-{day:02} 00:00:00"
+    return (at, key, "2023-01-01", at[:10]), (at, key, "1", str(quantity), "1.00"), (at, key, "nacional")
+
+
+def _run_alerts(spark, gold, events, start, end):
+    """The run's count, and that of whole gold between the first changed day and the day after the last."""
+    report = run_daily_gmv(logs(spark, *map(list, zip(*events))), gold, start=start, end=end)
+    changed = sorted([*report.days_written, *report.days_cleared])
+    drops = gmv_drops(read_gold(spark, gold)).collect()
+    seen = [d for d in drops if changed[0] <= d.transaction_date <= changed[-1] + timedelta(days=1)]
+    return report.metrics["drop_alerts"], len(seen)
+
+
+def test_a_cleared_last_day_is_a_drop_if_gold_goes_on(spark, gold):
+    sink.overwrite_days(_gold(spark, (10, 100), (11, 100), (12, 100)), gold)
+    taken_back = ("2023-02-11 01:00:00", "b", "2023-01-01", None)
+    events = [_paid(10, "a", 100), _paid(11, "b", 100), _paid(12, "c", 100)]
+    events.append((taken_back, *_paid(11, "b", 100)[1:]))
+    assert _run_alerts(spark, gold, events, "2023-02-11", "2023-02-11") == (1, 1)
+
+
+def test_a_raised_day_makes_the_next_one_a_drop(spark, gold):
+    sink.overwrite_days(_gold(spark, (10, 100), (11, 100)), gold)
+    events = [_paid(10, "a", 200), _paid(11, "b", 100)]
+    assert _run_alerts(spark, gold, events, "2023-02-10", "2023-02-10") == (1, 1)
+
+
+def test_a_cleared_day_at_the_end_of_gold_is_no_drop(spark, gold):
+    sink.overwrite_days(_gold(spark, (10, 100), (11, 100)), gold)
+    events = [_paid(10, "a", 100), _paid(11, "b", 100)]
+    events.append((("2023-02-11 01:00:00", "b", "2023-01-01", None), *_paid(11, "b", 100)[1:]))
+    assert _run_alerts(spark, gold, events, "2023-02-11", "2023-02-11") == (0, 0)
+
+
+def test_a_repeated_run_stores_rejected_rows_once(spark, gold, tmp_path):
+    rejected = str(tmp_path / "rejected")
+    for _ in range(2):
+        run_daily_gmv(logs(spark, items=ITEMS[1:]), gold, quarantine_path=rejected)
+        (row,) = sink.read_quarantine(spark, rejected).collect()
+        assert (row.transaction_date, row.broken_rules) == (date(2023, 2, 8), "gmv_null")
+    run_daily_gmv(logs(spark), gold, quarantine_path=rejected)  # the item has come
+    assert sink.read_quarantine(spark, rejected).isEmpty()
+
+
+def test_published_gold_is_right_after_each_run(spark, tmp_path):
+    """The table is read by name; a moved amount leaves its old day, emptied days leave the table."""
+    base = str(tmp_path / "pub'lished")
+    options = {"gold_table": "gold_switched"}
+    run_daily_gmv(logs(spark), base, **options)
+    assert rows(spark.table("gold_switched")) == FULL
+    moved = [*PURCHASES, ("2023-02-24 00:00:00", "56", "2023-01-14", "2023-02-08")]
+    report = run_daily_gmv(logs(spark, moved), base, start="2023-02-24", end="2023-02-28", **options)
+    assert report.days_cleared == [D8[0]] and report.metrics["grain_violations"] == 0
+    assert rows(spark.table("gold_switched")) == [D18, D23, (date(2023, 2, 24), *D8[1:])]
+    assert rows(daily_gmv_query(spark, "gold_switched")) == rows(full_history_gmv(logs(spark, moved)))
+    spark.sql("DROP TABLE gold_switched")
+
+
+def test_readers_never_see_an_amount_twice(spark, tmp_path, monkeypatch):
+    """Between any two statements of the switch, the old and the new day of an amount are never both there."""
+    store = PublishedGold(spark, "gold_watched", str(tmp_path / "gold")).create()
+    store.replace(_gold(spark, (8, 100), (9, 50)), [date(2023, 2, 8), date(2023, 2, 9)], [])
+    seen, alter = [], PublishedGold._alter
+
+    def watched(self, action, entries):
+        alter(self, action, entries)
+        seen.append(rows(spark.table("gold_watched")))
+
+    monkeypatch.setattr(PublishedGold, "_alter", watched)
+    store.replace(_gold(spark, (9, 150)), [date(2023, 2, 9)], [date(2023, 2, 8)])
+    assert seen == [[], [(date(2023, 2, 9), "nacional", 150.0)]]
+    spark.sql("DROP TABLE gold_watched")
