@@ -7,13 +7,15 @@ and the words around each hit are compared one by one.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.stage import ROW, Numbered, apart, cut, numbered
-from daybook.llm.text import Words, mix, pieces, rolling, stream
+from daybook.llm.text import Words, mix, pieces, stream
 
 #: An overlap is a window of 13 words of which at most 2 differ (a similarity above 0.8).
 WINDOW = 13
@@ -21,9 +23,11 @@ DIFFERENT = 2
 #: Whatever two words of a window differ, one of these masks hits it at some place: the family was
 #: searched for that, and the tests go through all pairs.
 MASKS = ("11110111", "1110100111", "1111111", "11101111")
-#: Benchmark items of fewer words than a window have to occur as they are, those below 5 words
-#: (the least for word shingles) are no evidence.
+#: An item of fewer words is a window of its own, in which one word of five may differ; its masks skip
+#: one of three groups of places for one different word, two of four groups for two. Items of 5 words
+#: have to occur as they are, those below (the least for word shingles is 5) are no evidence.
 SHORTEST = 5
+TOLERANT = 6
 
 #: Long benchmark items are cut into pieces that overlap by a window, and so many words of the
 #: benchmark (16 MB with their hashes) go to the tasks at a time; larger benchmarks take several
@@ -32,6 +36,21 @@ PIECE = 2048
 BLOCK_WORDS = 1 << 18
 
 
+def allowed(size: int) -> int:
+    """How many words of a window of ``size`` may differ."""
+    return DIFFERENT if size >= WINDOW else size // 5 if size >= TOLERANT else 0
+
+
+def short_masks(size: int) -> list[str]:
+    """Masks as long as the window. Whatever allowed number of its words differs, one skips them all."""
+    k = allowed(size)
+    if not k:
+        return ["1" * size]
+    groups = k + 2
+    return ["".join("0" if i * groups // size in skipped else "1" for i in range(size))
+            for skipped in combinations(range(groups), k)]
+
+
 def masked(hashes: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the words that ``mask`` picks, for each place where the mask fits."""
     size = max(0, len(hashes) - len(mask) + 1)
@@ -60,12 +79,13 @@ class Block:
         self.last = np.cumsum(size)
         self.first = self.last - size
         self.of = np.repeat(np.arange(len(size)), size)
-        self.tables: list[tuple[str | int, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.tables: list[tuple[str | tuple[str], np.ndarray, np.ndarray, np.ndarray]] = []
         long = size >= WINDOW
         for mask in MASKS:
             self._table(mask, masked(self.words, mask), len(mask), long)
         for n in np.unique(size[(size >= SHORTEST) & ~long]):
-            self._table(int(n), rolling(self.words, int(n)), int(n), size == n)
+            for mask in short_masks(int(n)):
+                self._table((mask,), masked(self.words, mask), int(n), size == n)
 
     def _table(self, kind, hashes, span, wanted) -> None:
         at = np.arange(len(hashes))
@@ -82,7 +102,7 @@ class Block:
         for kind, known, at, filled in self.tables:
             if not len(known):
                 continue
-            own = rolling(hashes, kind) if isinstance(kind, int) else masked(hashes, kind)
+            own = masked(hashes, kind[0] if isinstance(kind, tuple) else kind)
             place = np.flatnonzero(filled[own >> np.uint64(42)])
             own = own[place]
             lo, hi = np.searchsorted(known, own, "left"), np.searchsorted(known, own, "right")
@@ -103,12 +123,14 @@ class Block:
         found = [np.zeros((0, 4), dtype=np.int64)]
         for kind, p, q in self.hits(hashes):
             row = np.searchsorted(first, p, "right") - 1
-            if isinstance(kind, int):
-                whole = p + kind <= first[row + 1]
+            if isinstance(kind, tuple):  # the window is the whole item
+                size = len(kind[0])
+                whole = p + size <= first[row + 1]
                 row, p, q = row[whole], p[whole], q[whole]
-                reach = np.arange(kind)
-                ok = (hashes[p[:, None] + reach] == self.words[q[:, None] + reach]).all(1)
-                found.append(np.stack([row, self.item[self.of[q]], p - first[row], np.full(len(p), kind)], 1)[ok])
+                reach = np.arange(size)
+                same = hashes[p[:, None] + reach] == self.words[q[:, None] + reach]
+                ok = same.sum(1) >= size - allowed(size)
+                found.append(np.stack([row, self.item[self.of[q]], p - first[row], np.full(len(p), size)], 1)[ok])
                 continue
             back = WINDOW - len(kind)
             reach = np.arange(-back, WINDOW)
@@ -156,7 +178,7 @@ def overlaps(
     where ``start`` counts words.
 
     Words are compared after lower-casing A-Z. Every window with at most ``DIFFERENT`` substituted
-    words is found: each holds a hit of a mask, and around each hit all windows are compared.
+    words is found, and every whole shorter item with at most ``allowed`` ones: each holds a hit of a mask, and around each hit all windows are compared.
     Null texts have no words; items without identifier or text are left out; a repeated item is
     found under each of its identifiers.
     """
@@ -182,6 +204,8 @@ def overlaps(
                 yield pa.record_batch([*own, pa.array(item), pa.array(start), pa.array(size)], schema.names)
 
         found = source.mapInArrow(match, schema)
+        if blocks > 1:  # each pass ends here, and with it the driver's hold on its block
+            found = cut(found, "matches")
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -63,7 +63,8 @@ def leaks(docs, items, window=13, different=2, shortest=5):
         for s, x in enumerate(w):
             at[x].append(s)
         for i, b in tests:
-            size, k = min(window, len(b)), different if len(b) >= window else 0
+            size = min(window, len(b))
+            k = different if len(b) >= window else size // 5 if size >= 6 else 0
             if size < shortest:
                 continue
             diagonals = collections.Counter(s - q for q, x in enumerate(b) for s in at.get(x, ()))

@@ -71,6 +71,20 @@ def test_benchmark(steps):
     assert ids(kept) == sorted(r.doc_id for r, f in zip(given, found) if not f)
 
 
+def test_clashing_columns_change_nothing(spark, steps, stored):
+    """Columns with the names that operators use inside are carried along and never taken for their own."""
+    given = steps["quality classifier"][0]
+    rows = [tuple(r) for r in given]
+    docs = stored(rows, "doc_id long, text string, lang string, source string, n_chars long", clash=True)
+    own = [c for c in docs.columns if c not in COLUMNS]
+    assert {"__row_no", "__score", "score"} <= set(own)
+    for name, stage in cp.STAGES:
+        docs = cut(stage(spark, docs, FOLDER), "clash")
+        assert ids(docs.collect()) == ids(steps[name][1]), name
+        kept = [c for c in own if c not in ("size", "target")]  # the mix puts its own in their place
+        assert docs.select(kept).distinct().count() == 1
+
+
 def test_mix(steps):
     given, kept, _ = steps["mixing sources"]
     sizes, taken, target = collections.Counter(), collections.Counter(), {}

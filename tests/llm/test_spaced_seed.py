@@ -31,9 +31,24 @@ def leaky(odd):
         docs.append((100 + n, f"before it {' '.join(text)} after it"))
     docs += [(200, "Seven WORDS are all this one has."), (201, "x seven words are all this one has y"), (202, "too few words"),
              (203, " ".join(item[:13])), (204, " ".join(item[:12])), (205, " ".join(f"v{i}" for i in range(2040, 2060)))]
+    for n in range(5, 13):  # whole short items, with up to three other words in them
+        words = [f"q{n}x{i}" for i in range(n)]
+        items.append((20 + n, " ".join(words)))
+        for cuts in [(), (0,), (n - 1,), (1, n - 2), (0, 2, 4)]:
+            text = [f"other{i}" if i in cuts else w for i, w in enumerate(words)]
+            docs.append((300 + 10 * n + len(cuts), f"x {' '.join(text)} y"))
     return docs, items
 
 
+@pytest.mark.parametrize("size", range(5, 13))
+def test_short_masks_hit_every_window(size):
+    masks = ss.short_masks(size)
+    assert all(len(m) == size and "1" in m for m in masks)
+    for apart in itertools.combinations(range(size), ss.allowed(size)):
+        assert any(all(m[i] == "0" for i in apart) for m in masks)
+    assert ss.allowed(size) == (0, 1, 1, 1, 1, 2, 2, 2)[size - 5]
+
+
 @pytest.mark.parametrize("block_words", [1 << 18, 2000])
 def test_against_loops(stored, leaky, block_words):
     docs, items = leaky
@@ -44,7 +59,7 @@ def test_against_loops(stored, leaky, block_words):
     assert [(r.doc_id, r.contaminated, r.n_overlaps, r.item_ids) for r in got] == [
         (d, bool(w), len(w), sorted({i for i, _ in w})) for (d, _), w in zip(docs, want)
     ]
-    assert sum(map(bool, want)) >= 6
+    assert sum(map(bool, want)) >= 30
     assert ss.keep_clean(df, tests).count() == sum(not w for w in want)
     assert ss.keep_clean(df, tests).columns == df.columns
 
