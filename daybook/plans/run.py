@@ -34,6 +34,7 @@ from daybook.sinks.files import (
     write_silver,
 )
 from daybook.sinks.gold import quarantine_days
+from daybook.sinks.slices import SilverTables
 from daybook.sinks.store import FolderGold, PublishedGold
 
 LITERAL = "literal"
@@ -85,6 +86,7 @@ def run_daily_gmv(
     arrivals: dict[str, int] | None = None,
     silver_path: str | None = None,
     previous_silver: str | None = None,
+    silver_tables: SilverTables | None = None,
     gold_format: str = "parquet",
     silver_format: str = "parquet",
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -104,6 +106,10 @@ def run_daily_gmv(
     after it, or from the window's start if that is earlier, and days between count as part of the
     window. Snapshots without such a record, or of a literal run, are refused.
 
+    With ``silver_tables``, the snapshots of the runs before are tables in slices, which stand for all
+    older events in the same way; only slices with events from the day after on are written, and the
+    tables are switched once gold is.
+
     With ``arrivals``, the last batch of each log that gold knows, the run takes no dates: it rebuilds
     the days of every purchase with an event of a later batch, however old the event's day is. The
     logs have to have the column ``arrival`` (``streaming.ingest.read_arrivals``).
@@ -120,7 +126,9 @@ def run_daily_gmv(
         raise ValueError(f"unknown mode {mode!r}")
     if previous_silver is not None and (mode == LITERAL or previous_silver == silver_path):
         raise ValueError("earlier snapshots serve state-complete runs that write elsewhere")
-    if arrivals is not None and (mode == LITERAL or previous_silver or silver_path or start or end):
+    if silver_tables is not None and (mode == LITERAL or previous_silver or silver_path):
+        raise ValueError("snapshots in slices serve state-complete runs and replace other snapshots")
+    if arrivals is not None and (mode == LITERAL or previous_silver or silver_path or silver_tables or start or end):
         raise ValueError("a run by arrival is state-complete and takes neither dates nor snapshots")
     started = time.monotonic()
     spark = logs.purchase.sparkSession
@@ -132,7 +140,7 @@ def run_daily_gmv(
 
     covered = window and window.end
     narrow = logs.purchase
-    if not silver_path:
+    if not silver_path and silver_tables is None:
         stamp = [ARRIVAL] if arrivals is not None else []
         narrow = narrow.select(KEY, *GOLD_INPUTS["purchase"], *stamp)
     seen = Observation("purchase events")
@@ -147,16 +155,20 @@ def run_daily_gmv(
         if scope.purchase.isEmpty():
             return RunReport(NO_PURCHASES, window)
         log, events = scope.purchase, counted(scope)
-    elif previous_silver is not None:
-        snapshots, coverage = _base(spark, previous_silver, silver_format)
+    elif previous_silver is not None or (silver_tables and silver_tables.create().through()):
+        if silver_tables is None:
+            snapshots, coverage = _base(spark, previous_silver, silver_format)
+            through = coverage.through
+        else:
+            snapshots, through = silver_tables.logs(), silver_tables.through()
         snapshots = replace(snapshots, purchase=snapshots.purchase.select(narrow.columns))
-        covered = max(covered, coverage.through)
-        window = since(window, coverage.through)
+        covered = max(covered, through)
+        window = since(window, through)
         scope = carried_history(snapshots, read, window)
         recent = read.where(F.col(DAY) >= F.lit(window.start))
         log, events = recent.purchase, snapshots.dated().union(counted(recent))
     else:
-        scope = read.dated()
+        scope = recent = read.dated()
         log, events = scope.purchase, counted(scope)
 
     resolve = EventLogs.latest_for_gold
@@ -179,9 +191,16 @@ def run_daily_gmv(
                 lambda name, df: df.filter(new(name)).select(KEY)
             ).any_row() is None:
                 return RunReport(NOTHING_NEW)
+            if silver_tables is not None:
+                # After the impact is known: it is told by the state before. Gold goes on from the
+                # next state, whose slices lie as the joins need them.
+                prepared = silver_tables.prepare(recent)
+                kept.callback(prepared.forget)
+                events, resolve = prepared.logs(), _as_they_are
             # Candidates are looked for without counting, so that day folders are pruned.
-            look = events if silver_path is not None else scope
-            latest = current_on(events, impact.days, resolve, broadcast_bytes, look, not impact.wide)
+            look = events if resolve is _as_they_are else scope
+            search = not impact.wide and silver_tables is None  # its joins move nothing that could be spared
+            latest = current_on(events, impact.days, resolve, broadcast_bytes, look, search)
 
         # Gold is one row per day and subsidiary. Kept for the guard, the write, the day list and
         # the checks; a lost block is computed again.
@@ -192,12 +211,14 @@ def run_daily_gmv(
         if gold_table is not None:
             store = PublishedGold(spark, gold_table, gold_path, gold_format).create()
         cleared = store.replace(gold, written, sorted(set(impact.days) - set(written)))
+        if silver_tables is not None:
+            prepared.commit(covered)
         status = WRITTEN if written or cleared else NO_PAID
         metrics: dict = {}
         if status == WRITTEN:
             totals = gold.agg(F.count(F.lit(1)).alias("rows"), F.sum("gmv").alias("gmv")).first()
             # Figures taken on the way, if the plan that was run went through the log.
-            of_log = seen.get if written or silver_path else log.agg(*figures).first().asDict()
+            of_log = seen.get if (written or silver_path) and not silver_tables else log.agg(*figures).first().asDict()
             metrics = {
                 "purchase_events": of_log["events"],
                 "newest_event": of_log["newest_event"],
