@@ -426,6 +426,27 @@ _SQL = {
         "SELECT 'put aside', count(*) FROM purchase WHERE transaction_date >= DATE '2001-07-01'"
     ),
     "gold_late_by_arrival": FULL,
+    "mon_typed_bounds": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, min(transaction_date) AS min_date, max(transaction_date) AS max_date, "
+        f"max(transaction_datetime) AS newest_event FROM {name}"
+        for name in ORDER
+    ),
+    "mon_duplicates_sketched": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS events, true AS near FROM {name}" for name in ORDER
+    ),
+    "dq_gmv_outliers": f"""
+SELECT transaction_date, subsidiary, gmv, round((gmv - q[2]) / ((q[3] - q[1]) / 1.349), 4) AS score
+FROM ({FULL}) JOIN (
+  SELECT dayofweek(transaction_date) AS weekday, subsidiary, quantile_disc(gmv, [0.25, 0.5, 0.75]) AS q
+  FROM ({FULL}) WHERE gmv IS NOT NULL GROUP BY ALL HAVING count(*) >= 8
+) b USING (subsidiary)
+WHERE dayofweek(transaction_date) = weekday AND q[3] > q[1]
+  AND abs(round((gmv - q[2]) / ((q[3] - q[1]) / 1.349), 4)) > 3
+""",
+    "dq_unmatched_carried": (
+        "SELECT purchase_id, count(*) AS events, min(transaction_date) AS first_day FROM purchase "
+        "WHERE purchase_id NOT IN (SELECT purchase_id FROM product_item) GROUP BY purchase_id"
+    ),
     "gold_ledger": CHANGES,
     "daily_gmv_asof_ledger": gmv("transaction_date <= DATE '1998-06-30'"),
     "dq_gold_grain": f"SELECT transaction_date, subsidiary, 2 AS n FROM ({FULL}) WHERE {REVERSED}",
@@ -472,6 +493,7 @@ GROUP BY p.transaction_date, e.subsidiary
 ORACLES = {name: over_logs(sql) for name, sql in _SQL.items()} | {
     "gold_late_correction": over_reversed_logs(FULL),
     "gold_idempotent": over_reversed_logs(FULL),
+    "gold_from_slices": over_reversed_logs(FULL),
     "gold_published": over_reversed_logs(f"SELECT * FROM ({FULL}) ORDER BY transaction_date, subsidiary"),
     "mon_run_metrics": over_reversed_logs(METRICS),
     "gmv_lines_fine": over_logs(scaled_lines("1e-10"), "l_extendedprice * 1e-10"),

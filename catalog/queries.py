@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.checks import monitor, quality
+from daybook.checks import monitor, quality, sketches
+from daybook.checks.pending import carry_unmatched
 from daybook.logs import EventLogs
 from daybook.operators import state
 from daybook.operators.latest import latest_by
@@ -25,11 +26,12 @@ from daybook.schemas import LOG_SCHEMAS
 from daybook.session import scratch_folder
 from daybook.sinks import files
 from daybook.sinks import gold as gold_sink
+from daybook.sinks.slices import SilverTables
 from daybook.sinks.store import PublishedGold
 from daybook.sources.bronze import conform, conform_logs, read_logs, read_typed, scan_raw
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
 from daybook.sources.order_tables import as_raw_text, item_events, order_logs, read_table
-from daybook.streaming.ingest import BAD_FILES, BAD_ROWS, ingest_new, last_arrivals, read_arrivals
+from daybook.streaming.ingest import BAD_FILES, BAD_ROWS, ingest_new, last_arrivals, read_arrivals, typed_bounds
 
 WINDOW = DateWindow(date(1997, 3, 1), date(1997, 9, 30))
 EARLY_END = DateWindow(date(1995, 1, 1), date(1998, 6, 30))
@@ -451,6 +453,53 @@ def gold_late_by_arrival(spark: SparkSession, folder: str) -> DataFrame:
     return read_gold(spark, gold)
 
 
+def gold_from_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """The late run, which empties a month, on silver in slices that an earlier run has left."""
+    logs, path = _with_reversals(order_logs(spark, folder)), scratch_folder(spark, "gold-slices")
+    base = scratch_folder(spark, "silver-slices")
+    tables = SilverTables(spark, _table_name(base), base, slices=8)
+    before = DateWindow(EARLY_END.start, LATE.start - timedelta(days=1))
+    _run(logs.before(LATE.start), path, before, silver_tables=tables, checks=False)
+    _run(logs, path, LATE, silver_tables=tables)
+    return read_gold(spark, path)
+
+
+def mon_typed_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Bounds and freshness of the logs as they were noted batch by batch."""
+    raw, typed = _in_two_drops(spark, folder)
+    ingest_new(spark, raw, typed)
+    return typed_bounds(spark, typed)
+
+
+def mon_duplicates_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of days, stored, merged and read: exact events, and whether the estimate of purchases is
+    within 5 % (three standard errors) of the exact count."""
+    path, logs = scratch_folder(spark, "sketches"), order_logs(spark, folder)
+    sketches.day_sketches(logs).write.parquet(path)
+    found = sketches.estimated_duplicates(spark.read.parquet(path))
+    exact = monitor.duplicates(logs).select("table_name", F.col("purchases").alias("exact"))
+    near = F.abs(F.col("purchases") - F.col("exact")) <= 0.05 * F.col("exact")
+    return found.join(exact, "table_name").select("table_name", "events", near.alias("near"))
+
+
+def dq_gmv_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    gold = daily_gmv_full_history(spark, folder)
+    return sketches.gmv_outliers(gold, sketches.amount_sketches(gold))
+
+
+def dq_unmatched_carried(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases without items, carried over three steps of the logs, of which the middle one is cut out and
+    comes last."""
+    logs = order_logs(spark, folder)
+    inside, before = WINDOW.covers("transaction_date"), F.col("transaction_date") < F.lit(WINDOW.start)
+    steps = [logs.where(before), logs.where(~before & ~inside), logs.where(inside)]
+    pending, known = None, None
+    for step in steps:
+        pending = carry_unmatched(pending, step.purchase, step.product_item, known)
+        known = step.product_item if known is None else known.unionByName(step.product_item)
+    return pending
+
+
 def gold_published(spark: SparkSession, folder: str) -> DataFrame:
     """Gold as a table of the catalog, switched by a run that empties a whole month, and read by name
     right after it."""
@@ -601,6 +650,11 @@ QUERIES = {
     "bronze_odd_file": bronze_odd_file,
     "gold_late_by_arrival": gold_late_by_arrival,
     "gold_published": gold_published,
+    "gold_from_slices": gold_from_slices,
+    "mon_typed_bounds": mon_typed_bounds,
+    "mon_duplicates_sketched": mon_duplicates_sketched,
+    "dq_gmv_outliers": dq_gmv_outliers,
+    "dq_unmatched_carried": dq_unmatched_carried,
     "gold_ledger": gold_ledger,
     "daily_gmv_asof_ledger": daily_gmv_asof_ledger,
     "cast_tolerance": cast_tolerance,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.logs import EventLogs
-from daybook.schemas import ARRIVAL, BRONZE_FOLDERS, DAY, KEY, LOG_SCHEMAS
+from daybook.schemas import ARRIVAL, BRONZE_FOLDERS, DAY, EVENT_TIME, KEY, LOG_SCHEMAS
 from daybook.sources.bronze import bad_cells, conform
 
 #: Files of a log in one batch, at most. Their names and headers come to the driver.
@@ -32,6 +32,9 @@ LEDGER = T.StructType(
         T.StructField("events", T.LongType()),
         T.StructField("rejected_files", T.LongType()),
         T.StructField("rejected_rows", T.LongType()),
+        T.StructField("first_day", T.DateType()),
+        T.StructField("last_day", T.DateType()),
+        T.StructField("newest_event", T.TimestampNTZType()),
         T.StructField("table_name", T.StringType()),
         T.StructField(ARRIVAL, T.LongType()),
     ]
@@ -94,7 +97,8 @@ def _take(name: str, typed_base: str, quarantine_base: str | None) -> Callable[[
             spread = events.withColumn(ARRIVAL, number).repartitionByRange(tasks, DAY, KEY)
             _replace(spread, f"{typed_base}/{BRONZE_FOLDERS[name]}", ARRIVAL, DAY)
             rejected = sum(layout < 0 for *_, layout in fate)
-            counts = [len(heads), rows.count(), rejected, None]
+            figures = events.agg(F.count(F.lit(1)), F.min(DAY), F.max(DAY), F.max(EVENT_TIME)).first()
+            counts = [len(heads), figures[0], rejected, None, *figures[1:]]
             if quarantine_base is not None:
                 cells = rejected_cells(rows, name)
                 counts[3] = cells.count()
@@ -161,9 +165,17 @@ def read_arrivals(spark: SparkSession, typed_base: str) -> EventLogs:
 
 def arrivals(spark: SparkSession, typed_base: str) -> DataFrame:
     """What every batch of every log brought: ``table_name, arrival, files, events, rejected_files,
-    rejected_rows``."""
+    rejected_rows, first_day, last_day, newest_event``."""
     found = spark.read.schema(LEDGER).parquet(f"{typed_base}/{ARRIVALS}")
-    return found.select("table_name", ARRIVAL, "files", "events", "rejected_files", "rejected_rows")
+    return found.select("table_name", ARRIVAL, *[f.name for f in LEDGER.fields[:-2]])
+
+
+def typed_bounds(spark: SparkSession, typed_base: str) -> DataFrame:
+    """First and last day of each log, as ``window.date_bounds`` finds them, and the newest event, from what
+    was noted of each batch: ``table_name, min_date, max_date, newest_event``. No event is read."""
+    return arrivals(spark, typed_base).groupBy("table_name").agg(
+        F.min("first_day").alias("min_date"), F.max("last_day").alias("max_date"),
+        F.max("newest_event").alias("newest_event"))
 
 
 def last_arrivals(spark: SparkSession, typed_base: str) -> dict[str, int]:

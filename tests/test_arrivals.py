@@ -12,7 +12,7 @@ from daybook.plans.run import NOTHING_NEW
 from daybook.sinks.files import append_logs
 from daybook.sources.gold import read_gold
 from daybook.streaming import ingest
-from daybook.streaming.ingest import arrivals, ingest_new, last_arrivals, read_arrivals
+from daybook.streaming.ingest import arrivals, ingest_new, last_arrivals, read_arrivals, typed_bounds
 
 
 @pytest.fixture
@@ -34,6 +34,8 @@ def test_files_are_taken_once(spark, lake):
     append_logs(logs(spark).map(lambda _, df: df.coalesce(1)), raw)
     ingest_new(spark, raw, typed)
     first = counts(spark, typed)
+    bounds = {r.table_name: (r.min_date, r.max_date, str(r.newest_event)) for r in typed_bounds(spark, typed).collect()}
+    assert bounds["purchase"] == (date(2023, 2, 3), date(2023, 2, 28), "2023-02-28 08:00:00")
     assert first == [("extra_info", 0, 1, 7, 0, None), ("product_item", 0, 1, 7, 0, None), ("purchase", 0, 1, 11, 0, None)]
     ingest_new(spark, raw, typed)
     assert counts(spark, typed) == first and events(spark, typed) == [11, 7, 7]
