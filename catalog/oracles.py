@@ -392,6 +392,7 @@ _SQL = {
     ),
     "daily_gmv_state_complete": state_complete(WINDOW),
     "impacted_dates": impacted(WINDOW),
+    "impacted_dates_indexed": impacted(WINDOW),
     "gold_roundtrip": FULL,
     "gold_roundtrip_csv": FULL,
     "gold_incremental_overwrite": OVERWRITTEN,

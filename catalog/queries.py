@@ -26,7 +26,7 @@ from daybook.schemas import LOG_SCHEMAS
 from daybook.session import scratch_folder
 from daybook.sinks import files
 from daybook.sinks import gold as gold_sink
-from daybook.sinks.slices import SilverTables
+from daybook.sinks.slices import PaidDays, SilverTables
 from daybook.sinks.store import PublishedGold
 from daybook.sources.bronze import conform, conform_logs, read_logs, read_typed, scan_raw
 from daybook.sources.gold import daily_gmv_query, preview, read_gold
@@ -447,12 +447,21 @@ def gold_late_by_arrival(spark: SparkSession, folder: str) -> DataFrame:
     raw, typed = _in_two_drops(spark, folder)
     gold = scratch_folder(spark, "gold-arrivals")
     known = last_arrivals(spark, typed)
-    run_daily_gmv(read_arrivals(spark, typed), gold, arrivals={})
+    run_daily_gmv(read_arrivals(spark, typed), gold, arrivals={}, checks=False)
     ingest_new(spark, raw, typed)
     run_daily_gmv(read_arrivals(spark, typed), gold, arrivals=known)
     return read_gold(spark, gold)
 
 
+def impacted_dates_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Impacted days of a window's events, looked up in an index that was kept in two steps."""
+    logs, base = order_logs(spark, folder), scratch_folder(spark, "paid-days")
+    index = PaidDays(spark, _table_name(base), base, slices=8).create()
+    index.add(logs.purchase.filter(~WINDOW.covers("transaction_date")))
+    index.add(logs.within(WINDOW).purchase)
+    return index.days_of(incremental.touched_keys(logs, WINDOW))
+
+
 def gold_from_slices(spark: SparkSession, folder: str) -> DataFrame:
     """The late run, which empties a month, on silver in slices that an earlier run has left."""
     logs, path = _with_reversals(order_logs(spark, folder)), scratch_folder(spark, "gold-slices")
@@ -650,6 +659,7 @@ QUERIES = {
     "bronze_odd_file": bronze_odd_file,
     "gold_late_by_arrival": gold_late_by_arrival,
     "gold_published": gold_published,
+    "impacted_dates_indexed": impacted_dates_indexed,
     "gold_from_slices": gold_from_slices,
     "mon_typed_bounds": mon_typed_bounds,
     "mon_duplicates_sketched": mon_duplicates_sketched,

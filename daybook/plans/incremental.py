@@ -113,15 +113,15 @@ def impacted_by_fold(logs: EventLogs, new: DateWindow | Touch) -> DataFrame:
 
 @dataclass(frozen=True)
 class Impact:
-    """Days to rebuild, in order, and on how many days anything was ever paid."""
+    """Days to rebuild, in order, and on how many days anything was ever paid, if that is known."""
 
     days: list[date]
-    paid_days: int
+    paid_days: int | None = None
 
     @property
     def wide(self) -> bool:
         """Whether so much is impacted that looking for the purchases concerned costs more than it spares."""
-        return len(self.days) >= WIDE_SHARE * self.paid_days
+        return self.paid_days is not None and len(self.days) >= WIDE_SHARE * self.paid_days
 
 
 def find_impact(
