@@ -22,6 +22,9 @@ ROW_OVERHEAD = 64
 # Of all days with paid events, the share from which on impacted ones are rebuilt with all purchases.
 WIDE_SHARE = 0.5
 
+# Up to so many days are listed in a plan, more are joined.
+LISTED_DAYS = 31
+
 # Which events of a log, by its name, are new.
 Touch = Callable[[str], Column]
 
@@ -166,10 +169,10 @@ def as_table(spark: SparkSession, days: Sequence[date]) -> DataFrame:
 
 
 def on_days(df: DataFrame, days: Sequence[date]) -> DataFrame:
-    """Rows of the given days. The plan holds their range, which prunes day folders at once, and a
-    broadcast of the days, the calendar's at most, which prunes the others when it runs."""
-    if not days:
-        return df.filter(F.lit(False))
+    """Rows of the given days. A few are listed. Of many the plan holds the range, which prunes day
+    folders at once, and a broadcast of the days, the calendar's at most, which prunes the others when it runs."""
+    if len(days) <= LISTED_DAYS:
+        return df.filter(F.col(DAY).isin(list(days)))
     spanned = df.filter(F.col(DAY).between(F.lit(min(days)), F.lit(max(days))))
     if (max(days) - min(days)).days + 1 == len(set(days)):
         return spanned

@@ -1,7 +1,7 @@
 """Shapes the physical plans must keep to hold at scale."""
 
 import re
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from fixture import logs
@@ -73,25 +73,25 @@ def test_rebuild_without_broadcast_is_the_full_plan(stored, no_broadcast):
 
 def test_candidates_are_looked_for_in_their_day_folders(stored):
     text = plan(on_days(stored.purchase, [date(2023, 2, 8)]))
-    assert re.search(r"PartitionFilters: \[[^]]*transaction_date#\d+ >= 2023-02-08", text)
+    assert re.search(r"PartitionFilters: \[[^]]*transaction_date#\d+ = 2023-02-08", text)
 
 
 def test_many_days_are_joined_not_listed(spark, stored):
     """The plan has their range and prunes by the joined days; it does not grow with their number."""
-    days = [date(2023, 2, d) for d in range(1, 28, 2)]
+    days = [date(2023, 1, 1) + timedelta(days=2 * d) for d in range(60)]
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
         text = plan(on_days(stored.purchase, days))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     pruned = re.search(r"PartitionFilters: \[(.*?)\], Pushed", text).group(1)
-    assert "dynamicpruning" in pruned and ">= 2023-02-01" in pruned and "<= 2023-02-27" in pruned
-    assert "2023-02-13" not in text and " IN (" not in text and "INSET" not in text
+    assert "dynamicpruning" in pruned and ">= 2023-01-01" in pruned and "<= 2023-04-29" in pruned
+    assert "2023-01-03" not in text and " IN (" not in text and "INSET" not in text
 
 
 def test_rebuild_of_most_days_looks_for_no_purchases(stored, no_broadcast):
     text = plan(state_complete_gmv(stored, WINDOW))
-    assert text.count("BroadcastHashJoin") == 1 and len(exchanges(text)) == 4
+    assert "BroadcastHashJoin" not in text and len(exchanges(text)) == 4
 
 
 def test_impacted_days_shuffle_no_history(stored, no_broadcast):
