@@ -33,6 +33,8 @@ SKETCH = 1024
 KEPT_BITS = 56
 #: Members of one signature that a task compares with as many others.
 BLOCK = 2048
+#: A key is hot if it has more than one in so many times as many rows as there are shuffle partitions.
+SPREAD = 4
 
 
 def shingle_sets(column: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
@@ -414,21 +416,40 @@ def _verified(
     return cut(both.mapInArrow(compare, "a long, b long"), "links")
 
 
+def _looked_up(rows: DataFrame, key: str, found: DataFrame, total: int) -> DataFrame:
+    """``rows`` (stored, ``total`` of them) with the value that ``found`` (``key``, value; a row for
+    every key of ``rows``) holds for their ``key``.
+
+    Keys with more than one in ``SPREAD`` times as many rows as there are shuffle partitions are looked
+    up where their rows are: there can be no more of them than that, so their values are broadcast. The
+    others meet ``found`` by a shuffle, in which the rows that need nothing any more are dealt evenly.
+    """
+    most = SPREAD * parallelism(rows.sparkSession)
+    value = next(c for c in found.columns if c != key)
+    hot = rows.groupBy(key).count().filter(F.col("count") * most > total).select(key)
+    known = found.join(F.broadcast(hot), key).select(key, F.col(value).alias("hot"))
+    rows = rows.join(F.broadcast(known), key, "left")
+    done = F.col("hot").isNotNull()
+    rows = rows.withColumn("spare", F.when(done, F.xxhash64(*rows.columns).bitwiseOR(1)).otherwise(0))
+    rows = rows.join(found.withColumn("spare", F.lit(0).cast("long")), [key, "spare"], "left")
+    return rows.withColumn(value, F.coalesce("hot", value)).drop("hot", "spare")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """``node, label`` for every node of ``links``: the least node that it is connected with. Labels
-    spread along links and jump to the label of their label until none changes."""
+    """``node, label`` for every node of ``links``: the least node that it is connected with. Each
+    round a node takes the least of its label, its neighbours' labels and the label of its label,
+    until none changes. A component or a neighbourhood of any size is dealt over the tasks."""
     both = links.select("a", "b").union(links.select("b", "a")).distinct()
     both = cut(both, "edges")
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    edges, nodes = both.count(), labels.count()
     while True:
-        at = labels.toDF("b", "near")
-        near = both.join(at, "b").groupBy("a").agg(F.min("near").alias("near"))
-        moved = labels.join(near.withColumnRenamed("a", "node"), "node", "left").select(
-            "node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        jump = labels.toDF("label", "further")
-        step = moved.join(jump, "label", "left").select(
-            "node", "was", F.least("label", F.coalesce("further", "label")).alias("label"))
+        near = _looked_up(both, "b", labels.toDF("b", "near"), edges)
+        near = near.groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+        jump = _looked_up(labels, "label", labels.toDF("label", "further"), nodes)
+        step = jump.join(near, "node").select(
+            "node", F.col("label").alias("was"), F.least("label", "further", "near").alias("label"))
         step = cut(step, "labels")
         changed = step.filter("was != label").limit(1).count()
         labels = step.select("node", "label")
@@ -505,8 +526,10 @@ def _classes(df: DataFrame, id_col="doc_id", text_col="text", percent=PERCENT, s
     labels = components(links)
     nodes = docs.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
-    heads = nodes.groupBy("label").agg(F.min("least").alias("component_id"))
-    nodes = cut(nodes.join(heads, "label").select("node", "component_id", "label"), "components")
+    nodes = cut(nodes, "nodes")
+    heads = nodes.groupBy("label").agg(F.struct(F.min("least").alias("component_id")).alias("head"))
+    nodes = _looked_up(nodes, "label", heads, nodes.count()).select("node", "head.component_id", "label")
+    nodes = cut(nodes, "components")
     columns = ["doc_id", "n_shingles", "component_id", "label", ROW]
     none = F.lit(None).cast("long").alias("label")
     alone = docs.filter("n_shingles = 0").select(

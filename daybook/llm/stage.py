@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from threading import local
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,19 +23,25 @@ WRITING = {
 }
 
 
-#: Lists that ``cut`` enters its tables in, one per open ``recording``.
-RECORDS: list[list[str]] = []
+class _Records(local):
+    """Lists that ``cut`` enters its tables in, one per open ``recording`` of a thread."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+RECORDS = _Records()
 
 
 @contextmanager
 def recording() -> Iterator[list[str]]:
-    """The tables that are cut meanwhile."""
+    """The tables that this thread cuts meanwhile."""
     made: list[str] = []
-    RECORDS.append(made)
+    RECORDS.open.append(made)
     try:
         yield made
     finally:
-        RECORDS.remove(made)
+        RECORDS.open = [other for other in RECORDS.open if other is not made]
 
 
 def drop(spark: SparkSession, paths: list[str]) -> None:
@@ -65,7 +72,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     nothing can need them again."""
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    for made in RECORDS:
+    for made in RECORDS.open:
         made.append(path)
     with _settings(spark, WRITING):
         df.write.parquet(path)
@@ -112,7 +119,7 @@ def dealt(df: DataFrame | Numbered, *columns: Column | str) -> DataFrame:
         return df.rows.select(*columns, ROW)
     rows, spark = counted_once(df, *columns), df.sparkSession
     path, name, n = scratch_folder(spark, "dealt"), f"daybook_{uuid.uuid4().hex}", parallelism(spark)
-    for made in RECORDS:
+    for made in RECORDS.open:
         made.append(path)
     with _settings(spark, WRITING):
         # Rows come hashed by the same key into as many tasks: each writes its own bucket.

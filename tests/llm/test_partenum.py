@@ -55,6 +55,27 @@ def test_split_signatures(stored, families, monkeypatch):
     assert classes(stored(families, SCHEMA)) == brute.components(families)
 
 
+def test_components_of_any_shape(spark, monkeypatch):
+    """A hub, a long chain, small groups and a ring, with and without keys that count as hot."""
+    rng = random.Random(4)
+    names = [rng.randrange(-(2**63), 2**63) for _ in range(900)]
+    links = [(names[0], names[i]) for i in range(1, 400)]
+    links += [(names[i], names[i + 1]) for i in range(400, 470)]
+    links += [(names[i], names[i + 1]) for i in range(500, 800, 2)]
+    links += [(names[i], names[i + 1]) for i in range(800, 899)] + [(names[899], names[800])]
+    least = {n: n for link in links for n in link}
+    while True:
+        before = dict(least)
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    df = spark.createDataFrame([tuple(sorted(x)) for x in links], "a long, b long")
+    for spread in (0.1, 1000):
+        monkeypatch.setattr(pe, "SPREAD", spread)
+        assert {r.node: r.label for r in pe.components(df).collect()} == least
+
+
 def test_rows_that_stay(stored, odd):
     df = stored(odd, SCHEMA, clash=True)
     want = brute.components(odd)
