@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from threading import local
 
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm import exact_tree, mil, partenum, pivotal, spaced_seed
 from daybook.llm.stage import cut, drop, recording, table
 
-#: Intermediate tables of the last stage. Once the next one begins, its result is written, and
-#: nothing reads them any more.
-_left: list[str] = []
+#: Intermediate tables of the last stage that a thread ran. Once its next one begins, the result is
+#: written, and nothing reads them any more. Pipelines of different threads leave each other's alone.
+_left = local()
 
 
 def _stage(function: Callable) -> Callable:
     @wraps(function)
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop(spark, _left)
+        drop(spark, vars(_left).pop("tables", []))
         with recording() as made:
             kept = function(spark, docs, sf_dir)
-        _left[:] = made
+        _left.tables = made
         return kept
 
     return stage
