@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,16 +40,12 @@ def conform(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
 def bad_cells(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Raw rows that hold text no typed value could be made of, with the columns at fault."""
-    at_fault = [
-        F.when(
-            F.col(f.name).isNotNull() & tolerant(F.col(f.name), f.dataType).isNull(), F.lit(f.name)
-        )
-        for f in schema.fields
-        if not isinstance(f.dataType, T.StringType)
-    ]
-    return raw.withColumn("bad_columns", F.array_compact(F.array(*at_fault))).filter(
-        F.size("bad_columns") > 0
-    )
+    typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    is_bad = [F.col(f.name).isNotNull() & tolerant(F.col(f.name), f.dataType).isNull() for f in typed]
+    # Rows are picked by a plain condition, which is compiled, unlike array functions over all rows.
+    at_fault = F.array(*[F.when(bad, F.lit(f.name)) for bad, f in zip(is_bad, typed)])
+    nothing = F.array(F.lit(None).cast("string"))
+    return raw.filter(reduce(or_, is_bad)).withColumn("bad_columns", F.array_except(at_fault, nothing))
 
 
 def read_raw_logs(spark: SparkSession, base: str) -> EventLogs:

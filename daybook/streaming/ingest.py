@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Callable
+from datetime import date
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +23,8 @@ from daybook.sources.bronze import bad_cells, conform
 
 #: Files of a log in one batch, at most. Their names and headers come to the driver.
 FILES_PER_BATCH = 10_000
+#: Events that a task sorts by day and writes, about.
+EVENTS_PER_TASK = 1_000_000
 #: Beside the typed logs: one row for every batch of every log.
 ARRIVALS = "_arrivals"
 #: Folders below the place for rejected input.
@@ -51,11 +55,35 @@ def _columns(header: str) -> list[str]:
     return next(csv.reader([header]), [])
 
 
-def _typed(lines: DataFrame, header: list[str], schema: T.StructType) -> DataFrame:
-    """Lines under one header as rows of text, columns by name."""
-    text = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in header)
-    return lines.select(F.from_csv("value", text).alias("row")).select(
-        *[F.col(f"row.`{c}`").alias(c) for c in schema.names])
+def _cells(lines: DataFrame, places: list[list[int]], width: int, schema: T.StructType) -> DataFrame:
+    """Lines as rows of text, whatever order their files have. ``at`` is the place of each column, one of
+    ``places``. A line is parsed once: a generator, unlike a projection, is not repeated in the filters above it."""
+    text = ", ".join(f"_c{i} STRING" for i in range(width))
+    parsed = lines.select("at", F.inline(F.array(F.from_csv("value", text))))
+
+    def cell(n: int) -> Column:
+        found = {at[n] for at in places}
+        if len(found) == 1:
+            return F.col(f"_c{found.pop()}")
+        return F.get(F.array(*[f"_c{i}" for i in range(width)]), F.col("at")[n])
+
+    return parsed.select(*[cell(n).alias(c) for n, c in enumerate(schema.names)])
+
+
+def _spread(events: DataFrame, days: list[Row], tasks: int) -> DataFrame:
+    """Events for writing by day, from the number of them on each: a day's lie together, one that holds
+    much of the batch is split, tasks hold equal shares, and folders are made by all of them."""
+    total = sum(d["events"] for d in days)
+    tasks = max(tasks, -(-total // EVENTS_PER_TASK))
+    days = sorted(days, key=lambda d: d[DAY] or date.min)
+    before = accumulate((d["events"] for d in days), initial=0)
+    spans = events.sparkSession.createDataFrame(
+        [(d[DAY], n, d["events"]) for d, n in zip(days, before)], "day date, before long, held long")
+    part = F.pmod(F.xxhash64(KEY, EVENT_TIME), F.lit(1_000_000)) / F.lit(1e6)
+    task = F.floor((F.col("before") + F.col("held") * part) * F.lit(tasks / max(total, 1))).cast("int")
+    # As many rows as days, which the calendar bounds.
+    placed = events.join(F.broadcast(spans), F.col(DAY).eqNullSafe(F.col("day")), "left")
+    return placed.repartitionById(tasks, F.coalesce(task, F.lit(0))).select(*events.columns)
 
 
 def rejected_cells(raw: DataFrame, name: str) -> DataFrame:
@@ -74,43 +102,45 @@ def _take(name: str, typed_base: str, quarantine_base: str | None) -> Callable[[
         spark = batch.sparkSession
         number = F.lit(arrival).cast("long").alias(ARRIVAL)
         # Lines of a file keep their order within a task, so that its first one is that of least number.
-        lines = batch.withColumn("place", F.monotonically_increasing_id()).persist()
-        try:
-            first = F.min(F.struct("place", "value")).alias("first")
-            heads = lines.filter("begin = 0").groupBy("file").agg(first).collect()
-            columns = {r["first"]["value"]: _columns(r["first"]["value"]) for r in heads}
-            fits = {h for h, c in columns.items() if set(schema.names) <= set(c) and len(set(c)) == len(c)}
-            layouts = sorted(fits)
-            fate = [(r["file"], r["first"]["place"], layouts.index(h) if (h := r["first"]["value"]) in fits else -1)
-                    for r in heads]
-            known = spark.createDataFrame(fate, "file string, head long, layout int")
-            # As many rows as files, of which a batch has a bounded number.
-            told = lines.join(F.broadcast(known), "file").filter(F.trim("value") != "")
-            rows = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in schema.names]))
-            for layout, header in enumerate(layouts):
-                mine = told.filter((F.col("layout") == layout) & (F.col("place") != F.col("head")))
-                rows = rows.unionByName(_typed(mine, columns[header], schema))
-            events = conform(rows, schema)
-            # Ranges of day and purchase: days lie together, one that holds much of the batch is split,
-            # and folders are made by all tasks.
-            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            spread = events.withColumn(ARRIVAL, number).repartitionByRange(tasks, DAY, KEY)
-            _replace(spread, f"{typed_base}/{BRONZE_FOLDERS[name]}", ARRIVAL, DAY)
-            rejected = sum(layout < 0 for *_, layout in fate)
-            figures = events.agg(F.count(F.lit(1)), F.min(DAY), F.max(DAY), F.max(EVENT_TIME)).first()
-            counts = [len(heads), figures[0], rejected, None, *figures[1:]]
-            if quarantine_base is not None:
-                cells = rejected_cells(rows, name)
-                counts[3] = cells.count()
-                _replace(cells.withColumn(ARRIVAL, number), f"{quarantine_base}/{BAD_ROWS}", "table_name", ARRIVAL)
-                if rejected:
-                    whole = told.filter("layout < 0").select("file", F.col("value").alias("line"), number)
-                    whole = whole.withColumn("table_name", F.lit(name))
-                    _replace(whole, f"{quarantine_base}/{BAD_FILES}", "table_name", ARRIVAL)
-            entry = spark.createDataFrame([(*counts, name, arrival)], LEDGER)
-            _replace(entry.coalesce(1), f"{typed_base}/{ARRIVALS}", "table_name", ARRIVAL)
-        finally:
-            lines.unpersist()
+        # They are read again where needed: a copy of them would take more than the events do.
+        lines = batch.withColumn("place", F.monotonically_increasing_id())
+        first = lines.filter("begin = 0").groupBy("file").agg(F.min("place").alias("place"))
+        heads = lines.join(F.broadcast(first.select("place")), "place").select("file", "place", "value").collect()
+        columns = {h: _columns(h) for h in {r["value"] for r in heads}}
+        places = {
+            h: [c.index(n) for n in schema.names]
+            for h, c in columns.items() if set(schema.names) <= set(c) and len(set(c)) == len(c)
+        }
+        fate = [(r["file"], r["place"], places.get(r["value"])) for r in heads]
+        known = spark.createDataFrame(fate, "file string, head long, at array<int>")
+        # As many rows as files, of which a batch has a bounded number.
+        told = lines.join(F.broadcast(known), "file").filter(F.trim("value") != "")
+        rows = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in schema.names]))
+        if places:
+            mine = told.filter(F.col("at").isNotNull() & (F.col("place") != F.col("head")))
+            rows = _cells(mine, list(places.values()), max(len(columns[h]) for h in places), schema)
+        events = conform(rows, schema)
+        newest = F.max(EVENT_TIME).alias("newest")
+        days = events.groupBy(DAY).agg(F.count(F.lit(1)).alias("events"), newest).collect()
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spread = _spread(events, days, tasks).withColumn(ARRIVAL, number)
+        _replace(spread, f"{typed_base}/{BRONZE_FOLDERS[name]}", ARRIVAL, DAY)
+        rejected = sum(at is None for *_, at in fate)
+        dates = [d[DAY] for d in days if d[DAY] is not None]
+        times = [d["newest"] for d in days if d["newest"] is not None]
+        counts = [len(heads), sum(d["events"] for d in days), rejected, None,
+                  min(dates, default=None), max(dates, default=None), max(times, default=None)]
+        if quarantine_base is not None:
+            stored = Observation()
+            cells = rejected_cells(rows, name).observe(stored, F.count(F.lit(1)).alias("rows"))
+            _replace(cells.withColumn(ARRIVAL, number), f"{quarantine_base}/{BAD_ROWS}", "table_name", ARRIVAL)
+            counts[3] = stored.get["rows"] if places else 0
+            if rejected:
+                whole = told.filter("at IS NULL").select("file", F.col("value").alias("line"), number)
+                whole = whole.withColumn("table_name", F.lit(name))
+                _replace(whole, f"{quarantine_base}/{BAD_FILES}", "table_name", ARRIVAL)
+        entry = spark.createDataFrame([(*counts, name, arrival)], LEDGER)
+        _replace(entry.coalesce(1), f"{typed_base}/{ARRIVALS}", "table_name", ARRIVAL)
 
     return take
 
