@@ -7,6 +7,8 @@ that looking back reads the ledger, not the history of events.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,8 +16,7 @@ from pyspark.sql import types as T
 
 from daybook.functions.money import line_value, to_total, wide_line_value
 from daybook.logs import EventLogs
-from daybook.operators.latest import latest_by
-from daybook.plans.incremental import BROADCAST_BYTES, arrived_since, fits_broadcast, only_of, touched_keys
+from daybook.plans.incremental import BROADCAST_BYTES, Touch, arrived_since, fits_broadcast, only_of, touched_keys
 from daybook.schemas import ARRIVAL, DAY, GOLD_INPUTS, KEY, PRECEDENCE
 
 KNOWN_ON = "known_on"
@@ -29,14 +30,20 @@ LEDGER = (
 )
 
 
-def _newest_by_day(logs: EventLogs, name: str) -> DataFrame:
-    """The newest event of each purchase and day, as a struct that ranks as events do. The calendar
-    bounds the rows of a purchase, however many events it has."""
-    columns = GOLD_INPUTS[name]
-    order = [c for c in PRECEDENCE[name] if c in columns]
-    events = getattr(logs, name).select(KEY, F.col(DAY).alias(KNOWN_ON), *columns)
-    newest = latest_by(events, [KEY, KNOWN_ON], order)
-    return newest.select(KEY, KNOWN_ON, F.struct(*order).alias(name))
+def _newest_by_day(logs: EventLogs, known: Touch | None) -> DataFrame:
+    """The newest event of each purchase and day, of every log, as structs that rank as events do; with
+    ``known``, also the newest of the events known before, as ``..._before``. One shuffle, by purchase,
+    which serves what follows as well."""
+    parts = []
+    for name, columns in GOLD_INPUTS.items():
+        order = [c for c in PRECEDENCE[name] if c in columns]
+        was = F.lit(True) if known is None else known(name)
+        parts.append(getattr(logs, name).select(KEY, F.col(DAY).alias(KNOWN_ON), was.alias("was"), F.struct(*order).alias(name)))
+    events = parts[0].unionByName(parts[1], True).unionByName(parts[2], True).repartition(KEY)
+    newest = [F.max(n).alias(n) for n in GOLD_INPUTS]
+    if known is not None:
+        newest += [F.max(F.when(F.col("was"), F.col(n))).alias(f"{n}_before") for n in GOLD_INPUTS]
+    return events.groupBy(KEY, KNOWN_ON).agg(*newest)
 
 
 def _summed(entries: DataFrame) -> DataFrame:
@@ -54,36 +61,44 @@ def change_ledger(logs: EventLogs) -> DataFrame:
     payment, its subsidiary and its amount. Where that differs from the day of events before, the old
     state is taken out and the new one put in.
     """
-    dated = logs.dated()
-    parts = [_newest_by_day(dated, name) for name in ("purchase", "product_item", "extra_info")]
-    days = parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
-    days = days.groupBy(KEY, KNOWN_ON).agg(*[F.max(n).alias(n) for n in GOLD_INPUTS])
+    return _summed(_entries(_newest_by_day(logs.dated(), None), {"": 1}))
+
+
+def _entries(days: DataFrame, versions: dict[str, int]) -> DataFrame:
+    """Entries of each purchase and day, out of its newest events by day. Of several versions of these,
+    by the suffix of their columns, each counts with its sign."""
     by_day = Window.partitionBy(KEY).orderBy(KNOWN_ON)
     upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    states = days.select(KEY, KNOWN_ON, *[F.max(n).over(upto).alias(n) for n in GOLD_INPUTS])
-    states = states.select(
-        KEY, KNOWN_ON, f"purchase.{DAY}", "purchase.release_date", "extra_info.subsidiary",
-        "product_item.item_quantity", "product_item.purchase_value",
-    )
-    now = F.when(
-        F.col("release_date").isNotNull(),
-        F.struct(DAY, "subsidiary", line_value().cast(SUM).alias("exact"), wide_line_value().alias("wide")),
-    )
-    states = states.select(KEY, KNOWN_ON, now.alias("now"))
-    states = states.withColumn("old", F.lag("now").over(by_day)).filter(~F.col("now").eqNullSafe(F.col("old")))
-
-    def entry(of: str, put_in: bool) -> Column:
-        sign = F.lit(1 if put_in else -1).cast("long")
+    names = [f"{n}{v}" for v in versions for n in GOLD_INPUTS]
+    states = days.select(KEY, KNOWN_ON, *[F.max(n).over(upto).alias(n) for n in names])
+    for v in versions:
+        amount = {c: F.col(f"product_item{v}.{c}") for c in ("item_quantity", "purchase_value")}
+        own = F.struct(
+            F.col(f"purchase{v}.{DAY}"), F.col(f"extra_info{v}.subsidiary"),
+            line_value().cast(SUM).alias("exact"), wide_line_value().alias("wide"),
+        )
+        now = F.when(F.col(f"purchase{v}.release_date").isNotNull(), own)
+        states = states.withColumns(amount).withColumn(f"now{v}", now)
+    states = states.select(KEY, KNOWN_ON, *[f"now{v}" for v in versions])
+    states = states.withColumns({f"old{v}": F.lag(f"now{v}").over(by_day) for v in versions})
+    changed = [~F.col(f"now{v}").eqNullSafe(F.col(f"old{v}")) for v in versions]
+
+    def entry(of: str, number: int) -> Column:
+        sign = F.lit(number).cast("long")
         exact, wide = F.col(f"{of}.exact"), F.col(f"{of}.wide")
         there = [F.when(c.isNotNull(), sign).otherwise(F.lit(0).cast("long")) for c in (exact, wide)]
         amounts = [F.coalesce(exact, F.lit(0).cast(SUM)), F.coalesce(wide, F.lit(0.0))]
-        exact, wide = amounts if put_in else [F.negative(a) for a in amounts]
+        exact, wide = amounts if number > 0 else [F.negative(a) for a in amounts]
         fields = [sign, there[0], exact.cast(SUM), there[1], wide]
-        own = F.struct(f"{of}.{DAY}", f"{of}.subsidiary", *[f.alias(n) for f, n in zip(fields, AMOUNTS)])
-        return F.when(F.col(of).isNotNull(), own)
+        return F.struct(f"{of}.{DAY}", f"{of}.subsidiary", *[f.alias(n) for f, n in zip(fields, AMOUNTS)])
 
-    both = F.array_compact(F.array(entry("old", False), entry("now", True)))
-    return _summed(states.select(KNOWN_ON, F.explode(both).alias("e")).select(KNOWN_ON, "e.*"))
+    moves = [
+        F.when(differs & F.col(of).isNotNull(), entry(of, number))
+        for (v, sign), differs in zip(versions.items(), changed)
+        for of, number in ((f"old{v}", -sign), (f"now{v}", sign))
+    ]
+    moved = states.filter(reduce(or_, changed))
+    return moved.select(KNOWN_ON, F.explode(F.array_compact(F.array(*moves))).alias("e")).select(KNOWN_ON, "e.*")
 
 
 def late_entries(logs: EventLogs, arrivals: dict[str, int], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -95,10 +110,8 @@ def late_entries(logs: EventLogs, arrivals: dict[str, int], broadcast_bytes: int
         logs = logs.map(lambda _, df: only_of(df, keys))
     else:
         logs = logs.map(lambda _, df: df.join(keys, KEY, "left_semi"))
-    before = change_ledger(logs.map(lambda name, df: df.filter(F.col(ARRIVAL) <= F.lit(arrivals.get(name, -1)))))
-    taken = before.select(
-        KNOWN_ON, DAY, "subsidiary", *[F.negative(c).cast(before.schema[c].dataType).alias(c) for c in AMOUNTS])
-    return _summed(change_ledger(logs).unionByName(taken))
+    days = _newest_by_day(logs.dated(), lambda name: F.col(ARRIVAL) <= F.lit(arrivals.get(name, -1)))
+    return _summed(_entries(days, {"": 1, "_before": -1}))
 
 
 def append_entries(entries: DataFrame, path: str, batch: int) -> None:
