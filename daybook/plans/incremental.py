@@ -132,10 +132,15 @@ def find_impact(
 ) -> Impact:
     """``impacted_dates`` as a list, and how many days there are beside them, in the same pass over
     history. The calendar bounds what comes to the driver."""
+    history = paid(logs.purchase).filter(F.col(DAY).isNotNull())
+    if history.filter(~F.coalesce(_touch(new)("purchase"), F.lit(False))).isEmpty():
+        # Every paid event is new, as in a first run, and so every paid day is impacted.
+        days = days_of(history)
+        return Impact(days, len(days))
+    history = history.select(KEY, DAY)
     keys = touched_keys(logs, new).persist()  # measured, then broadcast
     try:
         if fits_broadcast(keys, broadcast_bytes):
-            history = paid(logs.purchase).filter(F.col(DAY).isNotNull()).select(KEY, DAY)
             marked = F.broadcast(keys.withColumn("touched", F.lit(True)))
             flagged = history.join(marked, KEY, "left").select(DAY, F.col("touched").isNotNull().alias("touched"))
         else:
