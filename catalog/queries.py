@@ -424,7 +424,7 @@ def bronze_ingest_twice(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_odd_file(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw folders with a file that lacks a column and one with columns in another order: the first is
+    """Raw folders with files that lack a column and some with columns in another order: the first are
     put aside whole, all others are taken."""
     raw, typed, rejected = (scratch_folder(spark, f"bronze-{n}") for n in ("raw", "arrivals", "rejected"))
     logs = order_logs(spark, folder)
@@ -433,7 +433,7 @@ def bronze_odd_file(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{raw}/purchase"
     late = logs.purchase.filter(~early)
     files.append_raw(late.select(*reversed(late.columns)), path)
-    files.append_raw(late.drop("release_date").coalesce(1), path)
+    files.append_raw(late.drop("release_date"), path)
     ingest_new(spark, raw, typed, rejected)
     taken = read_arrivals(spark, typed).purchase.groupBy("producer_id").agg(F.count(F.lit(1)).alias("events"))
     put_aside = spark.read.parquet(f"{rejected}/{BAD_FILES}").agg(

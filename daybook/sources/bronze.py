@@ -38,6 +38,16 @@ def conform(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return raw.select(*[tolerant(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
+def conform_marked(raw: DataFrame, schema: T.StructType, mark: str) -> DataFrame:
+    """As ``conform``, with a column that says whether ``bad_cells`` has the row. Each cell is cast once."""
+    typed = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    given = F.array(*[F.col(c).isNotNull() for c in typed])
+    cast = raw.select(
+        *[tolerant(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields], given.alias(mark))
+    is_bad = [F.col(mark)[n] & F.col(c).isNull() for n, c in enumerate(typed)]
+    return cast.withColumn(mark, reduce(or_, is_bad))
+
+
 def bad_cells(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Raw rows that hold text no typed value could be made of, with the columns at fault."""
     typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]

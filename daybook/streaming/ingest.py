@@ -9,24 +9,32 @@ has come since the last one, whatever day it is dated.
 from __future__ import annotations
 
 import csv
+import re
+from collections import Counter
 from collections.abc import Callable
-from datetime import date
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions.casts import tolerant
 from daybook.logs import EventLogs
 from daybook.schemas import ARRIVAL, BRONZE_FOLDERS, DAY, EVENT_TIME, KEY, LOG_SCHEMAS
-from daybook.sources.bronze import bad_cells, conform
+from daybook.sources.bronze import bad_cells, conform, conform_marked
 
 #: Files of a log in one batch, at most. Their names and headers come to the driver.
 FILES_PER_BATCH = 10_000
+#: Files up to so many bytes are read whole for their headers, in one job; of others, a job each reads a line.
+SMALL_FILE = 1 << 20
 #: Events that a task sorts by day and writes, about.
 EVENTS_PER_TASK = 1_000_000
 #: Beside the typed logs: one row for every batch of every log.
 ARRIVALS = "_arrivals"
+#: Marks events with unreadable cells until they are written.
+MARK = "_unreadable"
 #: Folders below the place for rejected input.
 BAD_ROWS, BAD_FILES = "rows", "files"
 
@@ -45,6 +53,9 @@ LEDGER = T.StructType(
 )
 
 
+FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def _replace(df: DataFrame, path: str, *partitions: str) -> None:
     """Write ``df`` in place of what the partitions it has rows for held."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -55,6 +66,30 @@ def _columns(header: str) -> list[str]:
     return next(csv.reader([header]), [])
 
 
+def _read_lines(spark: SparkSession, files: list[Row], whole: bool = False) -> DataFrame:
+    """``value, file`` of the files' lines, or of files as ``whole``. Their paths are names, not patterns."""
+    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", f["path"]) for f in files]
+    return spark.read.text(paths, wholetext=whole).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def _headers(spark: SparkSession, files: list[Row]) -> dict[str, str]:
+    """First line of each file that has any."""
+    small = [f for f in files if 0 < f["size"] <= SMALL_FILE]
+    found = {}
+    if small:
+        text = F.regexp_replace("value", "^\ufeff", "")  # a reader of lines leaves the mark out
+        line = F.split(text, "\r\n|\r|\n", 2)[0].alias("line")
+        found = {r["file"]: r["line"] for r in _read_lines(spark, small, whole=True).select("file", line).collect()}
+
+    def first(file: Row) -> tuple[str, str | None]:
+        row = _read_lines(spark, [file]).filter("_metadata.file_block_start = 0").first()
+        return file["file"], row and row["value"]
+
+    with ThreadPoolExecutor(8) as pool:
+        large = list(pool.map(first, [f for f in files if f["size"] > SMALL_FILE]))
+    return {**found, **{file: line for file, line in large if line is not None}}
+
+
 def _cells(lines: DataFrame, places: list[list[int]], width: int, schema: T.StructType) -> DataFrame:
     """Lines as rows of text, whatever order their files have. ``at`` is the place of each column, one of
     ``places``. A line is parsed once: a generator, unlike a projection, is not repeated in the filters above it."""
@@ -70,6 +105,40 @@ def _cells(lines: DataFrame, places: list[list[int]], width: int, schema: T.Stru
     return parsed.select(*[cell(n).alias(c) for n, c in enumerate(schema.names)])
 
 
+def _laid_out(lines: DataFrame, files: list[Row], headers: dict[str, str], places: dict[str, list[int]]) -> DataFrame:
+    """Lines that are not blank, with the header of their file (``head``) and the place of each column (``at``)."""
+    known = {headers[f["file"]] for f in files}
+    if len(known) == 1:
+        head = known.pop()
+        told = lines.select("value", F.lit(head).alias("head"), F.array(*map(F.lit, places[head])).alias("at"))
+    else:
+        fate = [(f["file"], headers[f["file"]], places[headers[f["file"]]]) for f in files]
+        known = lines.sparkSession.createDataFrame(fate, "file string, head string, at array<int>")
+        told = lines.join(F.broadcast(known), "file").drop("file")
+    return told.filter(F.trim("value") != "")
+
+
+def _count_days(
+    lines: DataFrame, places: list[list[int]], width: int, schema: T.StructType, files: Counter
+) -> tuple[list[Row], Counter]:
+    """Events of each day, and the lines that repeat a header beside the one of each file: these are rows,
+    without a day, and as good as each other, so no line's number is needed to tell them apart."""
+    text = ", ".join(f"_c{i} STRING" for i in range(width))
+    n, at = schema.names.index(DAY), {p[schema.names.index(DAY)] for p in places}
+    parsed = F.from_csv("value", text)
+    # Of a single field, no other is parsed.
+    cells = [F.when(F.col("at")[n] == i, parsed[f"_c{i}"]) for i in at] if len(at) > 1 else [parsed[f"_c{i}"] for i in at]
+    found = lines.select(
+        tolerant(F.coalesce(*cells), schema[DAY].dataType).alias(DAY),
+        F.when(F.col("value") == F.col("head"), F.col("head")).alias("head"))
+    found = found.groupBy(DAY, "head").agg(F.count(F.lit(1)).alias("events")).collect()
+    again = Counter({r["head"]: r["events"] for r in found if r["head"] is not None}) - files
+    days = Counter({r[DAY]: r["events"] for r in found if r["head"] is None})
+    if again:
+        days[None] += again.total()
+    return [Row(**{DAY: day, "events": n}) for day, n in days.items()], again
+
+
 def _spread(events: DataFrame, days: list[Row], tasks: int) -> DataFrame:
     """Events for writing by day, from the number of them on each: a day's lie together, one that holds
     much of the batch is split, tasks hold equal shares, and folders are made by all of them."""
@@ -101,43 +170,49 @@ def _take(name: str, typed_base: str, quarantine_base: str | None) -> Callable[[
     def take(batch: DataFrame, arrival: int) -> None:
         spark = batch.sparkSession
         number = F.lit(arrival).cast("long").alias(ARRIVAL)
-        # Lines of a file keep their order within a task, so that its first one is that of least number.
-        # They are read again where needed: a copy of them would take more than the events do.
-        lines = batch.withColumn("place", F.monotonically_increasing_id())
-        first = lines.filter("begin = 0").groupBy("file").agg(F.min("place").alias("place"))
-        heads = lines.join(F.broadcast(first.select("place")), "place").select("file", "place", "value").collect()
-        columns = {h: _columns(h) for h in {r["value"] for r in heads}}
+        # As many rows as files, of which a batch has a bounded number. Where a name looks like a pattern, the
+        # stream lists what matches it too.
+        files = list({f["file"]: f for f in batch.collect()}.values())
+        headers = _headers(spark, files)
+        columns = {h: _columns(h) for h in set(headers.values())}
         places = {
             h: [c.index(n) for n in schema.names]
             for h, c in columns.items() if set(schema.names) <= set(c) and len(set(c)) == len(c)
         }
-        fate = [(r["file"], r["place"], places.get(r["value"])) for r in heads]
-        known = spark.createDataFrame(fate, "file string, head long, at array<int>")
-        # As many rows as files, of which a batch has a bounded number.
-        told = lines.join(F.broadcast(known), "file").filter(F.trim("value") != "")
+        taken = [f for f in files if headers.get(f["file"]) in places]
+        odd = [f for f in files if f["file"] in headers and headers[f["file"]] not in places]
         rows = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in schema.names]))
-        if places:
-            mine = told.filter(F.col("at").isNotNull() & (F.col("place") != F.col("head")))
-            rows = _cells(mine, list(places.values()), max(len(columns[h]) for h in places), schema)
-        events = conform(rows, schema)
-        newest = F.max(EVENT_TIME).alias("newest")
-        days = events.groupBy(DAY).agg(F.count(F.lit(1)).alias("events"), newest).collect()
+        days, bad, newest = [], 0, None
+        if taken:
+            layouts, width = list(places.values()), max(len(columns[h]) for h in places)
+            lines = _laid_out(_read_lines(spark, taken), taken, headers, places)
+            days, again = _count_days(lines, layouts, width, schema, Counter(headers[f["file"]] for f in taken))
+            lines = lines.filter(F.col("value") != F.col("head")).select("value", "at")
+            for head, n in again.items():
+                at = F.array(*map(F.lit, places[head])).alias("at")
+                lines = lines.union(spark.range(n).select(F.lit(head), at))
+            rows = _cells(lines, layouts, width, schema)
+        events = sum(d["events"] for d in days)
+        # Rows with unreadable cells and the newest event are found while events are written: after the
+        # shuffle, where no task counts twice.
+        seen = Observation()
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spread = _spread(events, days, tasks).withColumn(ARRIVAL, number)
-        _replace(spread, f"{typed_base}/{BRONZE_FOLDERS[name]}", ARRIVAL, DAY)
-        rejected = sum(at is None for *_, at in fate)
+        spread = _spread(conform_marked(rows, schema, MARK), days, tasks)
+        spread = spread.observe(seen, F.count_if(MARK).alias("bad"), F.max(EVENT_TIME).cast("string").alias("newest"))
+        # Written below the batch's own folder, rows are sorted by day alone.
+        _replace(spread.drop(MARK), f"{typed_base}/{BRONZE_FOLDERS[name]}/{ARRIVAL}={arrival}", DAY)
+        if events:
+            bad, newest = seen.get["bad"], seen.get["newest"]
         dates = [d[DAY] for d in days if d[DAY] is not None]
-        times = [d["newest"] for d in days if d["newest"] is not None]
-        counts = [len(heads), sum(d["events"] for d in days), rejected, None,
-                  min(dates, default=None), max(dates, default=None), max(times, default=None)]
+        counts = [len(headers), events, len(odd), None,
+                  min(dates, default=None), max(dates, default=None), newest and datetime.fromisoformat(newest)]
         if quarantine_base is not None:
-            stored = Observation()
-            cells = rejected_cells(rows, name).observe(stored, F.count(F.lit(1)).alias("rows"))
-            _replace(cells.withColumn(ARRIVAL, number), f"{quarantine_base}/{BAD_ROWS}", "table_name", ARRIVAL)
-            counts[3] = stored.get["rows"] if places else 0
-            if rejected:
-                whole = told.filter("at IS NULL").select("file", F.col("value").alias("line"), number)
-                whole = whole.withColumn("table_name", F.lit(name))
+            counts[3] = bad
+            cells = rejected_cells(rows if bad else rows.limit(0), name).withColumn(ARRIVAL, number)
+            _replace(cells, f"{quarantine_base}/{BAD_ROWS}", "table_name", ARRIVAL)
+            if odd:
+                whole = _read_lines(spark, odd).filter(F.trim("value") != "")
+                whole = whole.select("file", F.col("value").alias("line"), number, F.lit(name).alias("table_name"))
                 _replace(whole, f"{quarantine_base}/{BAD_FILES}", "table_name", ARRIVAL)
         entry = spark.createDataFrame([(*counts, name, arrival)], LEDGER)
         _replace(entry.coalesce(1), f"{typed_base}/{ARRIVALS}", "table_name", ARRIVAL)
@@ -165,12 +240,13 @@ def ingest_new(
     checkpoint_base = checkpoint_base or f"{typed_base}/_checkpoints"
     queries = []
     for name, folder in BRONZE_FOLDERS.items():
-        stream = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
+        # Only the names of new files are streamed, their content is not read: lines that come out of a stream
+        # are an RDD, whole and without a plan, however few are wanted.
+        stream = spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", files_per_batch)
         # A file counts as new by its path, however old it is.
-        lines = stream.option("maxFileAge", "36500d").load(f"{raw_base}/{folder}")
-        lines = lines.select(
-            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"))
-        writer = lines.writeStream.foreachBatch(_take(name, typed_base, quarantine_base))
+        files = stream.option("maxFileAge", "36500d").load(f"{raw_base}/{folder}")
+        files = files.select("path", F.col("_metadata.file_path").alias("file"), F.col("length").alias("size"))
+        writer = files.writeStream.foreachBatch(_take(name, typed_base, quarantine_base))
         writer = writer.option("checkpointLocation", f"{checkpoint_base}/{name}").trigger(availableNow=True)
         queries.append(writer.start())
     try:

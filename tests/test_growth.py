@@ -1,14 +1,17 @@
 """Steps whose time or shuffles grew faster than their input: what they read, parse and move."""
 
+import gzip
+from collections import Counter
 from datetime import date
 
 from fixture import PURCHASES, logs, raw_logs
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from daybook.plans import incremental, ledger
 from daybook.schemas import ARRIVAL, PURCHASE
 from daybook.sinks.files import append_logs
-from daybook.sources.bronze import bad_cells
+from daybook.sources.bronze import bad_cells, conform, conform_marked
 from daybook.streaming import ingest
 
 
@@ -94,3 +97,81 @@ def test_first_run_looks_for_no_purchases(spark, monkeypatch):
     assert len(some.days) <= len(expected) == some.paid_days
     monkeypatch.setattr(incremental, "touched_keys", refused)
     assert incremental.find_impact(events, incremental.arrived_since({})) == incremental.Impact(expected, len(expected))
+
+
+def _odd_raw(spark, base):
+    """Logs with a header in the midst of two files, a mark ahead of one, names that look like patterns, a
+    file that is packed, one of a header alone and one that lacks a column."""
+    append_logs(raw_logs(spark).map(lambda _, df: df.coalesce(1)), str(base))
+    folder, names = base / "purchase", ",".join(PURCHASE.names)
+    line = "2023-03-01 00:00:00,2023-03-01,{},b,p,2023-03-01,,x"
+    back = ",".join(PURCHASE.names[::-1])
+    (folder / "a[1] {x}*.csv").write_text("\n".join([names, line.format("90"), names, names, line.format("91"), " ", ""]))
+    (folder / "mark.csv").write_text("﻿" + "\r\n".join([names, line.format("92")]), encoding="utf8")
+    (folder / "back.csv").write_text("\n".join([back, "x,,2023-03-01,p,b,93,2023-03-01,2023-03-02 00:00:00", back, names]))
+    (folder / "packed.csv.gz").write_bytes(gzip.compress(f"{names}\n{line.format('94')}\n".encode()))
+    (folder / "bare.csv").write_text(names)
+    (folder / "less.csv").write_text("purchase_id\n1\n\n2\n")
+
+
+def test_headers_are_read_alone(spark, tmp_path, monkeypatch):
+    """Names of files are streamed, not lines. Large files give a line each, small ones are read in one job;
+    either way a line that repeats its file's header is a row, and only the header is none."""
+    _odd_raw(spark, tmp_path / "raw")
+    batches, take = [], ingest._take
+
+    def seen(name, *more):
+        def taken(batch, arrival):
+            batches.append(batch.columns)
+            return take(name, *more)(batch, arrival)
+
+        return taken
+
+    monkeypatch.setattr(ingest, "_take", seen)
+    for small in (ingest.SMALL_FILE, 0):
+        monkeypatch.setattr(ingest, "SMALL_FILE", small)
+        typed, rejected = (str(tmp_path / f"{n}{small}") for n in ("typed", "rejected"))
+        ingest.ingest_new(spark, str(tmp_path / "raw"), typed, rejected)
+        told = {r.table_name: r for r in ingest.arrivals(spark, typed).collect()}["purchase"]
+        events = len(PURCHASES) + 9
+        assert (told.files, told.events, told.rejected_files, told.rejected_rows) == (7, events, 1, 4)
+        assert (str(told.last_day), str(told.newest_event)) == ("2023-03-01", "2023-03-02 00:00:00")
+        stored = ingest.read_arrivals(spark, typed).purchase
+        assert stored.count() == events
+        keys = [r.purchase_id for r in stored.filter("transaction_date IS NULL OR purchase_id >= '90'").collect()]
+        assert sorted(keys) == ["90", "91", "92", "93", "94", "order_date", *["purchase_id"] * 3]
+        bad = spark.read.parquet(f"{rejected}/{ingest.BAD_ROWS}").filter("table_name = 'purchase'").collect()
+        assert len(bad) == 4 and "transaction_date" in bad[0].bad_columns
+        aside = spark.read.parquet(f"{rejected}/{ingest.BAD_FILES}").collect()
+        assert sorted(r.line for r in aside) == ["1", "2", "purchase_id"] and aside[0].file.endswith("/less.csv")
+    assert batches == [["path", "file", "size"]] * 6
+
+
+def test_clean_lines_are_parsed_by_two_scans(spark, tmp_path, monkeypatch):
+    """Days are counted, of one parsed column; events are written, by day alone, with bad cells found on
+    the way. No third scan looks for bad cells where there are none."""
+    raw, typed, rejected = (str(tmp_path / n) for n in ("raw", "typed", "rejected"))
+    append_logs(logs(spark), raw)
+    plans, replace = {}, ingest._replace
+
+    def seen(df, path, *partitions):
+        plans[path.replace(str(tmp_path), "")] = (_plan(df, "optimizedPlan").lower(), partitions)
+        replace(df, path, *partitions)
+
+    monkeypatch.setattr(ingest, "_replace", seen)
+    ingest.ingest_new(spark, raw, typed, rejected)
+    written, partitions = plans["/typed/purchase/arrival=0"]
+    assert written.count("from_csv") == 1 and partitions == ("transaction_date",)
+    assert "from_csv" not in plans["/rejected/rows"][0]
+    lines = ingest._read_lines(spark, [Row(path=f"{raw}/purchase")])
+    head = ",".join(PURCHASE.names)
+    told = lines.select("value", F.lit(head).alias("head"), F.array(*map(F.lit, range(8))).alias("at"))
+    days, again = ingest._count_days(told, [list(range(8))], 8, PURCHASE, Counter({head: told.filter("value = head").count()}))
+    assert sum(d["events"] for d in days) == len(PURCHASES) and not again
+
+
+def test_marked_rows_are_those_with_bad_cells(spark):
+    raw = raw_logs(spark, [("later", "1", "x", None), *PURCHASES]).purchase
+    marked = conform_marked(raw, PURCHASE, "bad")
+    assert marked.filter("bad").count() == bad_cells(raw, PURCHASE).count() == 1
+    assert sorted(map(str, marked.drop("bad").collect())) == sorted(map(str, conform(raw, PURCHASE).collect()))
